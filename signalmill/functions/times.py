@@ -18,9 +18,9 @@ def parse_instant(text: Column) -> Column:
 
 def iso_seconds(instant: Column) -> Column:
     """``2026-06-05T14:30:00Z``, with microseconds only where there are any."""
-    whole = F.date_format(instant, "yyyy-MM-dd'T'HH:mm:ss'Z'")
-    exact = F.date_format(instant, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
-    return F.when(F.unix_micros(instant) % 1_000_000 == 0, whole).otherwise(exact)
+    micros = F.pmod(F.unix_micros(instant), F.lit(1_000_000))
+    fraction = F.when(micros == 0, F.lit("Z")).otherwise(F.format_string(".%06dZ", micros))
+    return F.concat(F.date_format(instant, "yyyy-MM-dd'T'HH:mm:ss"), fraction)
 
 
 def lag_seconds(as_of: Column, instant: Column) -> Column:

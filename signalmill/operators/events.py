@@ -4,30 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from signalmill.functions.times import parse_instant
 from signalmill.schemas import FLAT_EVENT
 
 
 def flatten_documents(parsed: DataFrame, *keep: str) -> DataFrame:
-    """The five event fields from ``doc``; fields that cannot be read are null.
+    """The five event fields and the event id of parsed rows; unreadable fields are null.
 
     Numbers in quotes are accepted here. Strictness is the business of validation, which a
     caller puts in front where it is wanted.
     """
-    doc = F.col("doc")
-
-    def at(path: str, kind: str):
-        return F.try_variant_get(doc, path, kind)
-
-    return parsed.select(
-        at("$.intersection_id", "string").alias("intersection_id"),
-        parse_instant(at("$.environment.timestamp", "string")).alias("event_timestamp"),
-        at("$.telemetry.current_signal_state", "string").alias("signal_state"),
-        at("$.telemetry.avg_stop_duration_seconds", "double").alias("avg_stop_duration_seconds"),
-        at("$.telemetry.avg_vehicle_speed_kmh", "double").alias("avg_vehicle_speed_kmh"),
-        at("$.event_id", "string").alias("event_id"),
-        *keep,
-    )
+    names = [*FLAT_EVENT.fieldNames(), "event_id"]
+    return parsed.select(*[f"fields.{name}" for name in names], *keep)
 
 
 def usable(flat: DataFrame) -> DataFrame:
