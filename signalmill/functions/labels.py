@@ -62,7 +62,7 @@ def whole_number(value: Column, unit: str) -> Column:
 
 
 def one_decimal(value: Column) -> Column:
-    return F.coalesce(F.format_string("%.1f", value), F.lit(MISSING))
+    return F.when(value.isNull(), F.lit(MISSING)).otherwise(F.format_string("%.1f", value))
 
 
 def count_label(count: Column) -> Column:

@@ -78,4 +78,10 @@ def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
+def stored(df, path):
+    """The frame read back from files, so that Spark knows its size."""
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 __all__ = [n for n in dir() if not n.startswith("_")] + ["CORE"]
