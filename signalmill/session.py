@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import tempfile
 import uuid
 
@@ -26,6 +27,11 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+@functools.cache
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="signalmill-")
+
+
 def shared_folder(spark: SparkSession, name: str) -> str:
     """A new folder below ``spark.checkpoint.dir``.
 
@@ -36,6 +42,5 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        base = tempfile.mkdtemp(prefix="signalmill-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        base = _local_folder()
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
