@@ -28,6 +28,16 @@ def ensure_table(spark: SparkSession, path: str, schema=STORED, by=("window_date
     spark.createDataFrame([], schema).write.mode("ignore").partitionBy(*by).parquet(path)
 
 
+def register_table(spark: SparkSession, name: str, path: str) -> None:
+    """Let SQL users read the table under a name; run again to show new days."""
+    columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in STORED.fields)
+    spark.sql(
+        f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet "
+        f"PARTITIONED BY (window_date) LOCATION '{path}'"
+    )
+    spark.catalog.recoverPartitions(name)
+
+
 def read_landing(
     spark: SparkSession,
     path: str,
@@ -127,8 +137,16 @@ def read_versions(spark: SparkSession, path: str, *, before: dt.date | None = No
 
 
 def read_live(spark: SparkSession, path: str, log_path: str) -> DataFrame:
-    """Table and log as one: a logged row hides the stored one of the same key."""
-    return merge_rows(read_landing(spark, path), read_versions(spark, log_path))
+    """Table and log as one: a logged row hides the stored one of the same key.
+
+    Only the days that occur in the log are merged; the others pass through without a join.
+    """
+    days = _days(spark.read.schema(VERSIONS).parquet(log_path))
+    stored = spark.read.schema(STORED).parquet(path)
+    logged = F.col("window_date").isin(days)
+    columns = LANDING.fieldNames()
+    merged = merge_rows(stored.filter(logged).select(*columns), read_versions(spark, log_path))
+    return stored.filter(~logged).select(*columns).unionByName(merged)
 
 
 def fold_versions(

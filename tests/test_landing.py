@@ -73,6 +73,16 @@ def test_reads_prune_days_and_push_the_id_down(spark, folder):
     assert keys == sorted(keys) and len(keys) == 6
 
 
+def test_sql_users_read_it_by_name(spark, folder):
+    table.upsert_landing(landing(spark, row("a", DAYS[0])), folder + "/l")
+    table.register_table(spark, "landing_test", folder + "/l")
+    table.upsert_landing(landing(spark, row("a", DAYS[1])), folder + "/l")
+    table.register_table(spark, "landing_test", folder + "/l")
+    got = spark.sql("SELECT intersection_id, window_end FROM landing_test")
+    assert tuples(got) == [("a", at(DAYS[0])), ("a", at(DAYS[1]))]
+    spark.sql("DROP TABLE landing_test")
+
+
 def test_wrong_shape_is_refused(spark, folder):
     rows = landing(spark, row("a", DAYS[0]))
     for bad in (rows.drop("event_count"), rows.select(*reversed(LANDING.fieldNames())),
@@ -83,7 +93,8 @@ def test_wrong_shape_is_refused(spark, folder):
 
 def test_version_log_folds_into_the_table(spark, folder):
     path, log = folder + "/l", folder + "/log"
-    table.upsert_landing(landing(spark, row("a", DAYS[0]), row("b", DAYS[0])), path)
+    old = ("a", "2026-05-01 00:00:00", "RED", 1.0, 50.0, 1, None)
+    table.upsert_landing(landing(spark, row("a", DAYS[0]), row("b", DAYS[0]), old), path)
     batches = [
         landing(spark, row("a", DAYS[0], "GREEN"), row("c", DAYS[1])),
         landing(spark, row("c", DAYS[1], "YELLOW"), row("c", DAYS[2])),
@@ -92,6 +103,7 @@ def test_version_log_folds_into_the_table(spark, folder):
         table.append_versions(batches[batch_id], batch_id, log)
     columns = ("intersection_id", "window_end", "signal_state")
     want = [
+        ("a", at("2026-05-01 00:00:00"), "RED"),
         ("a", at(DAYS[0]), "GREEN"),
         ("b", at(DAYS[0]), "RED"),
         ("c", at(DAYS[1]), "YELLOW"),
@@ -99,7 +111,7 @@ def test_version_log_folds_into_the_table(spark, folder):
     ]
     assert tuples(table.read_live(spark, path, log), *columns) == want
     assert table.fold_versions(spark, log, path, before=dt.date(2026, 6, 6)) == 2
-    assert tuples(table.read_landing(spark, path), *columns) == want[:3]
+    assert tuples(table.read_landing(spark, path), *columns) == want[:4]
     assert tuples(table.read_live(spark, path, log), *columns) == want
     assert table.fold_versions(spark, log, path) == 3
     assert tuples(table.read_landing(spark, path), *columns) == want
