@@ -2,13 +2,21 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, Observation, SparkSession
 
 from signalmill.operators.models import build_core, orphan_report, staging
-from signalmill.operators.status import latest_status, status_json, status_list
+from signalmill.operators.status import (
+    advance_latest,
+    latest_status,
+    status_json,
+    status_list,
+)
 from signalmill.operators.validation import route_events, validate_events
 from signalmill.operators.windows import landing_rows, window_aggregate
-from signalmill.sources.core import replace_core
+from signalmill.schemas import CORE, require_shape
+from signalmill.sources.core import read_core, replace_core
 from signalmill.sources.events import observe_ingest, write_routed
 from signalmill.sources.landing import read_landing, upsert_landing
 from signalmill.streaming.pipelines import flat_events
@@ -45,6 +53,27 @@ def build_warehouse(
     return report
 
 
+def refresh_latest(
+    spark: SparkSession,
+    core_path: str,
+    out_path: str,
+    *,
+    previous: str | None = None,
+    since: dt.date | None = None,
+) -> None:
+    """Store the latest row of every intersection in a new folder.
+
+    With the ``previous`` folder only the days of core from ``since`` on are read, which a
+    refresh of core returns as the first day it rebuilt.
+    """
+    if previous is None or since is None:
+        rows = latest_status(read_core(spark, core_path))
+    else:
+        known = spark.read.schema(CORE).parquet(previous)
+        rows = advance_latest(known, read_core(spark, core_path, since=since))
+    require_shape(rows, CORE).write.mode("errorifexists").parquet(out_path)
+
+
 def current_status(
     core: DataFrame, inventory: DataFrame | None = None, *, bottleneck_only: bool = False
 ) -> DataFrame:

@@ -302,6 +302,7 @@ ORACLES: dict[str, str] = {
                    FROM core""",
     ),
     "latest_status": _with("latest", select=f"SELECT {_CORE} FROM latest"),
+    "latest_advanced": _with("latest", select=f"SELECT {_CORE} FROM latest"),
     "status_rows": _with("latest", select=f"SELECT {_STATUS_OF_LATEST} FROM latest"),
     "status_list": _with("items", select=f"SELECT {_STATUS} FROM items"),
     "status_list_orphans": _with(

@@ -260,6 +260,16 @@ def latest_status(spark, sf_dir):
     return plain(status.latest_status(d.core(spark, sf_dir)))
 
 
+def latest_advanced(spark, sf_dir):
+    """Latest rows of the first half, stored, then moved on by the second half alone."""
+    folder = shared_folder(configure(spark), "latest")
+    rows = d.core(spark, sf_dir)
+    early = F.col("window_end") < F.lit(CUT_WINDOW)
+    status.latest_status(rows.filter(early)).write.parquet(folder)
+    known = spark.read.parquet(folder)
+    return plain(status.advance_latest(known, rows.filter(~early)))
+
+
 def status_rows(spark, sf_dir):
     return plain(status.status_rows(_latest(spark, sf_dir)))
 
@@ -465,6 +475,7 @@ QUERIES: dict[str, Query] = {
     "orphan_report": orphan_report,
     "core_counts": core_counts,
     "latest_status": latest_status,
+    "latest_advanced": latest_advanced,
     "status_rows": status_rows,
     "status_list": status_list,
     "status_list_orphans": status_list_orphans,

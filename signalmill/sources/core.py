@@ -9,20 +9,20 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from signalmill.operators.models import build_core, staging
 from signalmill.schemas import CORE, LOOKBACK_DAYS, require_shape
-from signalmill.sources.landing import read_landing, replace_days, with_date
+from signalmill.sources.landing import clustered, read_landing, replace_days, with_date
 
 STORED = T.StructType(CORE.fields + [T.StructField("window_date", T.DateType())])
 
 
 def replace_core(core: DataFrame, path: str) -> None:
     """Full replace. The table is derived, so an aborted replace is repaired by another."""
-    rows = with_date(require_shape(core, CORE)).hint("rebalance", "window_date")
+    rows = clustered(with_date(require_shape(core, CORE)))
     rows.write.mode("overwrite").partitionBy("window_date").parquet(path)
 
 
 def save_core_table(core: DataFrame, table: str) -> None:
     """Full replace of a catalog table."""
-    rows = with_date(require_shape(core, CORE)).hint("rebalance", "window_date")
+    rows = clustered(with_date(require_shape(core, CORE)))
     rows.write.mode("overwrite").partitionBy("window_date").saveAsTable(table)
 
 

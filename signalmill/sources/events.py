@@ -10,15 +10,29 @@ DEFAULT_SERVERS = "localhost:19092"
 
 
 def topic_options(
-    servers: str = DEFAULT_SERVERS, topic: str = "traffic-events", *, earliest: bool = False
+    servers: str = DEFAULT_SERVERS,
+    topic: str = "traffic-events",
+    *,
+    earliest: bool = False,
+    min_partitions: int | None = None,
+    max_per_trigger: int | None = None,
 ) -> dict[str, str]:
-    """Options of the Kafka source; a stream starts at new messages unless ``earliest``."""
-    return {
+    """Options of the Kafka source; a stream starts at new messages unless ``earliest``.
+
+    ``min_partitions`` above the number of topic partitions lets several tasks share one of
+    them, as a topic needs where one intersection sends much of the data.
+    """
+    options = {
         "kafka.bootstrap.servers": servers,
         "subscribe": topic,
         "startingOffsets": "earliest" if earliest else "latest",
         "failOnDataLoss": "true",
     }
+    if min_partitions is not None:
+        options["minPartitions"] = str(min_partitions)
+    if max_per_trigger is not None:
+        options["maxOffsetsPerTrigger"] = str(max_per_trigger)
+    return options
 
 
 def topic_rows(records: DataFrame) -> DataFrame:
@@ -40,9 +54,10 @@ def read_topic(
     topic: str = "traffic-events",
     *,
     max_messages: int | None = None,
+    min_partitions: int | None = None,
 ) -> DataFrame:
     """Everything in the topic now, or at most ``max_messages`` of it."""
-    options = topic_options(servers, topic, earliest=True)
+    options = topic_options(servers, topic, earliest=True, min_partitions=min_partitions)
     rows = topic_rows(spark.read.format("kafka").options(**options).load())
     return rows if max_messages is None else rows.limit(max_messages)
 
@@ -51,14 +66,11 @@ def stream_topic(
     spark: SparkSession,
     servers: str = DEFAULT_SERVERS,
     topic: str = "traffic-events",
-    *,
-    earliest: bool = False,
-    max_per_trigger: int | None = None,
+    **options,
 ) -> DataFrame:
-    options = topic_options(servers, topic, earliest=earliest)
-    if max_per_trigger is not None:
-        options["maxOffsetsPerTrigger"] = str(max_per_trigger)
-    return topic_rows(spark.readStream.format("kafka").options(**options).load())
+    """The topic as a stream; ``options`` are those of :func:`topic_options`."""
+    chosen = topic_options(servers, topic, **options)
+    return topic_rows(spark.readStream.format("kafka").options(**chosen).load())
 
 
 def read_text(spark: SparkSession, path: str, *, max_messages: int | None = None) -> DataFrame:

@@ -4,7 +4,7 @@ from types import SimpleNamespace
 import pytest
 
 from helpers import at, event, events, inventory, landing, plan, texts, tuples
-from signalmill.operators import models
+from signalmill.operators import models, status
 from signalmill.plans import jobs
 from signalmill.schemas import CORE, LANDING, require_shape
 from signalmill.session import shared_folder
@@ -176,6 +176,12 @@ def test_warehouse_replaces_core_and_merge_equals_it(spark, folder):
         since = core_table.merge_core(spark, path, places, merged)
         assert tuples(core_table.read_core(spark, merged)) == want
     assert since == dt.date(2026, 6, 4)
+    jobs.refresh_latest(spark, merged, folder + "/one")
+    jobs.refresh_latest(spark, merged, folder + "/two", previous=folder + "/one", since=since)
+    latest = tuples(status.latest_status(core_table.read_core(spark, built)))
+    assert len(latest) == 2
+    for stored in ("/one", "/two"):
+        assert tuples(spark.read.schema(CORE).parquet(folder + stored)) == latest
     recent = core_table.read_core(spark, merged, since=dt.date(2026, 6, 6))
     assert require_shape(recent, CORE).count() == 1
     assert spark.table("stg_traffic_signals").count() == 4

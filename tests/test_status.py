@@ -36,6 +36,30 @@ def test_reducing_before_or_after_the_join_is_the_same(spark):
     assert tuples(before) == tuples(status.latest_status(models.build_core(staged, places)))
 
 
+def test_latest_rows_advance_with_changes(spark):
+    changes = [
+        ("a", "18:01:00", "RED", 5.0, 5.0, 2, "18:01:05"),
+        ("b", "18:00:00", "GREEN", 1.0, 1.0, 1, "18:09:00"),
+        ("new", "18:02:00", "GREEN", 1.0, 1.0, 1, "18:02:05"),
+    ]
+    got = status.advance_latest(status.latest_status(core(spark)), core(spark, changes))
+    assert tuples(got, "intersection_id", "signal_state", "event_count") == [
+        ("a", "RED", 2),
+        ("b", "RED", 1),
+        ("c", "YELLOW", 1),
+        ("lost", "GREEN", 1),
+        ("new", "GREEN", 1),
+    ]
+
+
+def test_health_of_latest_rows_is_that_of_core(spark):
+    rows, places = core(spark), inventory(spark, "a", "b", "silent")
+    for contract in (False, True):
+        options = {"as_of": LIVE, "contract": contract, "threshold": 20}
+        whole = status.health(rows, places, **options).first()
+        assert status.health(status.latest_status(rows), places, **options).first() == whole
+
+
 def test_list_follows_the_inventory(spark):
     latest = status.latest_status(core(spark))
     items = status.status_list(latest, inventory(spark, "a", "b", "c", "silent"))

@@ -196,6 +196,8 @@ def test_bounded_reads_and_topic_options(spark, feed, tmp_path):
     options = source.topic_options("h:1", "t")
     assert options["startingOffsets"] == "latest" and options["subscribe"] == "t"
     assert source.topic_options(earliest=True)["startingOffsets"] == "earliest"
+    busy = source.topic_options(min_partitions=400, max_per_trigger=1000)
+    assert (busy["minPartitions"], busy["maxOffsetsPerTrigger"]) == ("400", "1000")
     records = spark.createDataFrame(
         [(bytearray(b"k"), bytearray("é".encode()), 7)], "key binary, value binary, offset bigint"
     )
