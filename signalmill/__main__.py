@@ -17,6 +17,7 @@ from signalmill.operators.status import (
     status_json,
 )
 from signalmill.plans import jobs
+from signalmill.schemas import SIGNAL_STATES
 from signalmill.session import configure
 from signalmill.sources import core as core_table
 from signalmill.sources import events as source
@@ -40,11 +41,13 @@ def parser() -> argparse.ArgumentParser:
     aggregate = add("aggregate", "aggregate event text into the landing table", "events", "landing")
     aggregate.add_argument("--max-messages", type=int)
     aggregate.add_argument("--ingested-at")
+    aggregate.add_argument("--strict", action="store_true", help="valid events only")
     stream = add("stream", "stream events into the landing log", "log", "checkpoint")
     stream.add_argument("--events", help="folder of event text")
     stream.add_argument("--bootstrap-servers", help="topic instead of a folder")
     stream.add_argument("--topic", default="traffic-events")
     stream.add_argument("--from-earliest", action="store_true")
+    stream.add_argument("--strict", action="store_true", help="valid events only")
     stream.add_argument("--continuous", action="store_true", help="run until stopped")
     fold = add("fold", "merge the landing log into the landing table", "log", "landing")
     fold.add_argument("--before", help="only days ahead of this one")
@@ -82,7 +85,7 @@ def run(spark: SparkSession, args: argparse.Namespace) -> int:
         print(jobs.ingest(raw, args.out))
     elif args.job == "aggregate":
         raw = source.read_text(spark, args.events, max_messages=args.max_messages)
-        rows = jobs.payloads_to_landing(raw, args.landing, args.ingested_at)
+        rows = jobs.payloads_to_landing(raw, args.landing, args.ingested_at, strict=args.strict)
         print(f"landing_rows={rows}")
     elif args.job == "stream":
         if args.bootstrap_servers:
@@ -91,7 +94,10 @@ def run(spark: SparkSession, args: argparse.Namespace) -> int:
             )
         else:
             raw = source.stream_text(spark, args.events)
-        windows = streams.stream_windows(streams.flat_events(raw))
+        windows = streams.stream_windows(
+            streams.flat_events(raw, strict=args.strict),
+            states=SIGNAL_STATES if args.strict else None,
+        )
         query = streams.start_landing(
             windows, args.log, args.checkpoint, continuous=args.continuous
         )

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 
@@ -15,7 +16,7 @@ from signalmill.operators.status import (
 )
 from signalmill.operators.validation import route_events, validate_events
 from signalmill.operators.windows import landing_rows, window_aggregate
-from signalmill.schemas import CORE, require_shape
+from signalmill.schemas import CORE, SIGNAL_STATES, require_shape
 from signalmill.sources.core import read_core, replace_core
 from signalmill.sources.events import observe_ingest, write_routed
 from signalmill.sources.landing import read_landing, upsert_landing
@@ -29,16 +30,24 @@ def ingest(raw: DataFrame, path: str) -> dict[str, int]:
     return dict(counts.get)
 
 
-def events_to_landing(events: DataFrame, path: str, ingested_at=None) -> int:
-    """Aggregate flat events and merge them into the landing table; returns rows written."""
+def events_to_landing(
+    events: DataFrame, path: str, ingested_at=None, *, states: Sequence[str] | None = None
+) -> int:
+    """Aggregate flat events and merge them into the landing table; returns rows written.
+
+    ``states`` lists the possible states where that is known, for the faster aggregate.
+    """
     seq_col = "seq" if "seq" in events.columns else None
-    windows = window_aggregate(events, seq_col=seq_col)
+    windows = window_aggregate(events, seq_col=seq_col, states=states)
     return upsert_landing(landing_rows(windows, ingested_at), path, unique=True)
 
 
-def payloads_to_landing(raw: DataFrame, path: str, ingested_at=None) -> int:
-    """The same from JSON text rows."""
-    return events_to_landing(flat_events(raw), path, ingested_at)
+def payloads_to_landing(
+    raw: DataFrame, path: str, ingested_at=None, *, strict: bool = False
+) -> int:
+    """The same from JSON text rows; ``strict`` leaves out events that break the contract."""
+    states = SIGNAL_STATES if strict else None
+    return events_to_landing(flat_events(raw, strict=strict), path, ingested_at, states=states)
 
 
 def build_warehouse(

@@ -143,6 +143,12 @@ def test_payloads_to_landing(spark, folder):
     ]
 
 
+def test_strict_payloads(spark, folder):
+    docs = [event(), event(telemetry__current_signal_state="BLUE", intersection_id="b")]
+    assert jobs.payloads_to_landing(texts(spark, *docs), folder + "/all") == 2
+    assert jobs.payloads_to_landing(texts(spark, *docs), folder + "/valid", strict=True) == 1
+
+
 def test_ingest_job_routes_to_folders(spark, folder):
     rows = texts(spark, event(), "{broken", event(event_id="x"))
     assert jobs.ingest(rows, folder + "/out") == {"event_count": 3, "invalid_count": 2}
