@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column, functions as F
 
 from signalmill.schemas import ISO_PATTERN
@@ -30,9 +32,11 @@ def lag_seconds(as_of: Column, instant: Column) -> Column:
 
 
 def as_instant(value) -> Column:
-    """A Column, or an ISO text, or a datetime, as an instant column."""
+    """A Column, an ISO text or a datetime as an instant; None is now. Without zone it is UTC."""
     if isinstance(value, Column):
         return value
     if value is None:
         return F.current_timestamp()
+    if isinstance(value, dt.datetime) and value.tzinfo is None:
+        value = value.replace(tzinfo=dt.timezone.utc)
     return F.lit(value).cast("timestamp")

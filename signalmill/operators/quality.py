@@ -156,7 +156,10 @@ def emission_gaps(
         slots.withColumn("gap_start", F.lag("last").over(by_slot))
         .filter(gap > F.lit(width))
         .select(
-            ID, "gap_start", F.col("first").alias("gap_end"), (gap / F.lit(1e6)).alias("gap_seconds")
+            ID,
+            "gap_start",
+            F.col("first").alias("gap_end"),
+            (gap / F.lit(1e6)).alias("gap_seconds"),
         )
     )
 

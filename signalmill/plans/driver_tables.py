@@ -78,6 +78,10 @@ def inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _copies(doubled: Column) -> Column:
+    return F.when(doubled, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+
+
 def faulty_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The inventory with a contract fault in one of five entries, and one in twenty doubled."""
     rows = inventory(spark, sf_dir)
@@ -86,9 +90,7 @@ def faulty_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
     def broken(name: str, when: int, value: Column) -> Column:
         return F.when(kind == when, value).otherwise(F.col(name)).alias(name)
 
-    return rows.withColumn(
-        "copy", F.explode(F.when(kind == 4, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0))))
-    ).select(
+    return rows.withColumn("copy", F.explode(_copies(kind == 4))).select(
         broken("intersection_id", 1, F.concat("intersection_id", F.lit(" x"))),
         broken("display_name", 2, F.lit(None).cast("string")),
         broken("latitude", 5, F.lit(95.0)),
@@ -137,10 +139,8 @@ def faulty_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when((number == 2) & tenth, F.lit("BLUE"))
         .otherwise(F.col("signal_state"))
     )
-    copies = F.when((number == 3) & tenth, F.array(F.lit(0), F.lit(1))).otherwise(
-        F.array(F.lit(0))
-    )
-    return rows.withColumn("signal_state", state).withColumn("c", F.explode(copies)).drop("c")
+    copies = F.explode(_copies((number == 3) & tenth))
+    return rows.withColumn("signal_state", state).withColumn("copy", copies).drop("copy")
 
 
 def core(spark: SparkSession, sf_dir: str) -> DataFrame:

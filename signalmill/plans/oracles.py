@@ -143,10 +143,13 @@ _CORE = f"""intersection_id, display_name, window_end, signal_state, {_AVERAGES}
         AS point_latitude"""
 _LATE_LOAD = "TIMESTAMP '2024-01-01 00:30:05'"
 _STATUS = f"""intersection_id, display_name, signal_state, {_AVERAGES}, is_severe_bottleneck,
-    window_end, round(longitude, 6) AS location_longitude, round(latitude, 6) AS location_latitude"""
+    window_end, round(longitude, 6) AS location_longitude,
+    round(latitude, 6) AS location_latitude"""
 _STATUS_OF_LATEST = _STATUS.replace(
     "    window_end,", "    strftime(window_end, '%Y-%m-%dT%H:%M:%SZ') AS window_end,"
-).replace(" is_severe_bottleneck,", " coalesce(is_severe_bottleneck, false) AS is_severe_bottleneck,")
+).replace(
+    " is_severe_bottleneck,", " coalesce(is_severe_bottleneck, false) AS is_severe_bottleneck,"
+)
 
 
 def _with(*names: str, select: str) -> str:
@@ -261,7 +264,8 @@ ORACLES: dict[str, str] = {
         "win", select=f"SELECT {_WINDOW}, {_LATE_LOAD} AS ingested_at FROM win"
     ),
     "stream_core": _with(
-        "core", select=f"SELECT * REPLACE ({_LATE_LOAD} AS ingested_at) FROM (SELECT {_CORE} FROM core)"
+        "core",
+        select=f"SELECT * REPLACE ({_LATE_LOAD} AS ingested_at) FROM (SELECT {_CORE} FROM core)",
     ),
     "stream_routing": _with(
         "doc",

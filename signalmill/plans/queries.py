@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from signalmill.functions.times import as_instant
 from signalmill.operators import events as ev
 from signalmill.operators import inventory as inv
 from signalmill.operators import models, quality, status, validation, windows
@@ -14,6 +14,7 @@ from signalmill.operators.merge import snapshot_diff
 from signalmill.plans import driver_tables as d
 from signalmill.plans.jobs import current_status
 from signalmill.schemas import (
+    CORE,
     INVENTORY_SOURCES,
     LANDING_REQUIRED,
     MAP_EXTRACT,
@@ -25,8 +26,8 @@ from signalmill.sources import landing as landing_table
 from signalmill.streaming import pipelines as streams
 
 Query = Callable[[SparkSession, str], DataFrame]
-CUT = dt.datetime(2024, 1, 1, 0, 15, 30)
-CUT_WINDOW = dt.datetime(2024, 1, 1, 0, 15, 0)
+CUT = "2024-01-01 00:15:30"
+CUT_WINDOW = "2024-01-01 00:15:00"
 EARLY_LOAD = "2024-01-01 00:15:35"
 LATE_LOAD = "2024-01-01 00:30:05"
 
@@ -129,8 +130,8 @@ def landing_upsert(spark, sf_dir):
         aggregated = windows.window_aggregate(rows, seq_col="seq", states=SIGNAL_STATES)
         landing_table.upsert_landing(windows.landing_rows(aggregated, when), path, unique=True)
 
-    load(events.filter(at < F.lit(CUT)), EARLY_LOAD)
-    load(events.filter(at >= F.lit(CUT_WINDOW)), LATE_LOAD)
+    load(events.filter(at < as_instant(CUT)), EARLY_LOAD)
+    load(events.filter(at >= as_instant(CUT_WINDOW)), LATE_LOAD)
     return plain(landing_table.read_landing(spark, path))
 
 
@@ -155,27 +156,15 @@ def stream_window_aggregate(spark, sf_dir):
 
 
 def stream_core(spark, sf_dir):
-    """Live windows joined to the inventory on the stream, merged into the landing's shape."""
+    """Live windows joined to the inventory on the stream, into a version log of core rows."""
     folder = shared_folder(configure(spark), "stream")
     live = streams.stream_core(
         streams.stream_windows(_event_stream(spark, sf_dir), states=SIGNAL_STATES),
         d.inventory(spark, sf_dir),
         LATE_LOAD,
     )
-
-    def write(batch: DataFrame, batch_id: int) -> None:
-        core_table.replace_core(batch, f"{folder}/core-{batch_id:06d}")
-
-    query = (
-        live.writeStream.outputMode("update")
-        .foreachBatch(write)
-        .option("checkpointLocation", f"{folder}/checkpoint")
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
-    batches = core_table.read_core(spark, f"{folder}/core-*")
-    return plain(batches)
+    streams.start_core(live, f"{folder}/log", f"{folder}/checkpoint").awaitTermination()
+    return plain(landing_table.read_versions(spark, f"{folder}/log", shape=CORE))
 
 
 def stream_routing(spark, sf_dir):
@@ -201,7 +190,8 @@ def core(spark, sf_dir):
 
 
 def core_points(spark, sf_dir):
-    return plain(d.core(spark, sf_dir).select("intersection_id", "window_end", "spatial_geography_point"))
+    rows = d.core(spark, sf_dir)
+    return plain(rows.select("intersection_id", "window_end", "spatial_geography_point"))
 
 
 def core_inner(spark, sf_dir):
@@ -216,7 +206,7 @@ def core_merge(spark, sf_dir):
     folder = shared_folder(configure(spark), "core")
     places = d.inventory(spark, sf_dir)
     rows = d.landing(spark, sf_dir)
-    early = F.col("window_end") < F.lit(CUT_WINDOW)
+    early = F.col("window_end") < as_instant(CUT_WINDOW)
     for part in (rows.filter(early), rows.filter(~early)):
         landing_table.upsert_landing(part, f"{folder}/landing", unique=True)
         core_table.merge_core(spark, f"{folder}/landing", places, f"{folder}/core")
@@ -264,7 +254,7 @@ def latest_advanced(spark, sf_dir):
     """Latest rows of the first half, stored, then moved on by the second half alone."""
     folder = shared_folder(configure(spark), "latest")
     rows = d.core(spark, sf_dir)
-    early = F.col("window_end") < F.lit(CUT_WINDOW)
+    early = F.col("window_end") < as_instant(CUT_WINDOW)
     status.latest_status(rows.filter(early)).write.parquet(folder)
     known = spark.read.parquet(folder)
     return plain(status.advance_latest(known, rows.filter(~early)))
@@ -362,7 +352,8 @@ def snapshots(spark, sf_dir):
 
 
 def snapshot_diff_query(spark, sf_dir):
-    return plain(snapshot_diff(*snapshots(spark, sf_dir), "intersection_id", "signal_state", "window_end"))
+    old, new = snapshots(spark, sf_dir)
+    return plain(snapshot_diff(old, new, "intersection_id", "signal_state", "window_end"))
 
 
 # --- Inventory -----------------------------------------------------------------------------
@@ -392,7 +383,8 @@ def dq_not_null(spark, sf_dir):
 
 
 def dq_null_rows(spark, sf_dir):
-    rows = quality.null_rows(d.faulty_inventory(spark, sf_dir), ("intersection_id", "display_name", "latitude", "longitude"))
+    required = ("intersection_id", "display_name", "latitude", "longitude")
+    rows = quality.null_rows(d.faulty_inventory(spark, sf_dir), required)
     return rows.select(
         "intersection_id", "osm_node_id", F.concat_ws(",", "null_columns").alias("null_columns")
     )

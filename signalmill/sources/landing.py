@@ -16,7 +16,7 @@ from signalmill.operators.merge import latest_per_key, merge_rows
 from signalmill.schemas import LANDING, LANDING_KEY, require_shape
 
 STORED = T.StructType(LANDING.fields + [T.StructField("window_date", T.DateType())])
-VERSIONS = T.StructType(STORED.fields + [T.StructField("batch_id", T.LongType())])
+LOG_KEYS = [T.StructField("window_date", T.DateType()), T.StructField("batch_id", T.LongType())]
 
 
 def with_date(rows: DataFrame) -> DataFrame:
@@ -94,7 +94,8 @@ def upsert_landing(updates: DataFrame, path: str, *, unique: bool = False) -> in
     updates = with_date(updates).persist()
     try:
         # As many rows as the updates have days, whatever the number of updates.
-        per_day = {r.window_date: r["count"] for r in updates.groupBy("window_date").count().collect()}
+        counts = updates.groupBy("window_date").agg(F.count(F.lit(1)).alias("rows")).collect()
+        per_day = {r.window_date: r.rows for r in counts}
         ensure_table(spark, path)
         if per_day:
             stored = spark.read.schema(STORED).parquet(path)
@@ -116,25 +117,33 @@ def merge_into(updates: DataFrame, table: str) -> None:
     )
 
 
-def append_versions(rows: DataFrame, batch_id: int, path: str) -> None:
+def append_versions(
+    rows: DataFrame, batch_id: int, path: str, *, shape: T.StructType = LANDING
+) -> None:
     """Write the rows of one micro-batch to the log.
 
     A repeated micro-batch replaces its own files, so a restart adds no rows twice. Nothing is
-    read and no other file is touched.
+    read and no other file is touched. ``shape`` may be that of the core table.
     """
-    versions = with_date(require_shape(rows, LANDING)).withColumn(
+    versions = with_date(require_shape(rows, shape)).withColumn(
         "batch_id", F.lit(batch_id).cast("bigint")
     )
     replace_days(versions, path, ("window_date", "batch_id"))
 
 
-def read_versions(spark: SparkSession, path: str, *, before: dt.date | None = None) -> DataFrame:
+def read_versions(
+    spark: SparkSession,
+    path: str,
+    *,
+    before: dt.date | None = None,
+    shape: T.StructType = LANDING,
+) -> DataFrame:
     """The newest version of every key in the log."""
-    log = spark.read.schema(VERSIONS).parquet(path)
+    log = spark.read.schema(T.StructType(shape.fields + LOG_KEYS)).parquet(path)
     if before is not None:
         log = log.filter(F.col("window_date") < F.lit(before))
     newest = latest_per_key(log, [*LANDING_KEY, "window_date"], F.desc("batch_id"))
-    return newest.select(*LANDING.fieldNames())
+    return newest.select(*shape.fieldNames())
 
 
 def read_live(spark: SparkSession, path: str, log_path: str) -> DataFrame:
@@ -142,8 +151,8 @@ def read_live(spark: SparkSession, path: str, log_path: str) -> DataFrame:
 
     Only the days that occur in the log are merged; the others pass through without a join.
     """
-    log_days = spark.read.schema(VERSIONS).parquet(log_path).select("window_date").distinct()
-    days = [r.window_date for r in log_days.collect()]
+    log = spark.read.schema(T.StructType(LANDING.fields + LOG_KEYS)).parquet(log_path)
+    days = [r.window_date for r in log.select("window_date").distinct().collect()]
     stored = spark.read.schema(STORED).parquet(path)
     logged = F.col("window_date").isin(days)
     columns = LANDING.fieldNames()

@@ -21,7 +21,7 @@ from signalmill.operators.validation import (
     validate_events,
 )
 from signalmill.operators.windows import landing_rows, window_aggregate
-from signalmill.schemas import TRIGGER, WATERMARK, WINDOW_LENGTH
+from signalmill.schemas import CORE, TRIGGER, WATERMARK, WINDOW_LENGTH
 from signalmill.sources.events import observe_ingest
 from signalmill.sources.landing import append_versions, upsert_landing
 
@@ -64,6 +64,17 @@ def _trigger(writer, continuous: bool, every: str):
     return writer.trigger(processingTime=every) if continuous else writer.trigger(availableNow=True)
 
 
+def _start(
+    rows: DataFrame, write, checkpoint: str, output_mode: str, continuous: bool, every: str
+) -> StreamingQuery:
+    writer = (
+        rows.writeStream.outputMode(output_mode)
+        .foreachBatch(write)
+        .option("checkpointLocation", checkpoint)
+    )
+    return _trigger(writer, continuous, every).start()
+
+
 def start_landing(
     windows: DataFrame,
     path: str,
@@ -74,7 +85,6 @@ def start_landing(
     ingested_at=None,
     continuous: bool = False,
     every: str = TRIGGER,
-    name: str | None = None,
 ) -> StreamingQuery:
     """Write window rows to ``path``.
 
@@ -93,14 +103,24 @@ def start_landing(
         else:
             upsert_landing(rows, path, unique=True)
 
-    writer = (
-        windows.writeStream.outputMode(output_mode)
-        .foreachBatch(write)
-        .option("checkpointLocation", checkpoint)
-    )
-    if name:
-        writer = writer.queryName(name)
-    return _trigger(writer, continuous, every).start()
+    return _start(windows, write, checkpoint, output_mode, continuous, every)
+
+
+def start_core(
+    core: DataFrame,
+    path: str,
+    checkpoint: str,
+    *,
+    output_mode: str = "update",
+    continuous: bool = False,
+    every: str = TRIGGER,
+) -> StreamingQuery:
+    """Write live core rows to a version log, to be read with the shape of core."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        append_versions(batch, batch_id, path, shape=CORE)
+
+    return _start(core, write, checkpoint, output_mode, continuous, every)
 
 
 def start_routing(

@@ -1,10 +1,15 @@
 import os
 import sys
+import time
 from pathlib import Path
 
 import pytest
 from pyspark.sql import SparkSession
 
+# Naive datetimes in the tests are UTC.
+os.environ["TZ"] = "UTC"
+time.tzset()
+
 ROOT = Path(__file__).resolve().parents[1]
 sys.path.insert(0, str(ROOT))
 

@@ -32,8 +32,11 @@ def landing(spark, *rows):
     return spark.createDataFrame(full, LANDING)
 
 
-def inventory(spark, *ids, **places):
-    rows = [(i, f"Crossing {i}", -27.1 + n / 1000, -52.6 - n / 1000, n, "osm") for n, i in enumerate(ids)]
+def inventory(spark, *ids):
+    rows = [
+        (i, f"Crossing {i}", -27.1 + n / 1000, -52.6 - n / 1000, n, "osm")
+        for n, i in enumerate(ids)
+    ]
     return spark.createDataFrame(rows, INVENTORY)
 
 

@@ -183,10 +183,15 @@ def test_live_core(spark, feed):
         s.stream_windows(s.flat_events(feed.raw())), inventory(spark, "a", "c"), LOAD
     )
     assert same_shape(live.schema, CORE) == []
-    writer = live.writeStream.outputMode("update").format("memory").queryName("live_core")
-    writer.trigger(availableNow=True).start().awaitTermination()
-    names = tuples(spark.table("live_core").select("intersection_id", "display_name").distinct())
-    assert names == [("a", "Crossing a"), ("b", None), ("c", "Crossing c")]
+    root = str(feed.root)
+    s.start_core(live, root + "/core", root + "/core-checkpoint").awaitTermination()
+    got = table.read_versions(spark, root + "/core", shape=CORE)
+    assert tuples(got, "intersection_id", "display_name", "window_end", "event_count") == [
+        ("a", "Crossing a", at("18:01:00"), 2),
+        ("a", "Crossing a", at("18:02:00"), 1),
+        ("b", None, at("18:01:00"), 1),
+        ("c", "Crossing c", at("18:02:00"), 1),
+    ]
 
 
 def test_bounded_reads_and_topic_options(spark, feed, tmp_path):
