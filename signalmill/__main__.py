@@ -63,6 +63,8 @@ def parser() -> argparse.ArgumentParser:
             command.add_argument("--bottleneck-only", action="store_true")
         else:
             command.add_argument("--as-of")
+    checks = add("checks", "count the failures of all declared checks", "landing", "inventory")
+    checks.add_argument("--core")
     freshness = add("freshness", "print the landing lag", "landing")
     freshness.add_argument("--as-of")
     add("inventory", "turn a map extract into the inventory file", "extract", "out")
@@ -77,7 +79,7 @@ def run(spark: SparkSession, args: argparse.Namespace) -> int:
     """Run one job and return its exit code."""
     inventory = None
     if getattr(args, "inventory", None):
-        required = args.job in ("warehouse", "refresh")
+        required = args.job in ("warehouse", "refresh", "checks")
         inventory = places.read_inventory(spark, args.inventory, required=required)
 
     if args.job == "ingest":
@@ -134,6 +136,13 @@ def run(spark: SparkSession, args: argparse.Namespace) -> int:
     elif args.job == "health":
         rows = core_table.read_core(spark, args.core)
         print(health(rows, inventory, as_of=args.as_of).toJSON().first())
+    elif args.job == "checks":
+        core = core_table.read_core(spark, args.core) if args.core else None
+        report = jobs.quality_report(table.read_landing(spark, args.landing), inventory, core)
+        results = report.collect()
+        for row in results:
+            print(f"{row.table_name} {row.check_name} {row.column_name} failures={row.failures}")
+        return int(any(row.failures for row in results))
     elif args.job == "freshness":
         rows = table.read_landing(spark, args.landing)
         lag = landing_lag(rows, as_of=args.as_of).first().max_landing_lag_seconds

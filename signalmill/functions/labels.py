@@ -28,7 +28,9 @@ STATE_COLORS = {
 SEVERE_STROKE, NORMAL_STROKE = "#dc2626", "#ffffff"
 SEVERE_RADIUS, NORMAL_RADIUS = 11, 8
 SEVERE_WEIGHT, NORMAL_WEIGHT = 3, 2
+SEVERE_CLASS, NORMAL_CLASS = "bottleneck-marker", "signal-marker"
 FILL_OPACITY = 0.95
+BADGE_CLASS = "health-"
 NO_TELEMETRY_STATE = "Sem telemetria"
 NO_TELEMETRY_POPUP = "Sem telemetria recente"
 SEVERE_TAG = "Gargalo"

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, Window, functions as F
 
@@ -38,6 +38,38 @@ def null_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.agg(F.array(*counts).alias("counts")).select(F.inline("counts"))
 
 
+def column_checks(
+    df: DataFrame,
+    name: str,
+    not_null: Sequence[str] = (),
+    accepted: Mapping[str, Sequence[str]] | None = None,
+) -> DataFrame:
+    """Failures per check and column of one table, all counted in one pass."""
+    failures = [("not_null", c, F.col(c).isNull()) for c in not_null]
+    for c, values in (accepted or {}).items():
+        failures.append(("accepted_values", c, ~F.col(c).isin(*values)))
+    counts = [
+        F.struct(
+            F.lit(name).alias("table_name"),
+            F.lit(check).alias("check_name"),
+            F.lit(c).alias("column_name"),
+            F.count_if(failed).alias("failures"),
+        )
+        for check, c, failed in failures
+    ]
+    return df.agg(F.array(*counts).alias("counts")).select(F.inline("counts"))
+
+
+def key_check(df: DataFrame, name: str, keys: Sequence[str]) -> DataFrame:
+    """The number of repeated keys, in the shape of :func:`column_checks`."""
+    return repeated_keys(df, keys).agg(
+        F.lit(name).alias("table_name"),
+        F.lit("unique").alias("check_name"),
+        F.lit(",".join(keys)).alias("column_name"),
+        F.count(F.lit(1)).alias("failures"),
+    )
+
+
 def unaccepted_values(df: DataFrame, column: str, accepted: Sequence[str]) -> DataFrame:
     """Values outside the list with their number of rows; null is not judged here."""
     value = F.col(column)

@@ -242,7 +242,9 @@ def status_labels(items: DataFrame) -> DataFrame:
         by_flag(L.SEVERE_STROKE, L.NORMAL_STROKE).alias("stroke_color"),
         by_flag(L.SEVERE_RADIUS, L.NORMAL_RADIUS).alias("radius"),
         by_flag(L.SEVERE_WEIGHT, L.NORMAL_WEIGHT).alias("stroke_weight"),
-    )
+        F.lit(L.FILL_OPACITY).alias("fill_opacity"),
+        by_flag(L.SEVERE_CLASS, L.NORMAL_CLASS).alias("marker_class"),
+    ).withColumn("summary", F.concat_ws(" · ", "state_label", "stop_label", "speed_label"))
 
 
 def popup_measures(items: DataFrame) -> DataFrame:
@@ -259,6 +261,7 @@ def health_labels(health_row: DataFrame) -> DataFrame:
     return health_row.select(
         "*",
         L.freshness_label(F.col("freshness_status")).alias("freshness_label"),
+        F.concat(F.lit(L.BADGE_CLASS), F.lower("freshness_status")).alias("badge_class"),
         L.lag_title(F.col("freshness_status"), F.col("max_lag_seconds")).alias("lag_title"),
         L.count_label(F.col("intersection_count")).alias("count_label"),
     )

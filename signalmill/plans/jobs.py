@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import datetime as dt
+import functools
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 
 from signalmill.operators.models import build_core, orphan_report, staging
+from signalmill.operators.quality import column_checks, key_check
 from signalmill.operators.status import (
     advance_latest,
     latest_status,
@@ -16,7 +18,15 @@ from signalmill.operators.status import (
 )
 from signalmill.operators.validation import route_events, validate_events
 from signalmill.operators.windows import landing_rows, window_aggregate
-from signalmill.schemas import CORE, SIGNAL_STATES, require_shape
+from signalmill.schemas import (
+    CORE,
+    INVENTORY_REQUIRED,
+    INVENTORY_SOURCES,
+    LANDING_KEY,
+    LANDING_REQUIRED,
+    SIGNAL_STATES,
+    require_shape,
+)
 from signalmill.sources.core import read_core, replace_core
 from signalmill.sources.events import observe_ingest, write_routed
 from signalmill.sources.landing import read_landing, upsert_landing
@@ -92,6 +102,29 @@ def current_status(
     return status_list(latest_status(core), inventory, bottleneck_only=bottleneck_only)
 
 
+def quality_report(
+    landing: DataFrame, inventory: DataFrame, core: DataFrame | None = None
+) -> DataFrame:
+    """Every declared check of the tables with its number of failures.
+
+    One pass and one grouping per table; ``core`` is derived where it is not given.
+    """
+    staged = staging(landing)
+    if core is None:
+        core = build_core(staged, inventory)
+    states = {"signal_state": SIGNAL_STATES}
+    staged_columns = ("intersection_id", "window_end", "signal_state")
+    reports = [
+        column_checks(landing, "landing", LANDING_REQUIRED, states),
+        key_check(landing, "landing", LANDING_KEY),
+        column_checks(staged, "staging", staged_columns, states),
+        column_checks(core, "core", ("is_severe_bottleneck",)),
+        column_checks(inventory, "inventory", INVENTORY_REQUIRED, {"source": INVENTORY_SOURCES}),
+        key_check(inventory, "inventory", ("intersection_id",)),
+    ]
+    return functools.reduce(DataFrame.unionByName, reports)
+
+
 def write_status_feed(items: DataFrame, path: str) -> None:
     """The list as JSON lines in id order."""
     lines = status_json(items).orderBy("intersection_id").select("value")

@@ -141,6 +141,16 @@ _CORE = f"""intersection_id, display_name, window_end, signal_state, {_AVERAGES}
         AS point_longitude,
     CASE WHEN latitude IS NOT NULL AND longitude IS NOT NULL THEN round(latitude, 6) END
         AS point_latitude"""
+_LANDING_COLUMNS = (
+    "intersection_id",
+    "window_end",
+    "signal_state",
+    "avg_stop_duration_seconds",
+    "avg_vehicle_speed_kmh",
+    "event_count",
+)
+_INVENTORY_COLUMNS = ("intersection_id", "display_name", "latitude", "longitude")
+_STATES = "('GREEN', 'RED', 'YELLOW', 'FLASHING_YELLOW', 'UNKNOWN')"
 _LATE_LOAD = "TIMESTAMP '2024-01-01 00:30:05'"
 _STATUS = f"""intersection_id, display_name, signal_state, {_AVERAGES}, is_severe_bottleneck,
     window_end, round(longitude, 6) AS location_longitude,
@@ -204,7 +214,11 @@ _LABELS = """
                 ELSE '#94a3b8' END AS fill_color,
            CASE WHEN is_severe_bottleneck THEN '#dc2626' ELSE '#ffffff' END AS stroke_color,
            CASE WHEN is_severe_bottleneck THEN 11 ELSE 8 END AS radius,
-           CASE WHEN is_severe_bottleneck THEN 3 ELSE 2 END AS stroke_weight
+           CASE WHEN is_severe_bottleneck THEN 3 ELSE 2 END AS stroke_weight,
+           0.95::DOUBLE AS fill_opacity,
+           CASE WHEN is_severe_bottleneck THEN 'bottleneck-marker' ELSE 'signal-marker' END
+               AS marker_class,
+           concat(state_label, ' · ', stop_label, ' · ', speed_label) AS summary
     FROM (SELECT *, window_end = '1970-01-01T00:00:00Z' AS silent FROM items)"""
 
 
@@ -366,6 +380,7 @@ ORACLES: dict[str, str] = {
                         ELSE 'Sem dados' END AS freshness_label,
                    CASE freshness_status WHEN 'FRESH'
                         THEN 'Atraso máximo: ' || lag || 's' END AS lag_title,
+                   'health-' || lower(freshness_status) AS badge_class,
                    listed || CASE listed WHEN 1 THEN ' cruzamento' ELSE ' cruzamentos' END
                        AS count_label
                    FROM (SELECT listed, lag, CASE WHEN reporting > 0 AND lag <= 120
@@ -423,14 +438,45 @@ ORACLES: dict[str, str] = {
         select=" UNION ALL ".join(
             f"SELECT '{name}' AS column_name, count(*) FILTER ({name} IS NULL) AS null_count "
             "FROM bad_land"
-            for name in (
-                "intersection_id",
-                "window_end",
-                "signal_state",
-                "avg_stop_duration_seconds",
-                "avg_vehicle_speed_kmh",
-                "event_count",
-            )
+            for name in _LANDING_COLUMNS
+        ),
+    ),
+    "dq_report": _with(
+        "bad_land",
+        "bad_inv",
+        select=" UNION ALL ".join(
+            [
+                f"SELECT '{table}' AS table_name, 'not_null' AS check_name, '{column}' "
+                f"AS column_name, count(*) FILTER ({column} IS NULL) AS failures FROM {source}"
+                for table, source, columns in (
+                    ("landing", "bad_land", _LANDING_COLUMNS),
+                    ("staging", "bad_land", _LANDING_COLUMNS[:3]),
+                    ("inventory", "bad_inv", _INVENTORY_COLUMNS),
+                )
+                for column in columns
+            ]
+            + [
+                f"SELECT '{table}', 'accepted_values', '{column}', count(*) "
+                f"FILTER ({column} NOT IN {values}) FROM {source}"
+                for table, source, column, values in (
+                    ("landing", "bad_land", "signal_state", _STATES),
+                    ("staging", "bad_land", "signal_state", _STATES),
+                    ("inventory", "bad_inv", "source", "('osm', 'manual_fallback')"),
+                )
+            ]
+            + [
+                f"SELECT '{table}', 'unique', '{keys}', count(*) FROM (SELECT 1 FROM {source} "
+                f"GROUP BY {keys} HAVING count(*) > 1)"
+                for table, source, keys in (
+                    ("landing", "bad_land", "intersection_id,window_end"),
+                    ("inventory", "bad_inv", "intersection_id"),
+                )
+            ]
+            + [
+                """SELECT 'core', 'not_null', 'is_severe_bottleneck', count(*) FILTER (
+                       (avg_stop_duration_seconds > 75.0 AND avg_vehicle_speed_kmh < 5.0) IS NULL)
+                   FROM bad_land LEFT JOIN bad_inv USING (intersection_id)"""
+            ]
         ),
     ),
     "dq_null_rows": _with(

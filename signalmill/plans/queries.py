@@ -12,9 +12,10 @@ from signalmill.operators import inventory as inv
 from signalmill.operators import models, quality, status, validation, windows
 from signalmill.operators.merge import snapshot_diff
 from signalmill.plans import driver_tables as d
-from signalmill.plans.jobs import current_status
+from signalmill.plans.jobs import current_status, quality_report
 from signalmill.schemas import (
     CORE,
+    INVENTORY_REQUIRED,
     INVENTORY_SOURCES,
     LANDING_REQUIRED,
     MAP_EXTRACT,
@@ -382,9 +383,13 @@ def dq_not_null(spark, sf_dir):
     return quality.null_counts(d.faulty_landing(spark, sf_dir), LANDING_REQUIRED)
 
 
+def dq_report(spark, sf_dir):
+    """All declared checks over tables with planted faults."""
+    return quality_report(d.faulty_landing(spark, sf_dir), d.faulty_inventory(spark, sf_dir))
+
+
 def dq_null_rows(spark, sf_dir):
-    required = ("intersection_id", "display_name", "latitude", "longitude")
-    rows = quality.null_rows(d.faulty_inventory(spark, sf_dir), required)
+    rows = quality.null_rows(d.faulty_inventory(spark, sf_dir), INVENTORY_REQUIRED)
     return rows.select(
         "intersection_id", "osm_node_id", F.concat_ws(",", "null_columns").alias("null_columns")
     )
@@ -487,6 +492,7 @@ QUERIES: dict[str, Query] = {
     "inventory_in_bbox": inventory_in_bbox,
     "inventory_violations": inventory_violations,
     "dq_not_null": dq_not_null,
+    "dq_report": dq_report,
     "dq_null_rows": dq_null_rows,
     "dq_accepted_values": dq_accepted_values,
     "dq_unique_grain": dq_unique_grain,

@@ -81,6 +81,8 @@ INVENTORY = T.StructType(
     ]
 )
 
+INVENTORY_REQUIRED = ("intersection_id", "display_name", "latitude", "longitude")
+
 POINT = T.StructType(
     [T.StructField("longitude", T.DoubleType()), T.StructField("latitude", T.DoubleType())]
 )

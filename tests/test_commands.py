@@ -5,7 +5,7 @@ import pytest
 
 from helpers import event, tuples
 from signalmill.__main__ import parser, run
-from signalmill.sources.landing import read_landing
+from signalmill.sources.landing import read_landing, upsert_landing
 
 
 @pytest.fixture
@@ -42,6 +42,17 @@ def test_from_events_to_status(spark, tmp_path, job, capsys):
     assert job("refresh", *tables) == 0
     assert "since=2026-06-03" in capsys.readouterr().out
 
+    assert job("checks", *tables) == 0
+    assert job("checks", *tables[:4]) == 0
+    assert "landing unique intersection_id,window_end failures=0" in capsys.readouterr().out
+    bad = read_landing(spark, str(at["landing"])).selectExpr(
+        "intersection_id", "window_end", "'BLUE' AS signal_state", "avg_stop_duration_seconds",
+        "avg_vehicle_speed_kmh", "event_count", "ingested_at",
+    )
+    upsert_landing(bad.limit(1), str(tmp_path / "bad"))
+    assert job("checks", "--landing", tmp_path / "bad", "--inventory", at["inv"]) == 1
+    assert "landing accepted_values signal_state failures=1" in capsys.readouterr().out
+
     core = ["--core", at["core"], "--inventory", at["inv"]]
     assert job("status", *core, "--out", at["feed"]) == 0
     feed = [json.loads(r.value) for r in spark.read.text(str(at["feed"])).collect()]
