@@ -55,6 +55,22 @@ FLAT_EVENT = T.StructType(
     ]
 )
 
+# The fields of a JSON event before anything is known about their kinds.
+EVENT_TEXT = T.StructType(
+    [
+        T.StructField("event_id", T.StringType()),
+        T.StructField("intersection_id", T.StringType()),
+        T.StructField(
+            "environment",
+            T.StructType([T.StructField(name, T.StringType()) for name in ENVIRONMENT_KEYS]),
+        ),
+        T.StructField(
+            "telemetry",
+            T.StructType([T.StructField(name, T.StringType()) for name in TELEMETRY_KEYS]),
+        ),
+    ]
+)
+
 # Column order is part of the contract.
 LANDING = T.StructType(
     [

@@ -1,4 +1,5 @@
 import datetime as dt
+import random
 from types import SimpleNamespace
 
 import pytest
@@ -6,7 +7,7 @@ import pytest
 from helpers import at, event, events, inventory, landing, plan, texts, tuples
 from signalmill.operators import models, status
 from signalmill.plans import jobs
-from signalmill.schemas import CORE, LANDING, require_shape
+from signalmill.schemas import CORE, LANDING, SIGNAL_STATES, require_shape
 from signalmill.session import shared_folder
 from signalmill.sources import core as core_table
 from signalmill.sources import landing as table
@@ -83,6 +84,24 @@ def test_sql_users_read_it_by_name(spark, folder):
     spark.sql("DROP TABLE landing_test")
 
 
+def test_random_upserts_and_versions_against_a_dict(spark, folder):
+    """Days, keys and repeated loads at random, into the table and into the log."""
+    rng = random.Random(11)
+    path, log, want = folder + "/l", folder + "/log", {}
+    for batch_id in range(6):
+        keys = {(rng.choice("abcd"), rng.choice(DAYS)) for _ in range(rng.randint(0, 6))}
+        rows = [row(k, end, rng.choice(SIGNAL_STATES), f"18:0{batch_id}:00") for k, end in keys]
+        want.update({(r[0], at(r[1])): r[2] for r in rows})
+        change = landing(spark, *rows)
+        for _ in range(rng.choice([1, 2])):
+            assert table.upsert_landing(change, path) == len(rows)
+            table.append_versions(change, batch_id, log)
+    for got in (table.read_landing(spark, path), table.read_versions(spark, log),
+                table.read_live(spark, path, log)):
+        assert {(r.intersection_id, r.window_end): r.signal_state for r in got.collect()} == want
+        assert got.count() == len(want)
+
+
 def test_wrong_shape_is_refused(spark, folder):
     rows = landing(spark, row("a", DAYS[0]))
     for bad in (rows.drop("event_count"), rows.select(*reversed(LANDING.fieldNames())),
