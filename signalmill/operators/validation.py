@@ -32,10 +32,10 @@ UNKNOWN_KEY = "unknown"
 # further objects is left to the detailed rules.
 _NUMBER = r"(BIGINT|DOUBLE|FLOAT|DECIMAL\(\d+,\d+\))"
 REGULAR_SHAPE = (
-    r"^OBJECT<environment: OBJECT<source: STRING, timestamp: STRING>, "
+    r"^ARRAY<OBJECT<environment: OBJECT<source: STRING, timestamp: STRING>, "
     r"event_id: STRING, intersection_id: STRING, (metadata: (VOID|OBJECT<[^<>]*>), )?"
     rf"telemetry: OBJECT<avg_stop_duration_seconds: {_NUMBER}, "
-    rf"avg_vehicle_speed_kmh: {_NUMBER}, current_signal_state: STRING>>\z"
+    rf"avg_vehicle_speed_kmh: {_NUMBER}, current_signal_state: STRING>>>\z"
 )
 
 
@@ -61,28 +61,25 @@ def _with_once(df: DataFrame, name: str, value: Column) -> DataFrame:
 
 
 def parse_documents(df: DataFrame, value_col: str = "value") -> DataFrame:
-    """Add ``doc``, the parsed JSON object, and ``fields``, its event fields as far as readable.
+    """Add ``doc``, the parsed JSON text, and ``fields``, its event fields as far as readable.
+
+    The parser stops after the first complete value, so the text goes in as the only element of
+    an array: anything behind the object then breaks the syntax or adds an element. A text that
+    closes that array by itself has ``}`` before ``]``; only such texts are parsed a second
+    time, as a member of an object, where the same trick fails. ``doc`` is that array, for
+    taking the element out would copy it, and null when the text is not exactly one object.
 
     The fields come out of a second reader that takes each as text: with seven fields that is
     quicker than as many lookups in the variant, every one of which builds a cast.
-
-    ``doc`` is null when the text is not exactly one object. The parser stops after the first
-    complete value, so the text goes in as the only element of an array: anything behind the
-    object then breaks the syntax or adds an element. A text that closes that array by itself
-    has ``}`` before ``]``; only such texts are parsed a second time, as a member of an object,
-    where the same trick fails.
     """
     value = F.col(value_col)
     as_element = F.try_parse_json(F.concat(F.lit("["), value, F.lit("]")))
     as_member = F.try_parse_json(F.concat(F.lit('{"e":'), value, F.lit("}")))
     closes_array = value.rlike(r"\}\s*\]") & as_member.isNull()
     array, read = F.col("_array"), F.col("_read")
-    members = _at(array, "$", "array<variant>")
-    whole = (
-        (F.size(members) == 1)
-        & _at(array, "$[0]", "map<string,variant>").isNotNull()
-        & ~closes_array
-    )
+    # Elements that are no numbers become null, which leaves their count.
+    elements = F.size(_at(array, "$", "array<int>"))
+    whole = (elements == 1) & value.rlike(r"^[ \t\r\n]*\{") & ~closes_array
     fields = F.struct(
         read["event_id"].alias("event_id"),
         read["intersection_id"].alias("intersection_id"),
@@ -95,14 +92,15 @@ def parse_documents(df: DataFrame, value_col: str = "value") -> DataFrame:
         ],
     )
     parsed = df.withColumn("_array", as_element)
-    parsed = _with_once(parsed, "doc", F.when(whole, F.get(members, 0))).drop("_array")
+    parsed = _with_once(parsed, "doc", F.when(whole, array)).drop("_array")
     as_text = F.when(F.col("doc").isNotNull(), F.from_json(value, EVENT_TEXT))
     return _with_once(parsed.withColumn("_read", as_text), "fields", fields).drop("_read")
 
 
 def _broken_rules(doc: Column) -> Column:
     """Every rule on its own, for documents that are known or feared to break one."""
-    root, env, tel = _keys(doc, "$"), _keys(doc, "$.environment"), _keys(doc, "$.telemetry")
+    root = _keys(doc, "$[0]")
+    env, tel = _keys(doc, "$[0].environment"), _keys(doc, "$[0].telemetry")
     fields = F.col("fields")
 
     def names(values) -> Column:
@@ -120,7 +118,7 @@ def _broken_rules(doc: Column) -> Column:
         of_kind = F.schema_of_variant(field).rlike(rf"^{kind}\z")
         return field.isNotNull() & ~F.coalesce(of_kind & ok, F.lit(False))
 
-    metadata = _at(doc, "$.metadata")
+    metadata = _at(doc, "$[0].metadata")
     rules = [
         (
             "missing_field",
@@ -132,23 +130,23 @@ def _broken_rules(doc: Column) -> Column:
             | has_more(env, ENVIRONMENT_KEYS)
             | has_more(tel, TELEMETRY_KEYS),
         ),
-        ("bad_event_id", bad("$.event_id", "STRING", fields["event_id"].rlike(UUID_PATTERN))),
+        ("bad_event_id", bad("$[0].event_id", "STRING", fields["event_id"].rlike(UUID_PATTERN))),
         (
             "bad_intersection_id",
-            bad("$.intersection_id", "STRING", fields["intersection_id"].rlike(ID_PATTERN)),
+            bad("$[0].intersection_id", "STRING", fields["intersection_id"].rlike(ID_PATTERN)),
         ),
         (
             "bad_timestamp",
-            bad("$.environment.timestamp", "STRING", fields["event_timestamp"].isNotNull()),
+            bad("$[0].environment.timestamp", "STRING", fields["event_timestamp"].isNotNull()),
         ),
         (
             "bad_source",
-            bad("$.environment.source", "STRING", fields["source"].isin(*EVENT_SOURCES)),
+            bad("$[0].environment.source", "STRING", fields["source"].isin(*EVENT_SOURCES)),
         ),
         (
             "bad_state",
             bad(
-                "$.telemetry.current_signal_state",
+                "$[0].telemetry.current_signal_state",
                 "STRING",
                 fields["signal_state"].isin(*SIGNAL_STATES),
             ),
@@ -156,7 +154,7 @@ def _broken_rules(doc: Column) -> Column:
         (
             "bad_stop_duration",
             bad(
-                "$.telemetry.avg_stop_duration_seconds",
+                "$[0].telemetry.avg_stop_duration_seconds",
                 _NUMBER,
                 fields["avg_stop_duration_seconds"] >= 0,
             ),
@@ -164,7 +162,7 @@ def _broken_rules(doc: Column) -> Column:
         (
             "bad_speed",
             bad(
-                "$.telemetry.avg_vehicle_speed_kmh",
+                "$[0].telemetry.avg_vehicle_speed_kmh",
                 _NUMBER,
                 fields["avg_vehicle_speed_kmh"] >= 0,
             ),
@@ -173,7 +171,7 @@ def _broken_rules(doc: Column) -> Column:
             "bad_metadata",
             metadata.isNotNull()
             & ~F.is_variant_null(metadata)
-            & _keys(doc, "$.metadata").isNull(),
+            & _keys(doc, "$[0].metadata").isNull(),
         ),
     ]
     return F.array_compact(F.array(*[F.when(rule, F.lit(name)) for name, rule in rules]))
@@ -220,8 +218,8 @@ def normalised_event() -> Column:
     """The event as JSON text in contract order, without null fields, time in UTC."""
     doc, fields = F.col("doc"), F.col("fields")
     # Asking for a path that is not there is slow, so the keys are asked first.
-    has_metadata = F.array_contains(_keys(doc, "$"), "metadata") & ~F.is_variant_null(
-        _at(doc, "$.metadata")
+    has_metadata = F.array_contains(_keys(doc, "$[0]"), "metadata") & ~F.is_variant_null(
+        _at(doc, "$[0].metadata")
     )
     return F.to_json(
         F.struct(
@@ -236,7 +234,7 @@ def normalised_event() -> Column:
                 fields["avg_stop_duration_seconds"].alias("avg_stop_duration_seconds"),
                 fields["avg_vehicle_speed_kmh"].alias("avg_vehicle_speed_kmh"),
             ).alias("telemetry"),
-            F.when(has_metadata, _at(doc, "$.metadata")).alias("metadata"),
+            F.when(has_metadata, _at(doc, "$[0].metadata")).alias("metadata"),
         )
     )
 
