@@ -391,14 +391,16 @@ ORACLES: dict[str, str] = {
     "snapshot_diff": _with(
         "land",
         select="""
-        , old AS (SELECT intersection_id, signal_state, window_end FROM land
-                  WHERE minute(window_end) > 0 AND minute(window_end) <= 5
-                  QUALIFY row_number() OVER (
-                      PARTITION BY intersection_id ORDER BY window_end DESC) = 1),
-          new AS (SELECT intersection_id, signal_state, window_end FROM land
-                  WHERE minute(window_end) > 25 AND minute(window_end) <= 30
-                  QUALIFY row_number() OVER (
-                      PARTITION BY intersection_id ORDER BY window_end DESC) = 1)
+        , old AS (SELECT intersection_id, signal_state, window_end
+                  FROM (SELECT * FROM land WHERE window_end <= TIMESTAMP '2024-01-01 00:15:00'
+                        QUALIFY row_number() OVER (
+                            PARTITION BY intersection_id ORDER BY window_end DESC) = 1)
+                  WHERE avg_stop_duration_seconds > 20.0 AND avg_vehicle_speed_kmh < 30.0),
+          new AS (SELECT intersection_id, signal_state, window_end
+                  FROM (SELECT * FROM land
+                        QUALIFY row_number() OVER (
+                            PARTITION BY intersection_id ORDER BY window_end DESC) = 1)
+                  WHERE avg_stop_duration_seconds > 20.0 AND avg_vehicle_speed_kmh < 30.0)
         SELECT coalesce(new.intersection_id, old.intersection_id) AS intersection_id,
                CASE WHEN old.intersection_id IS NULL THEN 'added'
                     WHEN new.intersection_id IS NULL THEN 'removed'

@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from signalmill.functions import severe_bottleneck
 from signalmill.functions.times import as_instant
 from signalmill.operators import events as ev
 from signalmill.operators import inventory as inv
@@ -341,20 +342,22 @@ def health_labels(spark, sf_dir):
     return plain(row.drop("status", "max_lag_seconds"))
 
 
-def snapshots(spark, sf_dir):
-    """Latest state per id among the windows of five minutes, early and late."""
-
-    def recent(first: int, last: int) -> DataFrame:
-        at = F.minute("window_end")
-        rows = d.landing(spark, sf_dir).filter((at > first) & (at <= last))
-        return status.latest_status(rows).select("intersection_id", "signal_state", "window_end")
-
-    return recent(0, 5), recent(25, 30)
+def _bottlenecks(landing: DataFrame) -> DataFrame:
+    """Ids whose latest window is a bottleneck by milder thresholds than the default."""
+    stop, speed = F.col("avg_stop_duration_seconds"), F.col("avg_vehicle_speed_kmh")
+    severe = severe_bottleneck(stop, speed, 20.0, 30.0)
+    latest = status.latest_status(landing).filter(severe)
+    return latest.select("intersection_id", "signal_state", "window_end")
 
 
 def snapshot_diff_query(spark, sf_dir):
-    old, new = snapshots(spark, sf_dir)
-    return plain(snapshot_diff(old, new, "intersection_id", "signal_state", "window_end"))
+    """The list of bottlenecks as it was half way, against the list at the end."""
+    rows = d.landing(spark, sf_dir)
+    before = rows.filter(F.col("window_end") <= as_instant(CUT_WINDOW))
+    diff = snapshot_diff(
+        _bottlenecks(before), _bottlenecks(rows), "intersection_id", "signal_state", "window_end"
+    )
+    return plain(diff)
 
 
 # --- Inventory -----------------------------------------------------------------------------

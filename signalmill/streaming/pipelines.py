@@ -90,8 +90,9 @@ def start_landing(
 
     ``sink="log"`` appends versions and suits any size; ``sink="table"`` merges each
     micro-batch into the landing table and suits a small one. Both may run a micro-batch twice
-    without harm. By default the stream drains what there is and ends; ``continuous`` keeps it
-    running until it is stopped.
+    without harm. A log belongs to one checkpoint: its versions are numbered by micro-batch, so
+    a new checkpoint needs a new log. By default the stream drains what there is and ends;
+    ``continuous`` keeps it running until it is stopped.
     """
     if sink not in ("log", "table"):
         raise ValueError(f"sink is 'log' or 'table', not {sink!r}")
