@@ -1,4 +1,4 @@
-"""The jobs as commands: ``spark-submit … -m signalmill <job> …``."""
+"""The jobs as commands: ``python -m signalmill <job> …``, settings by the usual Spark means."""
 
 from __future__ import annotations
 
