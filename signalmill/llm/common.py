@@ -73,3 +73,18 @@ def batches_of(batches: Iterator[pa.RecordBatch], max_bytes: int = 1 << 23, text
 def id_hash(column: str = "doc_id"):
     """crc32 of the id written as text; a null id counts as the empty text."""
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary"))
+
+
+def separated(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """As string_bytes, with one zero byte behind every string."""
+    data, offsets = string_bytes(column)
+    return np.insert(data, offsets[1:], 0), offsets + np.arange(len(offsets))
+
+
+def sums(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Sum of each part of the first axis; empty parts give zero."""
+    out = np.zeros((len(offsets) - 1, *values.shape[1:]), values.dtype)
+    full = np.diff(offsets) > 0
+    if full.any():
+        out[full] = np.add.reduceat(values, offsets[:-1][full], axis=0)
+    return out

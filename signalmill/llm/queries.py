@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from signalmill.llm.common import table, tokenizer_path
+from signalmill.llm.language_id import language_id
 from signalmill.llm.token_counts import token_counts
 
 
@@ -15,7 +16,13 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(docs, tokenizer_path("piece_bpe_32k.model"), limit=4096)
 
 
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = language_id(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "held_out", "lang_pred", "score", "langs")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
+    "op8_language_id": op8_language_id,
 }
 ORACLES: dict[str, str] = {}
