@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from signalmill.llm.common import table, tokenizer_path
 from signalmill.llm.language_id import language_id
+from signalmill.llm.oracles import ORACLES
+from signalmill.llm.source_mix import source_mix
 from signalmill.llm.token_counts import token_counts
 
 
@@ -16,6 +18,11 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(docs, tokenizer_path("piece_bpe_32k.model"), limit=4096)
 
 
+def op5_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mix = source_mix(table(spark, sf_dir, "documents"))
+    return mix.select("doc_id", "size", "source_size", "target", "taken")
+
+
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = language_id(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "held_out", "lang_pred", "score", "langs")
@@ -23,6 +30,8 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
+    "op5_source_mix": op5_source_mix,
     "op8_language_id": op8_language_id,
 }
-ORACLES: dict[str, str] = {}
+
+__all__ = ["ORACLES", "QUERIES"]
