@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from signalmill.llm.common import table, tokenizer_path
 from signalmill.llm.language_id import language_id
 from signalmill.llm.oracles import ORACLES
+from signalmill.llm.packing import packed
 from signalmill.llm.source_mix import source_mix
 from signalmill.llm.token_counts import token_counts
 
@@ -28,10 +29,15 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "held_out", "lang_pred", "score", "langs")
 
 
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packed(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op5_source_mix": op5_source_mix,
     "op8_language_id": op8_language_id,
+    "op9_packing": op9_packing,
 }
 
 __all__ = ["ORACLES", "QUERIES"]
