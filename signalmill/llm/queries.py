@@ -12,6 +12,8 @@ from signalmill.llm.oracles import ORACLES
 from signalmill.llm.packing import packed
 from signalmill.llm.source_mix import source_mix
 from signalmill.llm.token_counts import token_counts
+from signalmill.llm.token_files import read_token_files, token_digest, write_token_files
+from signalmill.session import shared_folder
 
 
 def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -19,6 +21,14 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(docs, tokenizer_path("piece_bpe_32k.model"), limit=4096)
 
 
+def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = shared_folder(spark, "token-files")
+    write_token_files(
+        table(spark, sf_dir, "documents"), path, tokenizer_path("byte_bpe_50k.json"), end_id=0
+    )
+    return token_digest(read_token_files(spark, path))
+
+
 def op5_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     mix = source_mix(table(spark, sf_dir, "documents"))
     return mix.select("doc_id", "size", "source_size", "target", "taken")
@@ -35,6 +45,7 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
+    "op3_token_files": op3_token_files,
     "op5_source_mix": op5_source_mix,
     "op8_language_id": op8_language_id,
     "op9_packing": op9_packing,
