@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from signalmill.llm.common import table, tokenizer_path
 from signalmill.llm.language_id import language_id
+from signalmill.llm.ngram_join import ngram_join
 from signalmill.llm.oracles import ORACLES
 from signalmill.llm.packing import packed
 from signalmill.llm.source_mix import source_mix
@@ -34,6 +35,11 @@ def op5_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = ngram_join(table(spark, sf_dir, "documents"), width=5, percent=80)
+    return found.select("doc_id", "n_shingles", "component_id")
+
+
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = language_id(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "held_out", "lang_pred", "score", "langs")
@@ -47,6 +53,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op3_token_files": op3_token_files,
     "op5_source_mix": op5_source_mix,
+    "op6_ngram_join": op6_ngram_join,
     "op8_language_id": op8_language_id,
     "op9_packing": op9_packing,
 }
