@@ -7,9 +7,12 @@ per worker and remembered. Texts with special strings, or characters beyond the
 from __future__ import annotations
 
 import functools
+import itertools
 import json
 import os
 import re
+import sys
+from array import array
 
 import numpy as np
 
@@ -23,13 +26,21 @@ PATTERN = (
 )
 # Remembered pre-tokens of a worker; beyond that it starts anew. Bounds memory, not results.
 REMEMBERED = 1_000_000
-_UNSURE = "[\x1c-\x1f\x85\xa0]|[^\x00-ɏ]"
-_WORDS_AT_ONCE = 4000
+_UNSURE = "[^\x00-\x1b\x20-\x84\x86-\x9f\xa1-ɏ]"
+
+
+def byte_alphabet() -> dict[int, str]:
+    """The letter that stands for each byte: itself if it prints, else the next from U+0100 on."""
+    prints = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    others = [b for b in range(256) if b not in prints]
+    return {b: chr(b) for b in prints} | {b: chr(0x100 + i) for i, b in enumerate(others)}
 
 
 class ByteTokens:
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+        if sys.byteorder != "little" or array("I").itemsize != 4:
+            raise RuntimeError("ids are kept as little-endian 32-bit integers")
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
@@ -42,20 +53,27 @@ class ByteTokens:
             and step.get("use_regex", True)
             and not step.get("add_prefix_space")
         )
-        special = [re.escape(t["content"]) for t in spec.get("added_tokens", [])]
-        # A file of another kind: every text goes through the library whole.
-        self.whole = re.compile("|".join([_UNSURE, *special]) if plain else "(?s:.)").search
+        self.plain = plain
+        self.special = [t["content"] for t in spec.get("added_tokens", [])]
+        self.unsure = re.compile(_UNSURE).search
+        self.letters = byte_alphabet()
+        self.width = 2 if self.library.get_vocab_size() <= 1 << 16 else 4
         self.split = re.compile(PATTERN).findall
         self.known: dict[str, bytes] = {}
 
-    def _learn(self, words: list[str]) -> None:
-        for i in range(0, len(words), _WORDS_AT_ONCE):
-            part = words[i : i + _WORDS_AT_ONCE]
-            got = self.library.encode(part, is_pretokenized=True, add_special_tokens=False)
-            ids = np.array(got.ids, "<u4")
-            ends = np.searchsorted(np.array(got.word_ids), np.arange(len(part) + 1)).tolist()
-            for word, a, b in zip(part, ends, ends[1:], strict=False):
-                self.known[word] = ids[a:b].tobytes()
+    def whole(self, text: str) -> bool:
+        """Whether the text goes through the library whole, as all do for another kind of file."""
+        if not self.plain or any(x in text for x in self.special):
+            return True
+        if text.isascii():
+            return any(x in text for x in "\x1c\x1d\x1e\x1f")
+        return bool(self.unsure(text))
+
+    def _learn(self, words: set[str]) -> None:
+        tokenize, letters, known = self.library.model.tokenize, self.letters, self.known
+        for word in words:
+            spelled = word.encode().decode("latin-1").translate(letters)
+            known[word] = array("I", [t.id for t in tokenize(spelled)]).tobytes()
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers; a null text has none."""
@@ -67,12 +85,12 @@ class ByteTokens:
                 out[i] = np.array(x.ids, "<u4").tobytes()
         skip = set(whole)
         rest = [(i, self.split(t)) for i, t in enumerate(texts) if t and i not in skip]
-        new = {w for _, words in rest for w in words}
+        new = set(itertools.chain.from_iterable(words for _, words in rest))
         fresh = new - self.known.keys()
         if len(self.known) + len(fresh) > REMEMBERED:
             self.known.clear()
             fresh = new
-        self._learn(list(fresh))
+        self._learn(fresh)
         of = self.known.__getitem__
         for i, words in rest:
             out[i] = b"".join(map(of, words))

@@ -162,14 +162,17 @@ def decode_blocks(
     return ids
 
 
-def token_ids(docs: DataFrame, tokenizer_path: str, end_id: int = 0) -> DataFrame:
-    """doc_id and ids (little-endian unsigned 32-bit) of every text with the end id behind it."""
+def token_ids(docs: DataFrame, tokenizer_path: str, end_id: int, width: int) -> DataFrame:
+    """doc_id and ids (little-endian, of ``width`` bytes) of every text, the end id behind it."""
     end = np.array([end_id], "<u4").tobytes()
 
     def encoded(batches):
         model = byte_tokens(tokenizer_path)
         for batch in batches_of(batches):
-            ids = [x + end for x in model.encode(batch.column("text").to_pylist())]
+            ids = [
+                np.frombuffer(x + end, "<u4").astype(f"<u{width}").tobytes()
+                for x in model.encode(batch.column("text").to_pylist())
+            ]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(ids, pa.binary())], ["doc_id", "ids"]
             )
@@ -177,14 +180,14 @@ def token_ids(docs: DataFrame, tokenizer_path: str, end_id: int = 0) -> DataFram
     return docs.select("doc_id", "text").mapInArrow(encoded, "doc_id long, ids binary")
 
 
-def id_counts(ids: DataFrame) -> DataFrame:
+def id_counts(ids: DataFrame, width: int) -> DataFrame:
     """How often each id occurs: id, n. Tasks sum before the shuffle."""
 
     def counted(batches):
         total = np.zeros(0, np.int64)
         for batch in batches_of(batches, text="ids"):
             data = b"".join(batch.column("ids").to_pylist())
-            n = np.bincount(np.frombuffer(data, "<u4"), minlength=len(total))
+            n = np.bincount(np.frombuffer(data, f"<u{width}"), minlength=len(total))
             n[: len(total)] += total
             total = n
         found = np.flatnonzero(total)
@@ -202,8 +205,9 @@ def write_token_files(docs: DataFrame, path: str, tokenizer_path: str, end_id: i
     doc_ids are ordered by their ids, a null doc_id comes first. Other columns take no part.
     """
     spark = docs.sparkSession
-    ids = stored(token_ids(docs, tokenizer_path, end_id), "ids")
-    counts = id_counts(ids).toPandas()  # one row an id of the vocabulary at most
+    width = byte_tokens(tokenizer_path).width
+    ids = stored(token_ids(docs, tokenizer_path, end_id, width), "ids")
+    counts = id_counts(ids, width).toPandas()  # one row an id of the vocabulary at most
     freq = quantized(counts["id"].to_numpy(np.int64), counts["n"].to_numpy(np.int64))
     used = np.flatnonzero(freq)
     spark.createDataFrame(
@@ -217,13 +221,14 @@ def write_token_files(docs: DataFrame, path: str, tokenizer_path: str, end_id: i
 
         def flush():
             nonlocal start, number, group
-            sizes = np.array([len(data) // 4 for _, _, data in group], np.int64)
-            flat = np.frombuffer(b"".join(data for _, _, data in group), "<u4")
+            sizes = np.array([len(data) // width for _, _, data in group], np.int64)
+            flat = np.frombuffer(b"".join(data for _, _, data in group), f"<u{width}")
             rows = []
             for (doc_ids, lengths, data), n, parts in zip(
                 group, sizes.tolist(), encode_blocks(flat, sizes, shared.value), strict=True
             ):
-                rows.append((part, number, start, doc_ids, lengths, n, zlib.crc32(data), *parts))
+                full = np.frombuffer(data, f"<u{width}").astype("<u4").tobytes()
+                rows.append((part, number, start, doc_ids, lengths, n, zlib.crc32(full), *parts))
                 start += n
                 number += 1
             group = []
@@ -239,13 +244,13 @@ def write_token_files(docs: DataFrame, path: str, tokenizer_path: str, end_id: i
                 batch.column("doc_id").to_pylist(), batch.column("ids").to_pylist(), strict=True
             ):
                 doc_ids.append(doc_id)
-                lengths.append(len(one) // 4)
+                lengths.append(len(one) // width)
                 data.append(one)
-                waiting += len(one) // 4
+                waiting += len(one) // width
                 if waiting >= BLOCK_TOKENS:
                     group.append((doc_ids, lengths, b"".join(data)))
                     doc_ids, lengths, data, waiting = [], [], [], 0
-                    if sum(len(x[2]) for x in group) >= 4 * TASK_TOKENS:
+                    if sum(len(x[2]) for x in group) >= width * TASK_TOKENS:
                         yield flush()
         if doc_ids:
             group.append((doc_ids, lengths, b"".join(data)))
