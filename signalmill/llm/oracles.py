@@ -78,4 +78,18 @@ SELECT d.doc_id, d.size, q.source_size, q.target, 0::BIGINT
 FROM d JOIN quota q ON d.source IS NOT DISTINCT FROM q.source WHERE d.size = 0
 """
 
-ORACLES: dict[str, str] = {"op5_source_mix": SOURCE_MIX}
+TOP_K = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS e
+  FROM embeddings
+  WHERE embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id AS vec_id, list_dot_product(q.e, c.e)::BIGINT AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0)
+SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank,
+  vec_id, score
+FROM s QUALIFY rank <= 20
+"""
+
+ORACLES: dict[str, str] = {"op4_threshold_top_k": TOP_K, "op5_source_mix": SOURCE_MIX}

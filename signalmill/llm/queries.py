@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from signalmill.llm.common import table, tokenizer_path
 from signalmill.llm.language_id import language_id
@@ -14,6 +15,8 @@ from signalmill.llm.packing import packed
 from signalmill.llm.source_mix import source_mix
 from signalmill.llm.token_counts import token_counts
 from signalmill.llm.token_files import read_token_files, token_digest, write_token_files
+from signalmill.llm.top_k import threshold_top_k
+from signalmill.llm.vector_forest import forest_search
 from signalmill.session import shared_folder
 
 
@@ -22,6 +25,10 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(docs, tokenizer_path("piece_bpe_32k.model"), limit=4096)
 
 
+def op2_vector_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return forest_search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
 def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_folder(spark, "token-files")
     write_token_files(
@@ -30,6 +37,10 @@ def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_digest(read_token_files(spark, path))
 
 
+def op4_threshold_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return threshold_top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
 def op5_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     mix = source_mix(table(spark, sf_dir, "documents"))
     return mix.select("doc_id", "size", "source_size", "target", "taken")
@@ -51,7 +62,9 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
+    "op2_vector_forest": op2_vector_forest,
     "op3_token_files": op3_token_files,
+    "op4_threshold_top_k": op4_threshold_top_k,
     "op5_source_mix": op5_source_mix,
     "op6_ngram_join": op6_ngram_join,
     "op8_language_id": op8_language_id,
