@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from signalmill.llm.common import table, tokenizer_path
+from signalmill.llm.html_extract import html_texts
 from signalmill.llm.language_id import language_id
 from signalmill.llm.ngram_join import ngram_join
 from signalmill.llm.oracles import ORACLES
@@ -60,6 +61,10 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
 
 
+def op10_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_texts(table(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_vector_forest": op2_vector_forest,
@@ -69,6 +74,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_ngram_join": op6_ngram_join,
     "op8_language_id": op8_language_id,
     "op9_packing": op9_packing,
+    "op10_html_extract": op10_html_extract,
 }
 
 __all__ = ["ORACLES", "QUERIES"]
