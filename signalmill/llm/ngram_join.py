@@ -3,29 +3,30 @@
 A document is its set of word shingles. Those that link with it hold at least T of its shingles,
 T being 0.8 times its size, so they hold one of its n - T + 1 rarest. Across the cluster only the
 lists of these rare shingles are made. Documents that meet in a list form a block, named after the
-list's least member; in a block the lists are searched with DivideSkip: short lists are merged and
-counted, long lists are probed by binary search for the documents that can still reach T.
+list's least member; those whose parity bits rule out any link in their block leave it. In a
+block the lists are searched with DivideSkip: short lists are merged and counted, long lists are
+probed by binary search for the documents that can still reach T.
 """
 
 from __future__ import annotations
 
 import hashlib
-import zlib
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from signalmill.llm.common import batches_of, spans, stored
 from signalmill.llm.components import components
+from signalmill.llm.counters import PARTS, counter_columns, summed
 from signalmill.llm.words import shingle_sets
 
 # Counters by which frequent shingles are known; their number does not grow with the corpus.
 SKETCH = 1 << 21
-_PARTS = 64
+# Members of a part of a block whose parities one task compares.
+NEAR_MEMBERS = 4096
 # Shingles of a part of a block: bounds what one task searches.
 BLOCK_SHINGLES = 1 << 20
 PERCENT = 80
@@ -45,14 +46,41 @@ def class_key(shingles: np.ndarray) -> int:
     return int.from_bytes(digest, "little", signed=True)
 
 
+def parity(shingles: np.ndarray) -> np.ndarray:
+    """A bit for each of a power of two of hash buckets, at least one a shingle: odd or even."""
+    bits = 1 << max(6, int(max(1, len(shingles)) - 1).bit_length())
+    bucket = (shingles >> np.uint64(24) & np.uint64(bits - 1)).astype(np.int64)
+    odd = (np.bincount(bucket, minlength=bits) & 1).astype(np.uint8)
+    return np.packbits(odd, bitorder="little").view(np.uint64)
+
+
+def may_link(a: np.ndarray, b: np.ndarray, n: np.ndarray, m: np.ndarray, percent: int):
+    """Whether sets of sizes n and m can link, by their parities of equal length.
+
+    Each bucket of unlike parity holds a shingle of one set alone, and linked sets have at most
+    (100 - percent) / (100 + percent) * (n + m) of those. Never wrong about a set that links.
+    """
+    unlike = np.bitwise_count(a ^ b).sum(axis=-1, dtype=np.int64)
+    close = (unlike * (100 + percent) <= (100 - percent) * (n + m))
+    return close & (100 * np.minimum(n, m) >= percent * np.maximum(n, m))
+
+
+def folded(x: np.ndarray, length: int) -> np.ndarray:
+    """Parities of fewer buckets."""
+    while x.shape[-1] > length:
+        half = x.shape[-1] // 2
+        x = x[..., :half] ^ x[..., half:]
+    return x
+
+
 def shingle_statistics(docs: DataFrame, width: int) -> DataFrame:
-    """A row (doc_id, n, k) per document, and rows (part, counts) with each task's counters."""
+    """A row (doc_id, n, k, parity) per document, and (part, task, counts) with task counters."""
 
     def counted(batches):
         total = np.zeros(SKETCH, np.int64)
-        task = TaskContext.get().partitionId()
         schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("k", pa.int64()),
-                            ("part", pa.int32()), ("task", pa.int32()), ("counts", pa.binary())])
+                            ("parity", pa.binary()), ("part", pa.int32()), ("task", pa.int32()),
+                            ("counts", pa.binary())])
         for batch in batches_of(batches, BATCH_BYTES):
             sets = shingle_sets(batch.column("text"), width)
             every = np.concatenate([np.zeros(0, np.uint64), *sets])
@@ -60,46 +88,32 @@ def shingle_statistics(docs: DataFrame, width: int) -> DataFrame:
             none = pa.nulls(len(sets), pa.int32())
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()),
-                 pa.array([class_key(s) for s in sets], pa.int64()), none, none,
+                 pa.array([class_key(s) for s in sets], pa.int64()),
+                 pa.array([parity(s).tobytes() for s in sets], pa.binary()), none, none,
                  pa.nulls(len(sets), pa.binary())],
                 schema=schema,
             )
         if total.any():
-            blobs = [zlib.compress(x.tobytes(), 1) for x in total.reshape(_PARTS, -1)]
-            none = pa.nulls(_PARTS, pa.int64())
+            none = pa.nulls(PARTS, pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [none, none, none, pa.array(range(_PARTS), pa.int32()),
-                 pa.array([task] * _PARTS, pa.int32()), pa.array(blobs, pa.binary())],
+                [none, none, none, pa.nulls(PARTS, pa.binary()), *counter_columns(total)],
                 schema=schema,
-            )
+            )
 
     return docs.select("doc_id", "text").mapInArrow(
-        counted, "doc_id long, n long, k long, part int, task int, counts binary"
+        counted, "doc_id long, n long, k long, parity binary, part int, task int, counts binary"
     )
 
 
 def rarity(counters: DataFrame) -> np.ndarray:
     """Of each counter the logarithm of its sum over all tasks, in steps: 0 for the rarest."""
-
-    def added(group: pd.DataFrame) -> pd.DataFrame:
-        total = sum(np.frombuffer(zlib.decompress(b), np.int64) for b in group["counts"])
-        blob = zlib.compress(total.tobytes(), 1)
-        return pd.DataFrame({"part": group["part"][:1], "counts": [blob]})
-
-    schema = "part int, counts binary"
-    some = counters.groupBy("part", F.pmod("task", F.lit(64)).alias("few")).applyInPandas(
-        added, schema
-    )
-    rows = some.groupBy("part").applyInPandas(added, schema).collect()
-    total = np.zeros((_PARTS, SKETCH // _PARTS), np.int64)
-    for row in rows:
-        total[row["part"]] = np.frombuffer(zlib.decompress(row["counts"]), np.int64)
+    total = summed(counters, SKETCH)
     noise = max(1.0, total.mean())
-    return np.clip(np.log2(np.maximum(total.ravel(), 1) / noise) - 1, 0, 60).astype(np.uint8)
+    return np.clip(np.log2(np.maximum(total, 1) / noise) - 1, 0, 60).astype(np.uint8)
 
 
 def rare_postings(docs: DataFrame, level: np.ndarray, width: int, percent: int) -> DataFrame:
-    """The rarest n - T + 1 shingles of each set: shingle, k, n. Copies in a batch count once."""
+    """The rarest n - T + 1 shingles of each set: shingle, k. Copies in a batch count once."""
     shared = docs.sparkSession.sparkContext.broadcast(level)
 
     def rare(batches):
@@ -114,12 +128,11 @@ def rare_postings(docs: DataFrame, level: np.ndarray, width: int, percent: int)
             sizes = [len(c) for c in chosen]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.concatenate([np.zeros(0, np.uint64), *chosen]).view(np.int64)),
-                 pa.array(np.repeat(np.array(list(sets), np.int64), sizes)),
-                 pa.array(np.repeat(np.array([len(s) for s in sets.values()], np.int64), sizes))],
-                ["shingle", "k", "n"],
+                 pa.array(np.repeat(np.array(list(sets), np.int64), sizes))],
+                ["shingle", "k"],
             )
 
-    return docs.select("text").mapInArrow(rare, "shingle long, k long, n long")
+    return docs.select("text").mapInArrow(rare, "shingle long, k long")
 
 
 def sets_of(docs: DataFrame, width: int) -> DataFrame:
@@ -220,64 +233,163 @@ def _overlap_links(pairs: DataFrame, percent: int) -> DataFrame:
     return pairs.select("a", "b", "shingles", "others").mapInArrow(probed, "a long, b long")
 
 
+def _grid(members: DataFrame, weight: str, bound: int) -> DataFrame:
+    """Members (hub, k, loose, ...) dealt to groups (bucket, i, j) in which to search blocks.
+
+    Only pairs with a loose member matter. A block of more than ``bound`` weight is cut in parts:
+    parts with loose members meet every part, so each pair of parts is one group. The other blocks
+    go whole, many to a bucket.
+    """
+    of_hub = Window.partitionBy("hub")
+    sized = (
+        members.withColumn("parts", F.ceil(F.sum(weight).over(of_hub) / bound).cast("int"))
+        .withColumn("any_loose", F.max("loose").over(of_hub))
+        .where("any_loose")
+        .withColumn("part", F.pmod(F.xxhash64("k"), F.col("parts")).cast("int"))
+    )
+    with_loose = F.when(F.col("loose"), F.col("part"))
+    meets = F.when(F.col("loose"), F.sequence(F.lit(0), F.col("parts") - 1)).otherwise(
+        F.collect_set(with_loose).over(of_hub)
+    )
+    small = F.when(F.col("parts") <= 1, F.array(F.lit(0))).otherwise(meets)
+    total = members.agg(F.sum(weight)).first()[0] or 0
+    buckets = max(1, int(2 * total // bound))
+    return (
+        sized.withColumn("meets", small)
+        .withColumn("other", F.explode("meets"))
+        .withColumn("i", F.least("part", "other"))
+        .withColumn("j", F.greatest("part", "other"))
+        .withColumn(
+            "bucket",
+            F.when(F.col("parts") <= 1, F.pmod(F.xxhash64("hub"), F.lit(buckets))).otherwise(
+                F.col("hub")
+            ),
+        )
+    )
+
+
+def near_members(blocks: DataFrame, rows: DataFrame, percent: int) -> DataFrame:
+    """The members (hub, k, n) of blocks (hub, k) that can link with another of their block.
+
+    First each is held against its hub by their parities, which keeps groups of near copies
+    without further ado; the others are held against all members.
+    """
+    facts = rows.groupBy("k").agg(F.first("n").alias("n"), F.first("parity").alias("parity"))
+    facts = stored(facts.join(blocks.select("k").distinct(), "k", "left_semi"), "ngram-facts")
+    of_hub = facts.select(
+        F.col("k").alias("hub"), F.col("n").alias("hub_n"), F.col("parity").alias("hub_parity")
+    )
+    members = (
+        blocks.withColumn("size", F.count("*").over(Window.partitionBy("hub")))
+        .join(facts, "k")
+        .join(of_hub, "hub")
+    )
+
+    def against_hub(batches):
+        for batch in batches_of(batches, text="parity"):
+            near = []
+            for n, m, x, y in zip(
+                batch.column("n").to_pylist(), batch.column("hub_n").to_pylist(),
+                batch.column("parity").to_pylist(), batch.column("hub_parity").to_pylist(),
+                strict=True,
+            ):
+                a, b = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+                short = min(len(a), len(b))
+                fits = 100 * min(n, m) >= percent * max(n, m)
+                near.append(
+                    fits and bool(may_link(folded(a, short), folded(b, short), n, m, percent))
+                )
+            names = ["hub", "k", "n", "size", "parity"]
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(x) for x in names), pa.array(near, pa.bool_())], [*names, "near"]
+            )
+
+    star = stored(
+        members.select("hub", "k", "n", "size", "parity", "hub_n", "hub_parity").mapInArrow(
+            against_hub, "hub long, k long, n long, size long, parity binary, near boolean"
+        ),
+        "ngram-star",
+    )
+    tied = star.where("near AND k <> hub").select("hub", "k", "n")
+    hubs = star.where("k = hub").join(tied.select("hub").distinct(), "hub", "left_semi")
+    rest = star.where("size > 2 AND k <> hub").withColumn("loose", ~F.col("near"))
+
+    def searched(group: pd.DataFrame) -> pd.DataFrame:
+        out = []
+        for _, block in group.groupby("hub", sort=False):
+            if len(block) > 1:
+                out.append(block[near_others(block, percent)][["hub", "k", "n"]])
+        return pd.concat([group.iloc[:0][["hub", "k", "n"]], *out])
+
+    found = (
+        _grid(rest.withColumn("one", F.lit(1)), "one", NEAR_MEMBERS)
+        .select("bucket", "i", "j", "hub", "k", "n", "parity")
+        .groupBy("bucket", "i", "j")
+        .applyInPandas(searched, "hub long, k long, n long")
+    )
+    return (
+        tied.unionByName(hubs.select("hub", "k", "n")).unionByName(found).distinct()
+    )
+
+
+def near_others(block: pd.DataFrame, percent: int) -> np.ndarray:
+    """Of each member whether another one's parity allows a link."""
+    n = block["n"].to_numpy()
+    bits = [np.frombuffer(b, np.uint64) for b in block["parity"]]
+    length = np.array([len(b) for b in bits])
+    near = np.zeros(len(bits), bool)
+    for size in np.unique(length):
+        # Sets that can link differ in size by less than two, so their parities by one folding.
+        here = np.flatnonzero((length == size) | (length == 2 * size))
+        own = length[here] == size
+        x = np.stack([folded(bits[i], size) for i in here])
+        for a in np.flatnonzero(own):
+            hit = may_link(x, x[a], n[here], n[here[a]], percent)
+            hit[a] = False
+            if hit.any():
+                near[here[a]] = True
+                near[here[hit]] = True
+    return near
+
+
 def block_links(blocks: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Links (a, b) that connect all linked members of each block (hub, k, n).
 
-    A block of more than BLOCK_SHINGLES is first probed against its hub, which a group of near
-    copies mostly links to. What does not link is searched against every part of the block, part
-    by part; pairs of parts in which all link to the hub need no search.
+    Members of a block of more than BLOCK_SHINGLES are first probed against its hub, to which a
+    group of near copies mostly links; only those that do not link are searched for in its parts.
     """
     of_hub = Window.partitionBy("hub")
-    sized = blocks.withColumn("parts", F.ceil(F.sum("n").over(of_hub) / BLOCK_SHINGLES))
-    sized = stored(sized, "blocks")
-    large = sized.where("parts > 1")
-    others = sets.select(F.col("k").alias("h"), F.col("shingles").alias("others"))
+    sized = stored(
+        blocks.withColumn("large", F.sum("n").over(of_hub) > BLOCK_SHINGLES), "ngram-sized"
+    )
+    others = sets.select(F.col("k").alias("hub"), F.col("shingles").alias("others"))
     star = stored(
         _overlap_links(
-            large.where("k <> hub")
+            sized.where("large AND k <> hub")
             .join(sets, "k")
-            .join(others, F.col("hub") == F.col("h"))
+            .join(others, "hub")
             .select(F.col("hub").alias("a"), F.col("k").alias("b"), "shingles", "others"),
             percent,
         ),
-        "star-links",
+        "ngram-tied",
     )
     tied = star.select(F.col("a").alias("hub"), F.col("b").alias("k"), F.lit(True).alias("tied"))
-    placed = (
-        large.join(tied, ["hub", "k"], "left")
-        .withColumn("loose", F.col("tied").isNull())
-        .withColumn("mine", F.pmod(F.xxhash64("k"), F.col("parts")).cast("int"))
-    )
-    # A part of loose members meets every part; a member goes to each pair of parts it is in.
-    loose = placed.where("loose").groupBy("hub").agg(F.collect_set("mine").alias("with"))
-    grid = (
-        placed.join(loose, "hub")
-        .withColumn(
-            "other",
-            F.explode(
-                F.when(F.col("loose"), F.sequence(F.lit(0), F.col("parts").cast("int") - 1))
-                .otherwise(F.col("with"))
-            ),
-        )
-        .select(
-            "hub", "k", "loose",
-            F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"),
-        )
-    )
-    small = sized.where("parts <= 1").select(
-        "hub", "k", F.lit(True).alias("loose"), F.lit(0).alias("i"), F.lit(0).alias("j")
-    )
+    members = sized.join(tied, ["hub", "k"], "left").withColumn("loose", F.col("tied").isNull())
 
     def searched(group: pd.DataFrame) -> pd.DataFrame:
-        members = [np.frombuffer(b, np.uint64) for b in group["shingles"]]
-        k = group["k"].to_numpy()
-        links = divide_skip(members, percent, group["loose"].to_numpy(bool))
-        return pd.DataFrame({"a": [k[x] for x, _ in links], "b": [k[y] for _, y in links]}).astype("int64")
+        links = []
+        for _, block in group.groupby("hub", sort=False):
+            sets = [np.frombuffer(b, np.uint64) for b in block["shingles"]]
+            k = block["k"].to_numpy()
+            found = divide_skip(sets, percent, block["loose"].to_numpy(bool))
+            links += [(k[x], k[y]) for x, y in found]
+        return pd.DataFrame(links, columns=["a", "b"], dtype="int64")
 
     found = (
-        small.unionByName(grid)
+        _grid(members, "n", BLOCK_SHINGLES)
+        .select("bucket", "i", "j", "hub", "k", "loose")
         .join(sets, "k")
-        .groupBy("hub", "i", "j")
+        .groupBy("bucket", "i", "j")
         .applyInPandas(searched, "a long, b long")
     )
     return star.unionByName(found)
@@ -304,10 +416,12 @@ def ngram_join(docs: DataFrame, width: int = 5, percent: int = PERCENT) -> DataF
         postings.withColumn("hub", F.min("k").over(of_shingle))
         .withColumn("last", F.max("k").over(of_shingle))
         .where("hub < last")
-        .groupBy("hub", "k")
-        .agg(F.first("n").alias("n")),
+        .select("hub", "k")
+        .distinct(),
         "ngram-blocks",
     )
+    parities = facts.where("part IS NULL").select("n", "k", "parity")
+    blocks = stored(near_members(blocks, parities, percent), "ngram-near")
     wanted = rows.join(blocks.select("k").distinct(), "k", "left_semi")
     wanted = wanted.groupBy("k").agg(F.min("doc_id").alias("doc_id")).select("doc_id").distinct()
     sets = sets_of(docs.join(wanted, "doc_id", "left_semi"), width).dropDuplicates(["k"])

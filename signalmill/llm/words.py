@@ -29,8 +29,8 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def word_hashes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Hash of each word of all texts, and offsets of the texts in the words."""
+def words_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hash and bytes of each word of all texts, and offsets of the texts in the words."""
     data, offsets = separated(column)
     inside = ~_BLANK[data]
     inside[offsets[1:] - 1] = False  # the zero byte behind each text
@@ -40,7 +40,7 @@ def word_hashes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     first, stop = edge[::2], edge[1::2]
     length = stop - first
     if not len(first):
-        return np.zeros(0, np.uint64), np.zeros(len(offsets), np.int64)
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(len(offsets), np.int64)
     power = np.ones(int(length.max()), np.uint64)
     power[1:] = np.cumprod(np.full(len(power) - 1, _STEP, np.uint64), dtype=np.uint64)
     # Bytes between words add nothing, so that a word's sum runs up to the next word.
@@ -49,12 +49,12 @@ def word_hashes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     place = np.arange(first[0], len(data)) - np.repeat(first, gap)
     value = value[first[0] :] * power[np.minimum(place, len(power) - 1)]
     total = np.add.reduceat(value, first - first[0])
-    return mixed(total + length.astype(np.uint64)), np.searchsorted(first, offsets)
+    return mixed(total + length.astype(np.uint64)), length, np.searchsorted(first, offsets)
 
 
 def shingle_sets(column: pa.Array, width: int = 5) -> list[np.ndarray]:
     """The distinct shingles of each text, as sorted hashes; of a short text its whole sequence."""
-    words, texts = word_hashes(column)
+    words, _, texts = words_of(column)
     total = np.zeros(max(0, len(words) - width + 1), np.uint64)
     for i in range(width):
         total += words[i : i + len(total)] * _PLACE[i]
