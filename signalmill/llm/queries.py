@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from signalmill.llm.common import table, tokenizer_path
+from signalmill.llm.context_mixing import context_mixing_scores, training
 from signalmill.llm.html_extract import html_texts
 from signalmill.llm.language_id import language_id
 from signalmill.llm.ngram_join import ngram_join
@@ -52,6 +53,14 @@ def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id")
 
 
+def op7_context_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scores = context_mixing_scores(table(spark, sf_dir, "documents"), training())
+    return scores.withColumn("held_out", ~training()).select(
+        "doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score",
+        "bits_per_byte",
+    )
+
+
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = language_id(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "held_out", "lang_pred", "score", "langs")
@@ -72,6 +81,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_threshold_top_k": op4_threshold_top_k,
     "op5_source_mix": op5_source_mix,
     "op6_ngram_join": op6_ngram_join,
+    "op7_context_mixing": op7_context_mixing,
     "op8_language_id": op8_language_id,
     "op9_packing": op9_packing,
     "op10_html_extract": op10_html_extract,
