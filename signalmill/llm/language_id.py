@@ -127,6 +127,25 @@ def mixture_shares(likelihood: np.ndarray, texts: np.ndarray) -> np.ndarray:
     return share
 
 
+def language_sets(column: pa.Array, model: LanguageModel) -> list[list[tuple[str, float]]]:
+    """The selected languages of each text with their shares, greatest first, ties by name."""
+    names = model.names
+    if not names:
+        return [[] for _ in range(len(column))]
+    grams, words, texts = word_grams(column)
+    found = np.zeros((len(words) - 1, len(names)), np.float32)
+    for i in range(len(names)):
+        if len(words) > 1:
+            found[:, i] = np.add.reduceat(model.log_p[i][grams], words[:-1])
+    out = []
+    for row, text in zip(mixture_shares(found, texts).tolist(), column, strict=True):
+        # Bytes beyond ASCII pass for letters above; a text of signs alone has no language.
+        lettered = any(row) and any(map(str.isalpha, text.as_py()))
+        chosen = sorted((-x, name) for x, name in zip(row, names, strict=True) if x)
+        out.append([(name, -x) for x, name in chosen] if lettered else [])
+    return out
+
+
 def language_mixtures(docs: DataFrame, model: LanguageModel) -> DataFrame:
     """Languages of every text: doc_id, lang_pred, score, langs (array of lang and share).
 
@@ -135,29 +154,21 @@ def language_mixtures(docs: DataFrame, model: LanguageModel) -> DataFrame:
     gets `und`, 0 and no languages. Repeated rows are answered each; other columns of ``docs``
     take no part. A map over the rows with a model of fixed size.
     """
-    model = docs.sparkSession.sparkContext.broadcast(model)
+    shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def answered(batches):
-        names, log_p = model.value.names, model.value.log_p
+        kind = pa.list_(pa.struct([("lang", pa.string()), ("share", pa.float64())]))
         for batch in batches_of(batches, BATCH_BYTES):
-            grams, words, texts = word_grams(batch.column("text"))
-            found = [np.add.reduceat(log_p[i][grams], words[:-1]) if len(words) > 1
-                     else np.zeros(0, np.float32) for i in range(len(names))]
-            share = mixture_shares(np.stack(found, axis=1) if names else np.zeros((0, 0)), texts) \
-                if names else np.zeros((batch.num_rows, 0))
-            langs = []
-            for row, text in zip(share.tolist(), batch.column("text"), strict=True):
-                lettered = any(row) and any(map(str.isalpha, text.as_py()))
-                chosen = sorted((-x, name) for x, name in zip(row, names, strict=True) if x)
-                langs.append([{"lang": b, "share": -a} for a, b in chosen] if lettered else [])
+            langs = language_sets(batch.column("text"), shared.value)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"),
-                 pa.array([x[0]["lang"] if x else UNDETERMINED for x in langs]),
-                 pa.array([min(1.0, x[0]["share"]) if x else 0.0 for x in langs]),
-                 pa.array(langs, pa.list_(pa.struct([("lang", pa.string()),
-                                                     ("share", pa.float64())])))],
+                [
+                    batch.column("doc_id"),
+                    pa.array([x[0][0] if x else UNDETERMINED for x in langs], pa.string()),
+                    pa.array([min(1.0, x[0][1]) if x else 0.0 for x in langs], pa.float64()),
+                    pa.array([[{"lang": a, "share": b} for a, b in x] for x in langs], kind),
+                ],
                 ["doc_id", "lang_pred", "score", "langs"],
-            )
+            )
 
     return docs.select("doc_id", "text").mapInArrow(
         answered,
@@ -165,6 +176,22 @@ def language_mixtures(docs: DataFrame, model: LanguageModel) -> DataFrame:
     )
 
 
+def documents_with_language(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` for which a language is found, learned from its labelled rows.
+
+    Those with a null text or one without letters go; all go where nothing can be learned.
+    """
+    model = learn_languages(docs.where(~held_out()))
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def kept(batches):
+        for batch in batches_of(batches, BATCH_BYTES):
+            langs = language_sets(batch.column("text"), shared.value)
+            yield batch.filter(pa.array([bool(x) for x in langs], pa.bool_()))
+
+    return docs.mapInArrow(kept, docs.schema)
+
+
 def held_out():
     """Whether a document is kept from learning."""
     return id_hash() % 5 == 0

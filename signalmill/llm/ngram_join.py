@@ -17,6 +17,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from signalmill.llm.common import batches_of, spans, stored
 from signalmill.llm.components import components
@@ -443,3 +444,35 @@ def ngram_join(docs: DataFrame, width: int = 5, percent: int = PERCENT) -> DataF
             F.when(F.col("n") > 0, F.col("least_id")).otherwise(F.col("doc_id")).alias("component_id"),
         )
     )
+
+
+def one_of_each_group(docs: DataFrame, width: int = 5, percent: int = PERCENT) -> DataFrame:
+    """The rows of ``docs`` without near-duplicates: of each component the smallest doc_id stays.
+
+    Of rows that repeat both doc_id and set of shingles one stays. Rows without doc_id stay unless
+    a row with one is in their component.
+    """
+    schema = T.StructType([*docs.schema.fields, T.StructField("near_class", T.LongType())])
+
+    def classed(batches):
+        for batch in batches_of(batches, BATCH_BYTES):
+            keys = [class_key(s) for s in shingle_sets(batch.column("text"), width)]
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, pa.array(keys, pa.int64())], [*batch.schema.names, "near_class"]
+            )
+
+    facts = ngram_join(docs, width, percent).groupBy("doc_id", "class_key", "component_id")
+    facts = stored(facts.agg(F.count("*").alias("times")), "ngram-facts")
+    facts = facts.withColumnRenamed("doc_id", "near_id")
+    rows = docs.mapInArrow(classed, schema)
+    same = F.col("doc_id").eqNullSafe(F.col("near_id")) & (F.col("near_class") == F.col("class_key"))
+    dropped = facts.where(~F.col("near_id").eqNullSafe(F.col("component_id")))
+    kept = rows.join(dropped, same, "left_anti")
+    repeated = facts.where("times > 1 AND near_id = component_id")
+    if not repeated.isEmpty():
+        place = Window.partitionBy("doc_id", "near_class").orderBy("doc_id")
+        once = kept.join(repeated, same, "left_semi").withColumn("near_place", F.row_number().over(place))
+        kept = kept.join(repeated, same, "left_anti").unionByName(
+            once.where("near_place = 1").drop("near_place")
+        )
+    return kept.drop("near_class")
