@@ -1,0 +1,142 @@
+"""Vector searches against brute force."""
+
+import math
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from signalmill.llm import top_k, vector_forest
+from signalmill.llm.top_k import SortedLists, threshold_top_k
+from signalmill.llm.vector_forest import forest_search
+
+SCHEMA = "vec_id long, embedding array<float>, label int"
+
+
+def asked():
+    return F.col("vec_id") % 20 == 0
+
+
+def vector_rows(n=500, d=12, seed=1):
+    rng = np.random.default_rng(seed)
+    rows = [(i, rng.standard_normal(d).astype(np.float32).tolist(), 0) for i in range(n)]
+    same = rows[3][1]
+    rows += [(1000 + i, same, 0) for i in range(60)]
+    bad = list(same)
+    bad[2] = float("nan")
+    worse = list(same)
+    worse[1] = float("inf")
+    rows += [
+        (2000, None, 0), (2020, [], 0), (2040, [0.0] * d, 0), (2060, bad, 0), (2080, worse, 0),
+        (2100, [*same[:-1], None], 0), (2120, [1.0, 2.0], 0), (None, same, 0), rows[20], rows[7],
+    ]
+    return rows
+
+
+def usable(rows, d, zero):
+    out = {}
+    for i, v, _ in rows:
+        if i is not None and v and len(v) == d and None not in v and all(map(math.isfinite, v)):
+            if zero or any(v):
+                out[i] = np.array(v, np.float64)
+    return out
+
+
+def brute(vectors, k, exact=float):
+    out = {}
+    for q in vectors:
+        if q % 20 == 0:
+            scored = sorted((-exact(vectors[q] @ v), i) for i, v in vectors.items() if i != q)
+            out[q] = [(r + 1, i, -s) for r, (s, i) in enumerate(scored[:k])]
+    return out
+
+
+def found(df):
+    out = {}
+    for r in df.orderBy("query_id", "rank").collect():
+        out.setdefault(r["query_id"], []).append((r["rank"], r["vec_id"], r["score"]))
+    return out
+
+
+@pytest.fixture(scope="module")
+def vectors(spark):
+    df = spark.createDataFrame(vector_rows(), SCHEMA).repartition(4)
+    return df.select("*", *(F.lit(1).alias(c) for c in ("id", "v", "c", "ids", "asked", "norm", "q")))
+
+
+def test_threshold_top_k(spark, vectors, monkeypatch):
+    monkeypatch.setattr(top_k, "BLOCK_ROWS", 100)
+    monkeypatch.setattr(top_k, "BLOCK_QUERIES", 10)
+    whole = {i: np.floor(64 * v) for i, v in usable(vector_rows(), 12, True).items()}
+    assert found(threshold_top_k(vectors, asked())) == brute(whole, 20, int)
+
+
+def test_threshold_stops_early_and_is_exact():
+    rng = np.random.default_rng(2)
+    rows = np.floor(64 * rng.standard_normal((3000, 3)))
+    lists = SortedLists(rows)
+    for query in (rows[5], -rows[9], np.zeros(3), np.array([0.0, 100.0, 0.0])):
+        at, score = lists.top(query, 10)
+        want = np.sort(rows @ query)[::-1][:10]
+        assert np.sort(score)[::-1][:10].tolist() == want.tolist()
+    read = []
+    spy = SortedLists(rows)
+    spy.rows = type("Rows", (), {"__getitem__": lambda _, i: read.append(len(i)) or rows[i],
+                                 "__len__": lambda _: len(rows), "dtype": rows.dtype})()
+    spy.top(np.array([50.0, 1.0, 1.0]), 5)
+    assert sum(read) < len(rows) / 2
+
+
+def test_huge_components_stay_exact(spark):
+    rows = [(i, [float(2**40 + i), 3.0], 0) for i in range(30)]
+    got = found(threshold_top_k(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int"), asked(), 3))
+    want = {i: [64 * (2**40 + i), 192] for i in range(30)}
+    for q, best in got.items():
+        scores = sorted((min(2**63 - 1, sum(a * b for a, b in zip(want[q], want[i], strict=True))), i) for i in want if i != q)
+        assert [s for _, _, s in best] == [s for s, _ in scores[::-1][:3]]
+
+
+def test_forest_search(vectors):
+    want = brute(usable(vector_rows(), 12, False), 20)
+    got = found(forest_search(vectors, asked()))
+    assert got.keys() == want.keys()
+    hits = 0
+    for q, best in got.items():
+        assert [r for r, _, _ in best] == list(range(1, 21))
+        assert all(abs(s - t) < 1e-9 for (_, _, s), (_, _, t) in zip(best, want[q], strict=True) if best == want[q])
+        hits += len({i for _, i, _ in best} & {i for _, i, _ in want[q]})
+    assert hits >= 0.99 * 20 * len(want)
+
+
+def test_recall_of_a_large_forest(spark, monkeypatch):
+    rng = np.random.default_rng(3)
+    centre = rng.standard_normal((30, 16))
+    rows = [(i, (centre[i % 30] + 0.3 * rng.standard_normal(16)).tolist(), 0) for i in range(3000)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    want = brute(usable(rows, 16, False), 20)
+    monkeypatch.setattr(vector_forest, "SAMPLE", 400)
+    got = found(forest_search(df, asked(), leaf=32, leaves=40))
+    hits = sum(len({i for _, i, _ in got[q]} & {i for _, i, _ in best}) for q, best in want.items())
+    assert hits >= 0.9 * 20 * len(want)
+
+
+def test_forest_visits_the_nearest_leaf_first():
+    rng = np.random.default_rng(4)
+    x = rng.standard_normal((2000, 8))
+    forest = vector_forest.fit_forest(x, 5, trees=3)
+    leaves = forest.leaves(x)
+    for q in range(20):
+        visited = forest.visit(x[q], 3)
+        assert set(visited) == {(t, leaves[q, t]) for t in range(3)}
+        assert len(set(forest.visit(x[q], 60))) == 60
+    assert len(forest.visit(x[0], 10**6)) == 3 * 32
+
+
+@pytest.mark.parametrize("search", [forest_search, threshold_top_k])
+def test_few_or_no_vectors(spark, search):
+    none = spark.createDataFrame([], SCHEMA)
+    assert search(none, asked()).collect() == []
+    bad = spark.createDataFrame([(0, None, 1), (20, [float("nan")], 1)], SCHEMA)
+    assert search(bad, asked()).collect() == []
+    few = spark.createDataFrame([(0, [1.0, 0.0], 1), (1, [2.0, 1.0], 1), (2, [2.0, 1.0], 1)], SCHEMA)
+    assert [r["vec_id"] for r in search(few, asked()).orderBy("rank").collect()] == [1, 2]
