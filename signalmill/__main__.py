@@ -6,7 +6,8 @@ import argparse
 import datetime as dt
 import sys
 
-from pyspark.sql import SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import Observation, SparkSession
 
 from signalmill.operators.inventory import elements, inventory_from_elements
 from signalmill.operators.status import (
@@ -17,7 +18,7 @@ from signalmill.operators.status import (
     status_json,
 )
 from signalmill.plans import jobs
-from signalmill.schemas import SIGNAL_STATES
+from signalmill.schemas import DEFAULT_BBOX, SIGNAL_STATES, WATERMARK
 from signalmill.session import configure
 from signalmill.sources import core as core_table
 from signalmill.sources import events as source
@@ -36,10 +37,8 @@ def parser() -> argparse.ArgumentParser:
             command.add_argument(f"--{option}", required=True)
         return command
 
-    ingest = add("ingest", "validate event text and route it to folders", "events", "out")
-    ingest.add_argument("--max-messages", type=int)
+    add("ingest", "validate event text and route it to folders", "events", "out")
     aggregate = add("aggregate", "aggregate event text into the landing table", "events", "landing")
-    aggregate.add_argument("--max-messages", type=int)
     aggregate.add_argument("--ingested-at")
     aggregate.add_argument("--strict", action="store_true", help="valid events only")
     stream = add("stream", "stream events into the landing log", "log", "checkpoint")
@@ -48,12 +47,13 @@ def parser() -> argparse.ArgumentParser:
     stream.add_argument("--topic", default="traffic-events")
     stream.add_argument("--from-earliest", action="store_true")
     stream.add_argument("--strict", action="store_true", help="valid events only")
+    stream.add_argument("--watermark", default=WATERMARK, help="how late events may be")
     stream.add_argument("--continuous", action="store_true", help="run until stopped")
     fold = add("fold", "merge the landing log into the landing table", "log", "landing")
     fold.add_argument("--before", help="only days ahead of this one")
     add("warehouse", "rebuild core and report orphans", "landing", "inventory", "core")
     refresh = add("refresh", "rebuild the recent days of core", "landing", "inventory", "core")
-    refresh.add_argument("--since", help="first day, by default two days back")
+    refresh.add_argument("--since", help="first day, by default the days that changed")
     for name, text in (("status", "write the status feed"), ("health", "print the health row")):
         command = add(name, text, "core")
         command.add_argument("--inventory")
@@ -67,7 +67,9 @@ def parser() -> argparse.ArgumentParser:
     checks.add_argument("--core")
     freshness = add("freshness", "print the landing lag", "landing")
     freshness.add_argument("--as-of")
-    add("inventory", "turn a map extract into the inventory file", "extract", "out")
+    extract = add("inventory", "turn a map extract into the inventory file", "extract", "out")
+    extract.add_argument("--bbox", type=float, nargs=4, default=DEFAULT_BBOX,
+                         metavar=("SOUTH", "WEST", "NORTH", "EAST"))
     return root
 
 
@@ -75,6 +77,14 @@ def _day(text: str | None) -> dt.date | None:
     return None if text is None else dt.date.fromisoformat(text)
 
 
+def _observed(counts: Observation) -> dict[str, int]:
+    """The counts; none where the planner found nothing to do and dropped the counting as well."""
+    try:
+        return dict(counts.get)
+    except Py4JJavaError:
+        return {}
+
+
 def run(spark: SparkSession, args: argparse.Namespace) -> int:
     """Run one job and return its exit code."""
     inventory = None
@@ -83,12 +93,15 @@ def run(spark: SparkSession, args: argparse.Namespace) -> int:
         inventory = places.read_inventory(spark, args.inventory, required=required)
 
     if args.job == "ingest":
-        raw = source.read_text(spark, args.events, max_messages=args.max_messages)
+        raw = source.read_text(spark, args.events)
         print(jobs.ingest(raw, args.out))
     elif args.job == "aggregate":
-        raw = source.read_text(spark, args.events, max_messages=args.max_messages)
-        rows = jobs.payloads_to_landing(raw, args.landing, args.ingested_at, strict=args.strict)
-        print(f"landing_rows={rows}")
+        raw = source.read_text(spark, args.events)
+        counts = Observation("ingest")
+        rows = jobs.payloads_to_landing(
+            raw, args.landing, args.ingested_at, strict=args.strict, observe=counts
+        )
+        print(f"landing_rows={rows} {_observed(counts)}")
     elif args.job == "stream":
         if args.bootstrap_servers:
             raw = source.stream_topic(
@@ -99,12 +112,14 @@ def run(spark: SparkSession, args: argparse.Namespace) -> int:
         windows = streams.stream_windows(
             streams.flat_events(raw, strict=args.strict),
             states=SIGNAL_STATES if args.strict else None,
+            watermark=args.watermark,
         )
+        metrics = streams.RunMetrics.listen(spark)
         query = streams.start_landing(
             windows, args.log, args.checkpoint, continuous=args.continuous
         )
         query.awaitTermination()
-        print(streams.run_metrics(query))
+        print(metrics.of(query))
     elif args.job == "fold":
         rows = table.fold_versions(spark, args.log, args.landing, before=_day(args.before))
         print(f"folded_rows={rows}")
@@ -116,7 +131,7 @@ def run(spark: SparkSession, args: argparse.Namespace) -> int:
         since = core_table.merge_core(
             spark, args.landing, inventory, args.core, since=_day(args.since)
         )
-        print(f"since={since}")
+        print(f"since={since or 'changed days'}")
     elif args.job == "status" and args.id:
         known = None if inventory is None or inventory.isEmpty() else inventory
         asked = spark.createDataFrame([(args.id,)], "intersection_id string")
@@ -152,7 +167,8 @@ def run(spark: SparkSession, args: argparse.Namespace) -> int:
         print(f"max_landing_lag_seconds={lag:.1f}")
     elif args.job == "inventory":
         nodes = elements(places.read_map_extract(spark, args.extract))
-        if not places.write_inventory(inventory_from_elements(nodes), args.out):
+        rows = inventory_from_elements(nodes, tuple(args.bbox))
+        if not places.write_inventory(rows, args.out):
             print("no nodes found, the inventory stays as it is", file=sys.stderr)
             return 1
     return 0

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from signalmill.schemas import FLAT_EVENT
 
@@ -25,16 +25,19 @@ def usable(flat: DataFrame) -> DataFrame:
 def drop_repeats(events: DataFrame, *, id_col: str = "event_id") -> DataFrame:
     """Each event id once. A stream needs a watermark on ``events`` to bound its memory.
 
-    In a batch the earliest copy by ``seq`` stays where there is such a column; the choice is
-    an aggregate, so copies of one id collapse before the shuffle.
+    Events without an id are no copies of each other and all stay: in a stream each gets a key
+    of its own, in a batch they pass by. In a batch the earliest copy by ``seq`` stays where there
+    is such a column. Ids hardly repeat, so nothing is gained by collapsing them before the
+    shuffle: the rows are dealt by id first, and one sort finds the earliest.
     """
     if events.isStreaming:
-        return events.dropDuplicatesWithinWatermark([id_col])
+        keyed = events.withColumn("_repeat_key", F.coalesce(F.col(id_col).cast("string"), F.uuid()))
+        return keyed.dropDuplicatesWithinWatermark(["_repeat_key"]).drop("_repeat_key")
+    named = events.filter(F.col(id_col).isNotNull())
     if "seq" not in events.columns:
-        return events.dropDuplicates([id_col])
-    others = [c for c in events.columns if c != id_col]
-    return (
-        events.groupBy(id_col)
-        .agg(F.min_by(F.struct(*others), "seq").alias("first"))
-        .select(*[F.col(c) if c == id_col else F.col(f"first.{c}") for c in events.columns])
-    )
+        once = named.dropDuplicates([id_col])
+    else:
+        first = Window.partitionBy(id_col).orderBy("seq")
+        once = named.withColumn("_place", F.row_number().over(first))
+        once = once.filter("_place = 1").drop("_place")
+    return once.unionByName(events.filter(F.col(id_col).isNull()))

@@ -206,6 +206,8 @@ def map_document(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.lit("ref"), F.when(kind == 2, F.concat(F.lit("R"), key.cast("string"))),
             F.lit("crossing:ref"), F.when(kind == 3, F.concat(F.lit("C"), key.cast("string"))),
             F.lit("direction"), F.when(kind == 4, F.lit("forward")),
+            F.lit("highway"), F.when(key % 7 == 6, F.lit("crossing"))
+            .when(key % 7 != 5, F.lit("traffic_signals")),
         ),
         lambda _, value: value.isNotNull(),
     )

@@ -53,11 +53,20 @@ def events_to_landing(
 
 
 def payloads_to_landing(
-    raw: DataFrame, path: str, ingested_at=None, *, strict: bool = False
+    raw: DataFrame,
+    path: str,
+    ingested_at=None,
+    *,
+    strict: bool = False,
+    observe: Observation | str = "ingest",
 ) -> int:
-    """The same from JSON text rows; ``strict`` leaves out events that break the contract."""
+    """The same from JSON text rows; ``strict`` leaves out events that break the contract.
+
+    ``observe`` counts the events, and those left out, on the way.
+    """
     states = SIGNAL_STATES if strict else None
-    return events_to_landing(flat_events(raw, strict=strict), path, ingested_at, states=states)
+    events = flat_events(raw, strict=strict, observe=observe)
+    return events_to_landing(events, path, ingested_at, states=states)
 
 
 def build_warehouse(

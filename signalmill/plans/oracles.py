@@ -420,7 +420,9 @@ ORACLES: dict[str, str] = {
                round(-27.0::DOUBLE - s_suppkey / 30000.0::DOUBLE, 6) AS latitude,
                round(-52.0::DOUBLE - s_suppkey / 7000.0::DOUBLE, 6) AS longitude,
                s_suppkey AS osm_node_id, 'osm' AS source
-        FROM supplier WHERE s_nationkey <> 3""",
+        FROM supplier WHERE s_nationkey <> 3 AND s_suppkey % 7 < 5
+          AND -27.0::DOUBLE - s_suppkey / 30000.0::DOUBLE BETWEEN -27.12::DOUBLE AND -27.0::DOUBLE
+          AND -52.0::DOUBLE - s_suppkey / 7000.0::DOUBLE BETWEEN -52.1::DOUBLE AND -52.0::DOUBLE""",
     "inventory_in_bbox": _with(
         "inv",
         select=f"""SELECT intersection_id, display_name, {_PLACE}, osm_node_id, source FROM inv

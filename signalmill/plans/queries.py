@@ -365,7 +365,8 @@ def snapshot_diff_query(spark, sf_dir):
 
 def inventory_from_extract(spark, sf_dir):
     parsed = d.map_document(spark, sf_dir).select(F.from_json("value", MAP_EXTRACT).alias("doc"))
-    return plain(inv.inventory_from_elements(inv.elements(parsed.select("doc.*"))))
+    nodes = inv.elements(parsed.select("doc.*"))
+    return plain(inv.inventory_from_elements(nodes, (-27.12, -52.1, -27.0, -52.0)))
 
 
 def inventory_in_bbox(spark, sf_dir):

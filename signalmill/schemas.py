@@ -31,7 +31,6 @@ WINDOW_LENGTH = "1 minute"
 WATERMARK = "10 seconds"
 TRIGGER = "15 seconds"
 FRESH_SECONDS = 120.0
-LOOKBACK_DAYS = 2
 MAX_INVALID_SHARE = 0.001
 MAX_EMISSION_GAP_SECONDS = 10
 P95_EVENT_TO_STATUS_SECONDS = 120

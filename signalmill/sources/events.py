@@ -6,11 +6,9 @@ from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from signalmill.operators.validation import is_valid
 
-DEFAULT_SERVERS = "localhost:19092"
-
 
 def topic_options(
-    servers: str = DEFAULT_SERVERS,
+    servers: str,
     topic: str = "traffic-events",
     *,
     earliest: bool = False,
@@ -50,21 +48,26 @@ def topic_rows(records: DataFrame) -> DataFrame:
 
 def read_topic(
     spark: SparkSession,
-    servers: str = DEFAULT_SERVERS,
+    servers: str,
     topic: str = "traffic-events",
     *,
-    max_messages: int | None = None,
+    until: str | None = None,
     min_partitions: int | None = None,
 ) -> DataFrame:
-    """Everything in the topic now, or at most ``max_messages`` of it."""
+    """Everything in the topic now, or up to the end offsets ``until``.
+
+    ``until`` is JSON of the Kafka source, such as ``{"topic": {"0": 500}}``: it bounds a read
+    where it starts, and the same offsets give the same events again.
+    """
     options = topic_options(servers, topic, earliest=True, min_partitions=min_partitions)
-    rows = topic_rows(spark.read.format("kafka").options(**options).load())
-    return rows if max_messages is None else rows.limit(max_messages)
+    if until is not None:
+        options["endingOffsets"] = until
+    return topic_rows(spark.read.format("kafka").options(**options).load())
 
 
 def stream_topic(
     spark: SparkSession,
-    servers: str = DEFAULT_SERVERS,
+    servers: str,
     topic: str = "traffic-events",
     **options,
 ) -> DataFrame:
@@ -73,10 +76,9 @@ def stream_topic(
     return topic_rows(spark.readStream.format("kafka").options(**chosen).load())
 
 
-def read_text(spark: SparkSession, path: str, *, max_messages: int | None = None) -> DataFrame:
+def read_text(spark: SparkSession, path: str) -> DataFrame:
     """One JSON event per line."""
-    rows = spark.read.text(path)
-    return rows if max_messages is None else rows.limit(max_messages)
+    return spark.read.text(path)
 
 
 def stream_text(
@@ -102,7 +104,7 @@ def write_routed(routed: DataFrame, path: str, mode: str = "append") -> None:
     routed.write.mode(mode).partitionBy("topic").json(path)
 
 
-def write_topics(routed: DataFrame, servers: str = DEFAULT_SERVERS) -> None:
+def write_topics(routed: DataFrame, servers: str) -> None:
     """Each row to the topic its column names, keyed by intersection."""
     (
         routed.select("topic", "key", "value")

@@ -3,23 +3,31 @@
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from signalmill.schemas import INVENTORY, MAP_EXTRACT, require_shape
 
 
 def read_inventory(spark: SparkSession, path: str, *, required: bool = True) -> DataFrame:
-    """Typed inventory rows from CSV with a header.
+    """Typed inventory rows from CSV with a header; columns are found by their names.
 
-    ``required`` decides what an inventory without rows means: an error for a job that needs
+    A column that the file lacks is null, a number that cannot be read as well, which the
+    inventory rules report. ``required`` decides what an inventory without rows means: an error for a job that needs
     one, an empty frame for a reader that can do without, also when the file is missing.
     """
     try:
-        rows = spark.read.schema(INVENTORY).option("header", True).csv(path)
+        text = spark.read.option("header", True).csv(path)
     except AnalysisException as missing:
         if required or missing.getCondition() != "PATH_NOT_FOUND":
             raise
         return spark.createDataFrame([], INVENTORY)
+    rows = text.select(
+        *(
+            (F.expr(f"try_cast(`{f.name}` AS {f.dataType.simpleString()})")
+             if f.name in text.columns else F.lit(None).cast(f.dataType)).alias(f.name)
+            for f in INVENTORY.fields
+        )
+    )
     if required and rows.isEmpty():
         raise ValueError(f"no intersections in {path}")
     return rows

@@ -8,15 +8,23 @@ folded into the table once. ``read_live`` shows both as one table.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from signalmill.operators.merge import latest_per_key, merge_rows
 from signalmill.schemas import LANDING, LANDING_KEY, require_shape
 
 STORED = T.StructType(LANDING.fields + [T.StructField("window_date", T.DateType())])
-LOG_KEYS = [T.StructField("window_date", T.DateType()), T.StructField("batch_id", T.LongType())]
+# ``run`` names the stream that wrote a version, ``batch_id`` numbers its micro-batches.
+LOG_KEYS = [
+    T.StructField("window_date", T.DateType()),
+    T.StructField("run", T.StringType()),
+    T.StructField("batch_id", T.LongType()),
+]
+FOLDED = T.StructType(LOG_KEYS)
 
 
 def with_date(rows: DataFrame) -> DataFrame:
@@ -80,10 +88,46 @@ def replace_days(rows: DataFrame, path: str, by: Sequence[str] = ("window_date",
     )
 
 
+def on_days(rows: DataFrame, days: DataFrame, first: dt.date, last: dt.date) -> DataFrame:
+    """Rows of a table by day on the given days.
+
+    The first and last day prune the partitions; the days in between meet in a semi join, so that
+    no list of days passes through the driver, however many a faulty clock makes.
+    """
+    day = F.col("window_date")
+    near = rows.filter((day >= F.lit(first)) & (day <= F.lit(last)))
+    return near.join(days.select("window_date"), "window_date", "left_semi").select(*rows.columns)
+
+
+def changes_path(path: str) -> str:
+    return f"{path.rstrip('/')}_changes"
+
+
+CHANGES = T.StructType(
+    [T.StructField("window_date", T.DateType()), T.StructField("change", T.StringType())]
+)
+
+
+def _note_changes(days: DataFrame, path: str) -> None:
+    """Append the days that a load is about to change to the table's list of changes."""
+    change = F.lit(uuid.uuid4().hex).alias("change")
+    days.select("window_date", change).coalesce(1).write.mode("append").parquet(changes_path(path))
+
+
+def read_changes(spark: SparkSession, path: str) -> DataFrame:
+    """Every day that a load of the table changed, with the load; no rows if none is noted."""
+    try:
+        return spark.read.schema(CHANGES).parquet(changes_path(path))
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], CHANGES)
+
+
 def upsert_landing(updates: DataFrame, path: str, *, unique: bool = False) -> int:
     """Insert or replace rows by key and return how many were written.
 
-    Reads and rewrites only the days that occur in ``updates``. Running it again with the same
+    Reads and rewrites only the days that occur in ``updates``, and notes them as changed. Running it again with the same
     rows changes nothing. Of several rows with one key the last ingested counts; ``unique``
     says there are none and saves that step. One writer at a time.
     """
@@ -93,15 +137,15 @@ def upsert_landing(updates: DataFrame, path: str, *, unique: bool = False) -> in
         updates = latest_per_key(updates, LANDING_KEY, F.desc("ingested_at"))
     updates = with_date(updates).persist()
     try:
-        # As many rows as the updates have days, whatever the number of updates.
-        counts = updates.groupBy("window_date").agg(F.count(F.lit(1)).alias("rows")).collect()
-        per_day = {r.window_date: r.rows for r in counts}
+        days = updates.groupBy("window_date").agg(F.count(F.lit(1)).alias("rows"))
+        first, last, rows = days.agg(F.min("window_date"), F.max("window_date"), F.sum("rows")).first()
         ensure_table(spark, path)
-        if per_day:
-            stored = spark.read.schema(STORED).parquet(path)
-            current = stored.filter(F.col("window_date").isin(list(per_day)))
+        if first is not None:
+            # Noted ahead of the write: a day noted in vain is rebuilt in vain, none is missed.
+            _note_changes(days, path)
+            current = on_days(spark.read.schema(STORED).parquet(path), days, first, last)
             replace_days(merge_rows(current, updates, [*LANDING_KEY, "window_date"]), path)
-        return sum(per_day.values())
+        return rows or 0
     finally:
         updates.unpersist()
 
@@ -118,17 +162,52 @@ def merge_into(updates: DataFrame, table: str) -> None:
 
 
 def append_versions(
-    rows: DataFrame, batch_id: int, path: str, *, shape: T.StructType = LANDING
+    rows: DataFrame,
+    batch_id: int,
+    path: str,
+    *,
+    run: str = "0",
+    shape: T.StructType = LANDING,
 ) -> None:
     """Write the rows of one micro-batch to the log.
 
-    A repeated micro-batch replaces its own files, so a restart adds no rows twice. Nothing is
-    read and no other file is touched. ``shape`` may be that of the core table.
+    A repeated micro-batch replaces its own files, so a restart adds no rows twice; ``run`` keeps
+    streams with different checkpoints apart. Nothing is read and no other file is touched.
+    ``shape`` may be that of the core table.
     """
-    versions = with_date(require_shape(rows, shape)).withColumn(
-        "batch_id", F.lit(batch_id).cast("bigint")
+    versions = (
+        with_date(require_shape(rows, shape))
+        .withColumn("run", F.lit(run))
+        .withColumn("batch_id", F.lit(batch_id).cast("bigint"))
     )
-    replace_days(versions, path, ("window_date", "batch_id"))
+    replace_days(versions, path, ("window_date", "run", "batch_id"))
+
+
+def _log(spark: SparkSession, path: str, shape: T.StructType) -> DataFrame:
+    return spark.read.schema(T.StructType(shape.fields + LOG_KEYS)).parquet(path)
+
+
+def _folded_path(log_path: str) -> str:
+    return f"{log_path.rstrip('/')}_folded"
+
+
+def unfolded(spark: SparkSession, log_path: str, shape: T.StructType = LANDING) -> DataFrame:
+    """The versions of the log that no fold has merged into the table."""
+    log = _log(spark, log_path, shape)
+    try:
+        folded = spark.read.schema(FOLDED).parquet(_folded_path(log_path))
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return log
+    return log.join(folded, FOLDED.fieldNames(), "left_anti")
+
+
+def _newest(log: DataFrame, shape: T.StructType) -> DataFrame:
+    """The newest version of each key: by load time, then by number and run."""
+    order = [F.desc_nulls_last("ingested_at"), F.desc("batch_id"), F.desc("run")]
+    newest = latest_per_key(log, [*LANDING_KEY, "window_date"], *order)
+    return newest.select(*shape.fieldNames())
 
 
 def read_versions(
@@ -139,24 +218,27 @@ def read_versions(
     shape: T.StructType = LANDING,
 ) -> DataFrame:
     """The newest version of every key in the log."""
-    log = spark.read.schema(T.StructType(shape.fields + LOG_KEYS)).parquet(path)
+    log = _log(spark, path, shape)
     if before is not None:
         log = log.filter(F.col("window_date") < F.lit(before))
-    newest = latest_per_key(log, [*LANDING_KEY, "window_date"], F.desc("batch_id"))
-    return newest.select(*shape.fieldNames())
+    return _newest(log, shape)
 
 
 def read_live(spark: SparkSession, path: str, log_path: str) -> DataFrame:
     """Table and log as one: a logged row hides the stored one of the same key.
 
-    Only the days that occur in the log are merged; the others pass through without a join.
+    A version that is already folded is not read: what the table holds since then counts. Only
+    the days between the first and the last one logged are merged.
     """
-    log = spark.read.schema(T.StructType(LANDING.fields + LOG_KEYS)).parquet(log_path)
-    days = [r.window_date for r in log.select("window_date").distinct().collect()]
     stored = spark.read.schema(STORED).parquet(path)
-    logged = F.col("window_date").isin(days)
     columns = LANDING.fieldNames()
-    merged = merge_rows(stored.filter(logged).select(*columns), read_versions(spark, log_path))
+    log = unfolded(spark, log_path)
+    first, last = log.agg(F.min("window_date"), F.max("window_date")).first()
+    if first is None:
+        return stored.select(*columns)
+    day = F.col("window_date")
+    logged = (day >= F.lit(first)) & (day <= F.lit(last))
+    merged = merge_rows(stored.filter(logged).select(*columns), _newest(log, LANDING))
     return stored.filter(~logged).select(*columns).unionByName(merged)
 
 
@@ -165,7 +247,19 @@ def fold_versions(
 ) -> int:
     """Merge the log into the table, only the days ahead of ``before`` if it is given.
 
-    The log stays as it is: a folded version equals the stored row, so reading both is right,
-    and old log days can be dropped by the retention of the store.
+    What is folded is marked by day, run and micro-batch and not read again, so a later
+    correction of the table stays, a repeated fold changes nothing, and the folders of marked
+    versions can be dropped. A fold that dies before its mark is repeated without harm.
     """
-    return upsert_landing(read_versions(spark, log_path, before=before), path, unique=True)
+    log = unfolded(spark, log_path)
+    if before is not None:
+        log = log.filter(F.col("window_date") < F.lit(before))
+    marks = log.select(*FOLDED.fieldNames()).distinct().persist()
+    try:
+        marks.count()
+        versions = log.join(marks, FOLDED.fieldNames(), "left_semi")
+        rows = upsert_landing(_newest(versions, LANDING), path, unique=True)
+        marks.coalesce(1).write.mode("append").parquet(_folded_path(log_path))
+        return rows
+    finally:
+        marks.unpersist()

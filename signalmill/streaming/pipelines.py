@@ -7,10 +7,13 @@ when the watermark has passed it, and never an open one.
 
 from __future__ import annotations
 
+import functools
+import hashlib
+import operator
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from signalmill.operators.events import drop_repeats, flatten_documents, usable
 from signalmill.operators.models import build_core, staging
@@ -21,20 +24,32 @@ from signalmill.operators.validation import (
     validate_events,
 )
 from signalmill.operators.windows import landing_rows, window_aggregate
-from signalmill.schemas import CORE, TRIGGER, WATERMARK, WINDOW_LENGTH
+from signalmill.schemas import CORE, FLAT_EVENT, TRIGGER, WATERMARK, WINDOW_LENGTH
 from signalmill.sources.events import observe_ingest
 from signalmill.sources.landing import append_versions, upsert_landing
 
 
-def flat_events(raw: DataFrame, *, strict: bool = False) -> DataFrame:
+def flat_events(
+    raw: DataFrame, *, strict: bool = False, observe: Observation | str = "ingest"
+) -> DataFrame:
     """Flat events of raw text rows, for streams and batches.
 
     Text that is no usable event is left out instead of failing the job; the routing stream
-    keeps it. ``strict`` also leaves out events that break the contract.
+    keeps it. ``strict`` also leaves out events that break the contract. What is left out is
+    counted on the way under ``observe``, as ``event_count`` and ``invalid_count``.
     """
     keep = [c for c in ("seq",) if c in raw.columns]
-    parsed = validate_events(raw).filter(is_valid()) if strict else parse_documents(raw)
-    return usable(flatten_documents(parsed, *keep))
+    if strict:
+        checked = observe_ingest(validate_events(raw), observe)
+        return usable(flatten_documents(checked.filter(is_valid()), *keep))
+    flat = flatten_documents(parse_documents(raw), *keep)
+    missing = functools.reduce(operator.or_, (F.col(c).isNull() for c in FLAT_EVENT.fieldNames()))
+    seen = flat.observe(
+        observe,
+        F.count(F.lit(1)).alias("event_count"),
+        F.count_if(missing).alias("invalid_count"),
+    )
+    return usable(seen)
 
 
 def stream_windows(
@@ -75,6 +90,11 @@ def _start(
     return _trigger(writer, continuous, every).start()
 
 
+def run_name(checkpoint: str) -> str:
+    """A short name for a checkpoint: the same after a restart, another for another checkpoint."""
+    return hashlib.sha256(checkpoint.rstrip("/").encode()).hexdigest()[:16]
+
+
 def start_landing(
     windows: DataFrame,
     path: str,
@@ -90,8 +110,8 @@ def start_landing(
 
     ``sink="log"`` appends versions and suits any size; ``sink="table"`` merges each
     micro-batch into the landing table and suits a small one. Both may run a micro-batch twice
-    without harm. A log belongs to one checkpoint: its versions are numbered by micro-batch, so
-    a new checkpoint needs a new log. By default the stream drains what there is and ends;
+    without harm. Versions are filed under the stream's checkpoint, whose micro-batches they are
+    numbered by, so streams with other checkpoints may write the same log. By default the stream drains what there is and ends;
     ``continuous`` keeps it running until it is stopped.
     """
     if sink not in ("log", "table"):
@@ -100,7 +120,7 @@ def start_landing(
     def write(batch: DataFrame, batch_id: int) -> None:
         rows = landing_rows(batch, ingested_at)
         if sink == "log":
-            append_versions(rows, batch_id, path)
+            append_versions(rows, batch_id, path, run=run_name(checkpoint))
         else:
             upsert_landing(rows, path, unique=True)
 
@@ -119,7 +139,7 @@ def start_core(
     """Write live core rows to a version log, to be read with the shape of core."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        append_versions(batch, batch_id, path, shape=CORE)
+        append_versions(batch, batch_id, path, run=run_name(checkpoint), shape=CORE)
 
     return _start(core, write, checkpoint, output_mode, continuous, every)
 
@@ -153,14 +173,47 @@ def start_routing(
     return _trigger(writer, continuous, every).start()
 
 
-def run_metrics(query: StreamingQuery) -> dict[str, int]:
-    """Rows read, rejected and dropped as late, over the micro-batches still on record."""
-    totals = {"consumed": 0, "invalid": 0, "late": 0}
-    for progress in query.recentProgress:
-        totals["consumed"] += progress["numInputRows"]
-        observed = (progress.get("observedMetrics") or {}).get("ingest")
+class RunMetrics(StreamingQueryListener):
+    """Rows read, rejected and dropped as late by each stream of a session, over its whole run.
+
+    Every micro-batch is added as it ends, so that long runs lose none. ``late`` counts rows after
+    the partial aggregate of their task; with a watermark that is too short it is above zero.
+    """
+
+    def __init__(self):
+        self._totals: dict[str, dict[str, int]] = {}
+
+    @classmethod
+    def listen(cls, spark: SparkSession) -> RunMetrics:
+        """Start before the streams whose metrics are wanted."""
+        metrics = cls()
+        spark.streams.addListener(metrics)
+        return metrics
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        progress = event.progress
+        totals = self._totals.setdefault(str(progress.runId), _no_rows())
+        totals["consumed"] += progress.numInputRows
+        observed = progress.observedMetrics.get("ingest")
         if observed is not None:
             totals["invalid"] += observed["invalid_count"]
-        for operator in progress.get("stateOperators") or []:
-            totals["late"] += operator["numRowsDroppedByWatermark"]
-    return totals
+        totals["late"] += sum(o.numRowsDroppedByWatermark for o in progress.stateOperators)
+
+    def of(self, query: StreamingQuery) -> dict[str, int]:
+        """Totals of a stream; those of an ended one are complete."""
+        spark = SparkSession.getActiveSession()
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+        return dict(self._totals.get(str(query.runId), _no_rows()))
+
+
+def _no_rows() -> dict[str, int]:
+    return {"consumed": 0, "invalid": 0, "late": 0}

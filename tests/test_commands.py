@@ -16,7 +16,7 @@ def job(spark):
 def test_from_events_to_status(spark, tmp_path, job, capsys):
     """Every command in turn, as an operator of the pipeline would run them."""
     (tmp_path / "in").mkdir()
-    extract = {"elements": [{"type": "node", "id": n, "lat": 1.0, "lon": 2.0} for n in (1, 2)]}
+    extract = {"elements": [{"type": "node", "id": n, "lat": 1.0, "lon": 2.0, "tags": {"highway": "traffic_signals"}} for n in (1, 2)]}
     (tmp_path / "map.json").write_text(json.dumps(extract))
     lines = [
         event(intersection_id=i, environment__timestamp=f"2026-06-05T18:00:{s}Z")
@@ -26,7 +26,9 @@ def test_from_events_to_status(spark, tmp_path, job, capsys):
     (tmp_path / "in" / "events.json").write_text(text)
     at = {n: tmp_path / n for n in ("in", "out", "landing", "log", "ck", "core", "inv", "feed", "map.json")}
 
-    assert job("inventory", "--extract", at["map.json"], "--out", at["inv"]) == 0
+    assert job("inventory", "--extract", at["map.json"], "--out", at["inv"]) == 1
+    box = ["--bbox", 0, 0, 2, 3]
+    assert job("inventory", "--extract", at["map.json"], "--out", at["inv"], *box) == 0
     assert job("ingest", "--events", at["in"], "--out", at["out"]) == 0
     assert "'invalid_count': 1" in capsys.readouterr().out
     assert job("stream", "--events", at["in"], "--log", at["log"], "--checkpoint", at["ck"]) == 0
@@ -40,7 +42,7 @@ def test_from_events_to_status(spark, tmp_path, job, capsys):
     assert job("warehouse", *tables) == 0
     assert "core_rows=2\norphan_ids=1" in capsys.readouterr().out
     assert job("refresh", *tables) == 0
-    assert "since=2026-06-03" in capsys.readouterr().out
+    assert "since=2026-06-05" in capsys.readouterr().out
 
     assert job("checks", *tables) == 0
     assert job("checks", *tables[:4]) == 0
@@ -77,4 +79,4 @@ def test_commands_that_find_nothing(spark, tmp_path, job):
     Path(tmp_path, "e.json").write_text("{broken\n")
     assert job("aggregate", "--events", tmp_path / "e.json", "--landing", tmp_path / "l") == 0
     assert job("freshness", "--landing", tmp_path / "l") == 1
-    assert job("ingest", "--events", tmp_path / "e.json", "--out", tmp_path / "o", "--max-messages", 5) == 0
+    assert job("ingest", "--events", tmp_path / "e.json", "--out", tmp_path / "o") == 0

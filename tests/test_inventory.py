@@ -9,15 +9,18 @@ from signalmill.operators.inventory import elements, inventory_from_elements
 from signalmill.schemas import INVENTORY, same_shape
 from signalmill.sources.inventory import read_inventory, read_map_extract, write_inventory
 
+SIGNAL = {"highway": "traffic_signals"}
 EXTRACT = {
     "version": 0.6,
     "elements": [
-        {"type": "node", "id": 9, "lat": -27.12345678, "lon": -52.1, "tags": {"name": "A"}},
-        {"type": "node", "id": 10, "lat": 1, "lon": 2, "tags": {"name": "", "name:pt": "B"}},
-        {"type": "node", "id": 7, "lat": 1.0, "lon": 2.0, "tags": {"crossing:ref": "C", "direction": "x"}},
-        {"type": "node", "id": 8, "lat": 1.0, "lon": 2.0, "tags": {"ref": "R", "crossing:ref": "C"}},
-        {"type": "node", "id": 11, "lat": 1.0, "lon": 2.0, "tags": {"direction": "forward"}},
-        {"type": "node", "id": 5000000000, "lat": 1.0, "lon": 2.0},
+        {"type": "node", "id": 9, "lat": -27.12345678, "lon": -52.1, "tags": {**SIGNAL, "name": "A"}},
+        {"type": "node", "id": 10, "lat": 1, "lon": 2, "tags": {**SIGNAL, "name": "", "name:pt": "B"}},
+        {"type": "node", "id": 7, "lat": 1.0, "lon": 2.0, "tags": {**SIGNAL, "crossing:ref": "C", "direction": "x"}},
+        {"type": "node", "id": 8, "lat": 1.0, "lon": 2.0, "tags": {**SIGNAL, "ref": "R", "crossing:ref": "C"}},
+        {"type": "node", "id": 11, "lat": 1.0, "lon": 2.0, "tags": {**SIGNAL, "direction": "forward"}},
+        {"type": "node", "id": 5000000000, "lat": 1.0, "lon": 2.0, "tags": SIGNAL},
+        {"type": "node", "id": 12, "lat": 1.0, "lon": 2.0, "tags": {"highway": "bus_stop"}},
+        {"type": "node", "id": 13, "lat": 1.0, "lon": 2.0},
         {"type": "way", "id": 1, "nodes": [1, 2]},
     ],
 }
@@ -80,3 +83,19 @@ def test_missing_and_empty_files(spark, folder):
 def test_wrong_columns_are_refused(spark, folder):
     with pytest.raises(ValueError, match="columns"):
         write_inventory(inventory(spark, "a").drop("source"), folder + "/x")
+
+
+def test_only_signals_inside_the_box(spark, folder):
+    Path(folder, "map.json").write_text(json.dumps(EXTRACT))
+    nodes = elements(read_map_extract(spark, f"{folder}/map.json"))
+    inside = inventory_from_elements(nodes, (0.0, 0.0, 2.0, 3.0))
+    assert tuples(inside, "osm_node_id") == [(10,), (11,), (5000000000,), (7,), (8,)]
+
+
+def test_columns_are_found_by_name(spark, folder):
+    lines = "longitude,latitude,source,intersection_id,extra,display_name\n-52.6,-27.1,osm,osm-1,x,A\n"
+    Path(folder, "swapped.csv").write_text(lines + "east,-27.1,osm,osm-2,x,B\n")
+    assert tuples(read_inventory(spark, f"{folder}/swapped.csv")) == [
+        ("osm-1", "A", -27.1, -52.6, None, "osm"),
+        ("osm-2", "B", -27.1, None, None, "osm"),
+    ]

@@ -132,8 +132,9 @@ def test_version_log_folds_into_the_table(spark, folder):
     assert table.fold_versions(spark, log, path, before=dt.date(2026, 6, 6)) == 2
     assert tuples(table.read_landing(spark, path), *columns) == want[:4]
     assert tuples(table.read_live(spark, path, log), *columns) == want
-    assert table.fold_versions(spark, log, path) == 3
+    assert table.fold_versions(spark, log, path) == 1
     assert tuples(table.read_landing(spark, path), *columns) == want
+    assert table.fold_versions(spark, log, path) == 0
 
 
 def test_payloads_to_landing(spark, folder):
@@ -197,10 +198,11 @@ def test_warehouse_replaces_core_and_merge_equals_it(spark, folder):
     report = jobs.build_warehouse(spark, path, places, built)
     want = tuples(core_table.read_core(spark, built))
     assert len(want) == 4 and [r[0] for r in tuples(report)] == ["lost"]
-    for _ in range(2):
-        since = core_table.merge_core(spark, path, places, merged)
-        assert tuples(core_table.read_core(spark, merged)) == want
+    since = core_table.merge_core(spark, path, places, merged)
     assert since == dt.date(2026, 6, 4)
+    assert tuples(core_table.read_core(spark, merged)) == want
+    assert core_table.merge_core(spark, path, places, merged) == core_table.NO_DAY
+    assert tuples(core_table.read_core(spark, merged)) == want
     jobs.refresh_latest(spark, merged, folder + "/one")
     jobs.refresh_latest(spark, merged, folder + "/two", previous=folder + "/one", since=since)
     latest = tuples(status.latest_status(core_table.read_core(spark, built)))
@@ -213,6 +215,42 @@ def test_warehouse_replaces_core_and_merge_equals_it(spark, folder):
     assert spark.table("rpt_orphan_intersections").count() == 1
 
 
+def test_late_days_and_changed_places_reach_core(spark, folder):
+    path, core = folder + "/l", folder + "/c"
+    table.upsert_landing(landing(spark, row("a", "2026-06-10 18:01:00"), row("b", "2026-06-10 18:01:00")), path)
+    places = inventory(spark, "a", "b")
+    core_table.merge_core(spark, path, places, core)
+    table.upsert_landing(landing(spark, row("a", "2025-01-05 18:01:00")), path)
+    assert core_table.merge_core(spark, path, places, core) == dt.date(2025, 1, 5)
+    moved = places.withColumn("latitude", places.latitude + 1).filter("intersection_id = 'b'")
+    places = places.filter("intersection_id = 'a'").unionByName(moved)
+    assert core_table.merge_core(spark, path, places, core) == dt.date(2026, 6, 10)
+    want = models.build_core(models.staging(table.read_landing(spark, path)), places)
+    assert tuples(core_table.read_core(spark, core)) == tuples(want)
+    assert core_table.merge_core(spark, path, places, core) == core_table.NO_DAY
+
+
+def test_a_correction_after_a_fold_stays(spark, folder):
+    path, log = folder + "/l", folder + "/log"
+    table.append_versions(landing(spark, row("a", DAYS[0], "RED")), 0, log)
+    assert table.fold_versions(spark, log, path) == 1
+    table.upsert_landing(landing(spark, row("a", DAYS[0], "GREEN")), path)
+    for _ in range(2):
+        assert tuples(table.read_live(spark, path, log), "signal_state") == [("GREEN",)]
+        assert table.fold_versions(spark, log, path) == 0
+    table.append_versions(landing(spark, row("a", DAYS[0], "YELLOW")), 1, log)
+    assert tuples(table.read_live(spark, path, log), "signal_state") == [("YELLOW",)]
+    assert table.fold_versions(spark, log, path) == 1
+    assert tuples(table.read_landing(spark, path), "signal_state") == [("YELLOW",)]
+
+
+def test_two_runs_share_a_log(spark, folder):
+    log = folder + "/log"
+    table.append_versions(landing(spark, row("a", DAYS[0], "RED")), 0, log, run="one")
+    table.append_versions(landing(spark, row("b", DAYS[0], "GREEN")), 0, log, run="two")
+    assert tuples(table.read_versions(spark, log), "intersection_id") == [("a",), ("b",)]
+
+
 def test_core_as_a_catalog_table(spark):
     rows = landing(spark, row("a", DAYS[0]), row("a", DAYS[1]))
     core = models.build_core(models.staging(rows), inventory(spark, "a"))

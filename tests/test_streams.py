@@ -5,7 +5,8 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
-from helpers import at, event, events, inventory, texts, tuples
+from helpers import DROP, at, event, events, inventory, texts, tuples
+from signalmill.operators.events import drop_repeats
 from signalmill.operators.windows import landing_rows, window_aggregate
 from signalmill.schemas import CORE, SIGNAL_STATES, same_shape
 from signalmill.sources import events as source
@@ -91,13 +92,14 @@ def test_restart_adds_nothing_and_new_files_replace_open_windows(spark, feed):
     feed.drain()
     before = tuples(feed.versions())
     logged = spark.read.parquet(str(feed.root / "log")).count()
-    assert s.run_metrics(feed.drain())["consumed"] == 0
+    metrics = s.RunMetrics.listen(spark)
+    assert metrics.of(feed.drain())["consumed"] == 0
     assert spark.read.parquet(str(feed.root / "log")).count() == logged
     feed.add(reading("a", "18:01:40", "RED", 30.0))
     feed.drain()
     after = tuples(feed.versions())
     changed = [r for r in after if r not in before]
-    assert changed == [("a", at("18:02:00"), "RED", 20.0, 18.2, 2, at("19:00:00"))]
+    assert changed == [("a", at("18:02:00"), "RED", 20.0, 26.75, 2, at("19:00:00"))]
     assert len(after) == len(before)
 
 
@@ -126,18 +128,19 @@ def test_late_rows_are_dropped_after_the_watermark(spark, feed):
     feed.add(reading("a", "18:10:01"))
     feed.add(reading("a", "18:00:20", "GREEN"))
     feed.add(reading("a", "18:10:02", "GREEN"))
+    run = s.RunMetrics.listen(spark)
     query = feed.drain()
     got = tuples(feed.versions(), "window_end", "signal_state", "event_count")
     assert got == [(at("18:01:00"), "RED", 1), (at("18:11:00"), "GREEN", 3)]
-    metrics = s.run_metrics(query)
+    metrics = run.of(query)
     assert metrics["consumed"] == 5 and metrics["late"] == 1
     feed.drain("patient", watermark="1 hour")
     assert ("RED", 1) not in tuples(feed.versions("patient"), "signal_state", "event_count")
 
 
 def test_repeated_event_ids_count_once_on_request(spark, feed):
-    one = "550e8400-e29b-41d4-a716-446655440001"
-    two = "550e8400-e29b-41d4-a716-446655440002"
+    one = "7c1d52ab-03f6-4e18-9b7a-5d20c6e4f811"
+    two = "7c1d52ab-03f6-4e18-9b7a-5d20c6e4f812"
     feed.add(reading("a", "18:00:10", event_id=one), reading("a", "18:00:10", event_id=one))
     feed.add(reading("a", "18:00:10", event_id=one), reading("a", "18:00:20", event_id=two))
     feed.drain("all")
@@ -146,6 +149,16 @@ def test_repeated_event_ids_count_once_on_request(spark, feed):
     assert tuples(feed.versions("distinct"), "event_count") == [(2,)]
 
 
+def test_events_without_id_are_no_repeats(spark, feed):
+    rows = [reading(k, "18:00:10", event_id=DROP) for k in "abcde"]
+    feed.add(*rows)
+    feed.drain("distinct", dedup=True)
+    assert tuples(feed.versions("distinct"), "event_count") == [(1,)] * 5
+    flat = s.flat_events(texts(spark, *[json.loads(x) if isinstance(x, str) else x for x in rows]))
+    assert drop_repeats(flat).count() == 5
+    assert drop_repeats(flat.drop("seq")).count() == 5
+
+
 def test_running_stream_can_be_stopped(spark, feed):
     fill(feed)
     query = feed.drain(wait=False, continuous=True, every="1 second")
@@ -159,6 +172,7 @@ def test_routing_stream(spark, feed):
     feed.add(reading("a", "18:00:10"), "{broken")
     feed.add(reading("b c", "18:00:10"), reading("d", "18:00:10"))
     root = str(feed.root)
+    metrics = s.RunMetrics.listen(spark)
     query = s.start_routing(feed.raw(), root + "/out", root + "/out-checkpoint")
     query.awaitTermination()
     out = spark.read.json(root + "/out")
@@ -168,7 +182,7 @@ def test_routing_stream(spark, feed):
         ("traffic-events-dlq", "b c"),
         ("traffic-events-dlq", "unknown"),
     ]
-    assert s.run_metrics(query) == {"consumed": 4, "invalid": 2, "late": 0}
+    assert metrics.of(query) == {"consumed": 4, "invalid": 2, "late": 0}
 
 
 def test_strict_events_leave_out_what_breaks_the_contract(spark):
@@ -196,12 +210,11 @@ def test_live_core(spark, feed):
 
 def test_bounded_reads_and_topic_options(spark, feed, tmp_path):
     fill(feed)
-    assert source.read_text(spark, str(feed.root / "in"), max_messages=2).count() == 2
-    assert source.read_text(spark, str(feed.root / "in"), max_messages=99).count() == 6
+    assert source.read_text(spark, str(feed.root / "in")).count() == 6
     options = source.topic_options("h:1", "t")
     assert options["startingOffsets"] == "latest" and options["subscribe"] == "t"
-    assert source.topic_options(earliest=True)["startingOffsets"] == "earliest"
-    busy = source.topic_options(min_partitions=400, max_per_trigger=1000)
+    assert source.topic_options("h:1", earliest=True)["startingOffsets"] == "earliest"
+    busy = source.topic_options("h:1", min_partitions=400, max_per_trigger=1000)
     assert (busy["minPartitions"], busy["maxOffsetsPerTrigger"]) == ("400", "1000")
     records = spark.createDataFrame(
         [(bytearray(b"k"), bytearray("é".encode()), 7)], "key binary, value binary, offset bigint"

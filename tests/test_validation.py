@@ -28,8 +28,8 @@ CASES = [
     (event(metadata={}), ()),
     (event(telemetry__avg_vehicle_speed_kmh=0), ()),
     (event(telemetry__avg_vehicle_speed_kmh=1e3), ()),
-    (event(environment__timestamp="2026-06-05T14:30:00-03:00"), ()),
-    (event(environment__timestamp="2026-06-05T14:30:00.123456"), ()),
+    (event(environment__timestamp="2026-06-05T09:17:40-03:00"), ()),
+    (event(environment__timestamp="2026-06-05T09:17:40.123456"), ()),
     (event(telemetry=DROP), ("missing_field",)),
     (event(environment__source=DROP), ("missing_field",)),
     (event(event_id=DROP, intersection_id=DROP), ("missing_field",)),
@@ -43,18 +43,18 @@ CASES = [
     (event(event_id="not-a-uuid"), ("bad_event_id",)),
     (event(event_id=5), ("bad_event_id",)),
     (event(event_id=None), ("bad_event_id",)),
-    (event(event_id="550e8400e29b41d4a716446655440000"), ("bad_event_id",)),
+    (event(event_id="7c1d52ab03f64e189b7a5d20c6e4f811"), ("bad_event_id",)),
     (event(intersection_id="a b"), ("bad_intersection_id",)),
     (event(intersection_id="a\n"), ("bad_intersection_id",)),
     (event(intersection_id=""), ("bad_intersection_id",)),
     (event(environment__timestamp="14:30"), ("bad_timestamp",)),
     (event(environment__timestamp="2026-06-05"), ("bad_timestamp",)),
-    (event(environment__timestamp="2026-13-05T14:30:00Z"), ("bad_timestamp",)),
+    (event(environment__timestamp="2026-13-05T09:17:40Z"), ("bad_timestamp",)),
     (event(environment__timestamp=1780000000), ("bad_timestamp",)),
     (event(environment__source="other"), ("bad_source",)),
     (event(telemetry__current_signal_state="BLUE"), ("bad_state",)),
     (event(telemetry__current_signal_state="red"), ("bad_state",)),
-    (event(telemetry__avg_stop_duration_seconds="42.5"), ("bad_stop_duration",)),
+    (event(telemetry__avg_stop_duration_seconds="31.25"), ("bad_stop_duration",)),
     (event(telemetry__avg_stop_duration_seconds=-0.1), ("bad_stop_duration",)),
     (event(telemetry__avg_vehicle_speed_kmh=True), ("bad_speed",)),
     (event(telemetry__avg_vehicle_speed_kmh=None), ("bad_speed",)),
@@ -108,7 +108,7 @@ def sound(doc):
 def test_random_documents_against_plain_python(spark):
     rng = random.Random(7)
     values = [None, 1, -1, 2.5, "x", "", "RED", "simulator", True, [], {}, {"a": 1}, DROP,
-              "2026-06-05T14:30:00Z", "osm-1", "550e8400-e29b-41d4-a716-446655440000"]
+              "2026-06-05T09:17:40Z", "osm-1", "7c1d52ab-03f6-4e18-9b7a-5d20c6e4f811"]
     paths = ["event_id", "intersection_id", "environment", "telemetry", "metadata",
              "environment__timestamp", "environment__source", "environment__x",
              "telemetry__current_signal_state", "telemetry__avg_stop_duration_seconds",
@@ -139,8 +139,8 @@ def test_routing_keeps_bad_payloads_as_they_came(spark):
     rows = texts(
         spark,
         event(
-            event_id="550E8400-E29B-41D4-A716-446655440000",
-            environment__timestamp="2026-06-05T11:30:00.5-03:00",
+            event_id="7C1D52AB-03F6-4E18-9B7A-5D20C6E4F811",
+            environment__timestamp="2026-06-05T06:17:40.5-03:00",
             telemetry__avg_vehicle_speed_kmh=18,
             metadata=None,
         ),
@@ -150,13 +150,13 @@ def test_routing_keeps_bad_payloads_as_they_came(spark):
     )
     routed = {r.value: (r.topic, r.key) for r in v.route_events(v.validate_events(rows)).collect()}
     first, second = (
-        '{"event_id":"550e8400-e29b-41d4-a716-446655440000","intersection_id":"osm-1",'
+        '{"event_id":"7c1d52ab-03f6-4e18-9b7a-5d20c6e4f811","intersection_id":"osm-1",'
         '"environment":{"timestamp":"%s","source":"simulator"},'
-        '"telemetry":{"current_signal_state":"RED","avg_stop_duration_seconds":42.5,'
+        '"telemetry":{"current_signal_state":"RED","avg_stop_duration_seconds":31.25,'
         '"avg_vehicle_speed_kmh":%s}%s}' % parts
         for parts in (
-            ("2026-06-05T14:30:00.500000Z", "18.0", ""),
-            ("2026-06-05T14:30:00Z", "18.2", ',"metadata":{"osm":5}'),
+            ("2026-06-05T09:17:40.500000Z", "18.0", ""),
+            ("2026-06-05T09:17:40Z", "26.75", ',"metadata":{"osm":5}'),
         )
     )
     assert routed == {
@@ -194,7 +194,7 @@ def test_flatten_is_lax_where_validation_is_strict(spark):
     rows = texts(
         spark,
         event(event_id="e1", telemetry__avg_stop_duration_seconds="12.5"),
-        event(environment__timestamp="2026-06-05T14:30:00-03:00"),
+        event(environment__timestamp="2026-06-05T09:17:40-03:00"),
         event(telemetry=DROP),
         "{x",
     )
@@ -202,8 +202,8 @@ def test_flatten_is_lax_where_validation_is_strict(spark):
     assert flat.count() == 4
     got = tuples(usable(flat), "seq", "event_timestamp", "avg_stop_duration_seconds", "event_id")
     assert got == [
-        (0, dt.datetime(2026, 6, 5, 14, 30), 12.5, "e1"),
-        (1, dt.datetime(2026, 6, 5, 17, 30), 42.5, "550e8400-e29b-41d4-a716-446655440000"),
+        (0, dt.datetime(2026, 6, 5, 9, 17, 40), 12.5, "e1"),
+        (1, dt.datetime(2026, 6, 5, 12, 17, 40), 31.25, "7c1d52ab-03f6-4e18-9b7a-5d20c6e4f811"),
     ]
 
 
