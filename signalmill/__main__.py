@@ -159,7 +159,8 @@ def run(spark: SparkSession, args: argparse.Namespace) -> int:
             print(f"{row.table_name} {row.check_name} {row.column_name} failures={row.failures}")
         return int(any(row.failures for row in results))
     elif args.job == "freshness":
-        rows = table.read_landing(spark, args.landing)
+        newest = table.newest_day(spark, args.landing)
+        rows = table.read_landing(spark, args.landing, since=newest)
         lag = landing_lag(rows, as_of=args.as_of).first().max_landing_lag_seconds
         if lag is None:
             print("no landing rows yet", file=sys.stderr)

@@ -100,10 +100,12 @@ def source_freshness(
 ) -> DataFrame:
     """pass, warn or error by the age of the newest load among the last day's windows.
 
-    No load at all is an error. ``window_end`` is compared as it is stored, so the day reaches
-    the scan as a filter.
+    No load at all is an error. Of a table stored by day, given with its ``window_date``, only
+    the folders of the last day and the one before are read.
     """
     now = as_instant(as_of)
+    if "window_date" in landing.columns:
+        landing = landing.filter(F.col("window_date") >= F.to_date(now) - F.lit(1))
     age = lag_seconds(now, F.col("newest_load"))
     return (
         landing.filter(F.col("window_end") >= now - F.expr("INTERVAL 1 DAY"))
@@ -174,18 +176,31 @@ def emission_gaps(
 
     Time is cut in slots of the allowed length. Two events in one slot are never too far
     apart, so only the first and last event of each slot matter: those come from a hash
-    aggregate that collapses a busy id before the shuffle, and what the window function sorts
-    per id is bounded by the time span and not by the number of events.
+    aggregate that collapses a busy id before the shuffle. The slots of an id are then sorted
+    day by day, each day for itself, and only the first and last slot of a day meet those of the
+    days before and after; so no task holds more than a day's slots of an id, or a row for each
+    of its days.
     """
     at = F.unix_micros("event_timestamp")
     width = max_gap_seconds * 1_000_000
     slots = events.groupBy(ID, F.floor(at / width).alias("slot")).agg(
         F.min("event_timestamp").alias("first"), F.max("event_timestamp").alias("last")
     )
-    by_slot = Window.partitionBy(ID).orderBy("slot")
+    day = F.floor(F.unix_micros("first") / F.lit(86_400_000_000))
+    slots = slots.withColumn("day", day)
+    by_slot = Window.partitionBy(ID, "day").orderBy("slot")
+    within = slots.withColumn("gap_start", F.lag("last").over(by_slot))
+    by_day = Window.partitionBy(ID).orderBy("day")
+    across = (
+        slots.groupBy(ID, "day")
+        .agg(F.min("first").alias("first"), F.max("last").alias("last"))
+        .withColumn("gap_start", F.lag("last").over(by_day))
+    )
+    columns = [ID, "gap_start", "first"]
     gap = F.unix_micros("first") - F.unix_micros("gap_start")
     return (
-        slots.withColumn("gap_start", F.lag("last").over(by_slot))
+        within.select(*columns)
+        .unionByName(across.select(*columns))
         .filter(gap > F.lit(width))
         .select(
             ID,

@@ -38,8 +38,11 @@ def device(number: Column) -> Column:
     return F.concat(F.lit("osm-"), number.cast("string"))
 
 
-def as_events(rows: DataFrame) -> DataFrame:
-    """Rows of ``events``, in a batch or a stream, as flat events."""
+def as_events(rows: DataFrame, speed_up: int = SPEED_UP) -> DataFrame:
+    """Rows of ``events``, in a batch or a stream, as flat events.
+
+    With a ``speed_up`` of 1 they keep their 30 days.
+    """
     micros = F.unix_micros(F.col("ts").cast("timestamp"))
     state = F.lit(None).cast("string")
     for kind, name in STATE_OF_TYPE.items():
@@ -47,7 +50,7 @@ def as_events(rows: DataFrame) -> DataFrame:
     return rows.select(
         device(F.col("user_id")).alias("intersection_id"),
         F.timestamp_micros(
-            F.lit(BASE_MICROS) + F.floor((micros - F.lit(BASE_MICROS)) / F.lit(SPEED_UP))
+            F.lit(BASE_MICROS) + F.floor((micros - F.lit(BASE_MICROS)) / F.lit(speed_up))
         ).alias("event_timestamp"),
         F.coalesce(state, F.lit("UNKNOWN")).alias("signal_state"),
         F.col("value").alias("avg_stop_duration_seconds"),
@@ -104,6 +107,13 @@ def windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return window_aggregate(flat_events(spark, sf_dir), seq_col="seq", states=SIGNAL_STATES)
 
 
+def daily_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landing of the events as they are, over 30 days."""
+    events = as_events(table(spark, sf_dir, "events"), speed_up=1)
+    rows = window_aggregate(events, seq_col="seq", states=SIGNAL_STATES)
+    return landing_rows(rows, load_time(F.col("window_end")))
+
+
 def load_time(window_end: Column) -> Column:
     """Five to eleven seconds after the window, by id, so that lags differ."""
     number = F.substring_index("intersection_id", "-", -1).cast("bigint")

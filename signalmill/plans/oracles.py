@@ -178,6 +178,11 @@ def _with(*names: str, select: str) -> str:
     return f"WITH {ctes} {select.strip()}"
 
 
+def _daily(sql: str) -> str:
+    """The same over the events as they are, without the squeeze into half an hour."""
+    return sql.replace("// 1440", "// 1")
+
+
 def _health(as_of: str, *, contract: bool = False) -> str:
     since = "oldest_listed" if contract else "newest"
     old = "STALE" if contract else "UNKNOWN"
@@ -299,6 +304,14 @@ ORACLES: dict[str, str] = {
         select=f"SELECT {_CORE} FROM core WHERE display_name IS NOT NULL",
     ),
     "core_merge": _with("core", select=f"SELECT {_CORE} FROM core"),
+    "core_merge_late": _daily(_with("core", select=f"SELECT {_CORE} FROM core")),
+    "landing_corrected": _with("land", select=f"SELECT {_LANDING} FROM land"),
+    "log_two_runs": _with("land", select=f"SELECT {_LANDING} FROM land"),
+    "dedup_null_ids": _WINDOWS,
+    "inventory_csv": _with(
+        "inv",
+        select=f"SELECT intersection_id, display_name, {_PLACE}, osm_node_id, source FROM inv",
+    ),
     "severe_bottlenecks": _with(
         "core",
         select=f"SELECT intersection_id, window_end, {_AVERAGES} FROM core "

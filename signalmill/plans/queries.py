@@ -25,6 +25,7 @@ from signalmill.schemas import (
 from signalmill.session import configure, shared_folder
 from signalmill.sources import core as core_table
 from signalmill.sources import landing as landing_table
+from signalmill.sources.inventory import read_inventory
 from signalmill.streaming import pipelines as streams
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -99,6 +100,16 @@ def dedup_events(spark, sf_dir):
     return plain(windows.window_aggregate(events, seq_col="seq", states=SIGNAL_STATES))
 
 
+def dedup_null_ids(spark, sf_dir):
+    """One event in ten without an id, which is no copy of another; the others come twice."""
+    events = d.flat_events(spark, sf_dir)
+    named = F.when(F.col("seq") % 10 != 0, F.col("seq"))
+    once = events.withColumn("event_id", named)
+    again = once.filter("event_id IS NOT NULL").withColumn("seq", F.col("seq") + 1_000_000_000_000)
+    kept = ev.drop_repeats(once.unionByName(again))
+    return plain(windows.window_aggregate(kept, seq_col="seq", states=SIGNAL_STATES))
+
+
 # --- Windows and landing -------------------------------------------------------------------
 
 
@@ -215,6 +226,42 @@ def core_merge(spark, sf_dir):
     return plain(core_table.read_core(spark, f"{folder}/core"))
 
 
+def core_merge_late(spark, sf_dir):
+    """Thirty days that reach landing out of order, with an inventory that changes in between."""
+    folder = shared_folder(configure(spark), "core")
+    places = d.inventory(spark, sf_dir)
+    before = places.withColumn("latitude", F.col("latitude") + (F.col("osm_node_id") % 3 == 0).cast("int"))
+    rows = d.daily_landing(spark, sf_dir)
+    turn = F.dayofmonth("window_end") % 3
+    for part, known in ((rows.filter(turn == 2), before), (rows.filter(turn != 2), before),
+                        (rows.limit(0), places)):
+        landing_table.upsert_landing(part, f"{folder}/landing", unique=True)
+        core_table.merge_core(spark, f"{folder}/landing", known, f"{folder}/core")
+    return plain(core_table.read_core(spark, f"{folder}/core"))
+
+
+def landing_corrected(spark, sf_dir):
+    """A folded log, a correction of the table, and one more fold, which must not undo it."""
+    folder = shared_folder(configure(spark), "log")
+    table, log = f"{folder}/landing", f"{folder}/log"
+    rows = d.landing(spark, sf_dir)
+    landing_table.append_versions(rows.withColumn("signal_state", F.lit("UNKNOWN")), 0, log)
+    landing_table.fold_versions(spark, log, table)
+    landing_table.upsert_landing(rows, table, unique=True)
+    landing_table.fold_versions(spark, log, table)
+    return plain(landing_table.read_live(spark, table, log))
+
+
+def log_two_runs(spark, sf_dir):
+    """Two streams with checkpoints of their own, each with a micro-batch 0, in one log."""
+    log = shared_folder(configure(spark), "log")
+    rows = d.landing(spark, sf_dir)
+    odd = F.minute("window_end") % 2 == 1
+    for run, part in (("one", rows.filter(odd)), ("two", rows.filter(~odd))):
+        landing_table.append_versions(part, 0, log, run=run)
+    return plain(landing_table.read_versions(spark, log))
+
+
 def severe_bottlenecks(spark, sf_dir):
     rows = d.core(spark, sf_dir).filter("is_severe_bottleneck")
     return plain(
@@ -369,6 +416,14 @@ def inventory_from_extract(spark, sf_dir):
     return plain(inv.inventory_from_elements(nodes, (-27.12, -52.1, -27.0, -52.0)))
 
 
+def inventory_csv(spark, sf_dir):
+    """The inventory as a file with its columns in another order."""
+    path = shared_folder(configure(spark), "inventory")
+    rows = d.inventory(spark, sf_dir)
+    rows.select(*reversed(rows.columns)).write.option("header", True).csv(path)
+    return plain(read_inventory(spark, path))
+
+
 def inventory_in_bbox(spark, sf_dir):
     return plain(quality.inside_bbox(d.inventory(spark, sf_dir)))
 
@@ -472,6 +527,11 @@ QUERIES: dict[str, Query] = {
     "core_points": core_points,
     "core_inner": core_inner,
     "core_merge": core_merge,
+    "core_merge_late": core_merge_late,
+    "landing_corrected": landing_corrected,
+    "log_two_runs": log_two_runs,
+    "dedup_null_ids": dedup_null_ids,
+    "inventory_csv": inventory_csv,
     "severe_bottlenecks": severe_bottlenecks,
     "orphan_report": orphan_report,
     "core_counts": core_counts,

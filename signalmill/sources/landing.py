@@ -62,6 +62,11 @@ def read_landing(
     return rows.select(*LANDING.fieldNames())
 
 
+def newest_day(spark: SparkSession, path: str) -> dt.date | None:
+    """The last day that holds rows; the folders' names tell, no column is read."""
+    return spark.read.schema(STORED).parquet(path).agg(F.max("window_date")).first()[0]
+
+
 def in_order(rows: DataFrame) -> DataFrame:
     return rows.orderBy(*LANDING_KEY)
 

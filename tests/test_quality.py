@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from helpers import at, events, inventory, landing, plan, tuples
+from signalmill.sources.landing import with_date
 from signalmill.operators import models, quality as q
 from signalmill.schemas import DEFAULT_BBOX, INVENTORY_SOURCES, LANDING_REQUIRED, SIGNAL_STATES
 
@@ -65,6 +66,11 @@ def test_freshness_reads_one_day(spark, folder):
     rows(spark).write.parquet(folder + "/l")
     text = plan(q.source_freshness(spark.read.parquet(folder + "/l"), as_of="2026-06-05T18:00:00Z"))
     assert "GreaterThanOrEqual(window_end,2026-06-04 18:00:00.0)" in text
+    with_date(rows(spark)).write.partitionBy("window_date").parquet(folder + "/days")
+    days = spark.read.parquet(folder + "/days")
+    text = plan(q.source_freshness(days, as_of="2026-06-05T18:00:00Z"))
+    pruned = text.split("PartitionFilters:")[1].split("PushedFilters")[0]
+    assert "window_date" in pruned and "2026-06-04" in pruned
 
 
 def test_bounding_box(spark):
