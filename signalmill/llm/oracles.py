@@ -35,7 +35,7 @@ s8 AS (
 s9 AS (
   SELECT *, row_number() OVER (ORDER BY quotient DESC, source NULLS FIRST) <= rest AS won FROM s8),
 quota AS (
-  SELECT source, source_size, target, ceil(source_size / 4194304)::BIGINT AS n_shards,
+  SELECT source, source_size, target, ceil(source_size / 524288)::BIGINT AS n_shards,
     low + sum(won::INT) AS quota
   FROM s9 GROUP BY source, source_size, target, low),
 p AS (

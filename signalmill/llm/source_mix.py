@@ -17,7 +17,7 @@ WORD = r"[^\x20\x09-\x0D]+"
 # Words of a block: the step in which quotas are given.
 BLOCK = 16
 # Words of a shard: bounds what one task sorts.
-SHARD = 1 << 22
+SHARD = 1 << 19
 
 
 def word_count(text: Column) -> Column:
