@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from signalmill.llm.common import stored
-from signalmill.llm.vectors import best_first, finite, merged, of_main_length
+from signalmill.llm.vectors import best_first, finite, merged, no_parts, of_main_length
 
 BLOCK_ROWS = 8192
 BLOCK_QUERIES = 2048
@@ -103,7 +103,8 @@ def threshold_top_k(
 
     def floored(batches):
         for batch in batches:
-            v = [np.floor(np.asarray(x, np.float64)).tobytes() for x in batch.column("v").to_pylist()]
+            whole = np.floor(batch.column("v").flatten().to_numpy()).reshape(batch.num_rows, -1)
+            v = [row.tobytes() for row in whole]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("id"), pa.array(v, pa.binary()), batch.column("asked")],
                 ["id", "v", "asked"],
@@ -131,7 +132,7 @@ def threshold_top_k(
         is_query = group["is_query"].to_numpy(bool)
         asking, here = group[is_query], group[~is_query]
         if not len(asking) or not len(here):
-            return pd.DataFrame({"q": [], "ids": [], "scores": []}).astype({"q": "int64"})
+            return no_parts()
         x = whole_numbers([*here["v"], *asking["v"]])
         lists, ids = SortedLists(x[: len(here)]), here["id"].to_numpy()
         out = []

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from signalmill.llm.common import stored
-from signalmill.llm.vectors import best_first, finite, merged, of_main_length
+from signalmill.llm.vectors import best_first, finite, merged, no_parts, of_main_length
 
 TREES = 16
 LEAF = 256
@@ -93,9 +93,9 @@ def fit_forest(sample: np.ndarray, depth: int, trees: int = TREES, seed: int = 1
     return Forest(directions, splits, depth)
 
 
-def _matrix(column) -> np.ndarray:
-    """The vectors of a list column, or of a series of lists, in double precision."""
-    return np.stack([np.asarray(v, np.float64) for v in column]) if len(column) else np.zeros((0, 0))
+def _matrix(column: pa.Array) -> np.ndarray:
+    """The vectors of a list column of vectors of one length."""
+    return column.flatten().to_numpy().reshape(len(column), -1)
 
 
 def forest_search(
@@ -146,11 +146,12 @@ def forest_search(
         return spark.createDataFrame([], out)
     # By hash, about SAMPLE of the vectors, or all where there are fewer.
     drawn = F.pmod(F.col("c"), F.lit(1 << 30)) < min(1.0, SAMPLE / total) * (1 << 30)
-    sample = classes.where(drawn).select("v", "norm").toPandas()
-    lift = np.sqrt(np.maximum(0, most - sample["norm"].to_numpy(float)))
+    sample = classes.where(drawn).select("v", "norm").toArrow()
+    lift = np.sqrt(np.maximum(0, most - sample["norm"].to_numpy()))
     depth = max(0, int(np.ceil(np.log2(total / leaf))))
     if len(sample):
-        forest = fit_forest(np.column_stack([_matrix(sample["v"]), lift]), depth, trees)
+        fitted = sample["v"].combine_chunks().flatten().to_numpy().reshape(len(sample), -1)
+        forest = fit_forest(np.column_stack([fitted, lift]), depth, trees)
     else:
         forest = Forest(np.zeros((1, 0, 1)), [[]], 0)
     shared = spark.sparkContext.broadcast(forest)
@@ -169,7 +170,7 @@ def forest_search(
 
     def indexed(batches):
         for batch in batches:
-            x = _matrix(batch.column("v").to_pylist())
+            x = _matrix(batch.column("v"))
             lifted = np.sqrt(np.maximum(0, most - np.asarray(batch.column("norm"))))
             at = shared.value.leaves(np.column_stack([x, lifted]))
             c, v = batch.column("c").to_pylist(), [row.tobytes() for row in x]
@@ -179,7 +180,7 @@ def forest_search(
 
     def sought(batches):
         for batch in batches:
-            x = _matrix(batch.column("v").to_pylist())
+            x = _matrix(batch.column("v"))
             for c, row in zip(batch.column("c").to_pylist(), x, strict=True):
                 at = shared.value.visit(np.append(row, 0.0), leaves)
                 n = len(at)
@@ -216,7 +217,7 @@ def forest_search(
             score.append(np.repeat(product[a, b], times))
             ids.append(np.concatenate(names))
         if not query:
-            return pd.DataFrame({"q": [], "ids": [], "scores": []}).astype({"q": "int64"})
+            return no_parts()
         query, score, ids = map(np.concatenate, (query, score, ids))
         at = best_first(query, score, ids, k + 1)
         query, score, ids = query[at], score[at], ids[at]

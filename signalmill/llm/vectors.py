@@ -38,6 +38,12 @@ def best_first(query: np.ndarray, score: np.ndarray, id_: np.ndarray, k: int) ->
     return order[rank < k]
 
 
+def no_parts() -> pd.DataFrame:
+    """No partial results (q, ids, scores)."""
+    empty = pd.DataFrame({"q": [], "ids": [], "scores": []}, dtype=object)
+    return empty.astype({"q": "int64"})
+
+
 def merged(parts: DataFrame, k: int, score_type: str) -> DataFrame:
     """The k best over partial results (q, ids, scores): q, id, score, rank from 1.
 
