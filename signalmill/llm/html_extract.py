@@ -62,6 +62,7 @@ _TOKEN = re.compile(
     r"<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+|[^>]*+)>",
     re.S,
 )
+_UNENDED = re.compile("<[a-zA-Z/!?]")
 _NAMES = re.compile(
     r"""(?:^|\s)(class|id|role|hidden|aria-hidden)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I
 )
@@ -117,7 +118,7 @@ def parse(source: str) -> Page:
     while at < end:
         found = _TOKEN.search(source, at)
         if found is None:
-            text.append((source[at:], in_link))
+            text.append((_UNENDED.split(source[at:], maxsplit=1)[0], in_link))
             break
         if found.start() > at:
             text.append((source[at : found.start()], in_link))
@@ -348,8 +349,8 @@ def extract(source: str | None, model: TreeModel) -> str:
     if not source:
         return ""
     page = parse(source)
-    if not page.blocks:
-        return ""
+    if len(page.tag) == 1:  # plain text
+        return "\n\n".join(text for _, text in page.blocks)
     good = model.marginals(page)
     return "\n\n".join(text for node, text in page.blocks if good[node] > 0.5)
 
