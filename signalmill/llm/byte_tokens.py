@@ -24,8 +24,9 @@ PATTERN = (
     rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{LETTER}]+| ?[{NUMBER}]+|"
     rf" ?[^\s{LETTER}{NUMBER}]+|\s+(?!\S)|\s+"
 )
-# Remembered pre-tokens of a worker; beyond that it starts anew. Bounds memory, not results.
-REMEMBERED = 1_000_000
+# Remembered pre-tokens of a worker, in two generations; the older one is forgotten when the younger
+# is full. Bounds memory, not results.
+REMEMBERED = 300_000
 _UNSURE = "[^\x00-\x1b\x20-\x84\x86-\x9f\xa1-ɏ]"
 
 
@@ -60,6 +61,7 @@ class ByteTokens:
         self.width = 2 if self.library.get_vocab_size() <= 1 << 16 else 4
         self.split = re.compile(PATTERN).findall
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def whole(self, text: str) -> bool:
         """Whether the text goes through the library whole, as all do for another kind of file."""
@@ -88,9 +90,10 @@ class ByteTokens:
         new = set(itertools.chain.from_iterable(words for _, words in rest))
         fresh = new - self.known.keys()
         if len(self.known) + len(fresh) > REMEMBERED:
-            self.known.clear()
-            fresh = new
-        self._learn(fresh)
+            self.older, self.known, fresh = self.known, {}, new
+        again = fresh & self.older.keys()
+        self.known.update((w, self.older[w]) for w in again)
+        self._learn(fresh - again)
         of = self.known.__getitem__
         for i, words in rest:
             out[i] = b"".join(map(of, words))

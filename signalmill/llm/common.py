@@ -59,7 +59,7 @@ def spans(lengths: np.ndarray) -> np.ndarray:
     return np.concatenate([[0], np.cumsum(lengths, dtype=np.int64)])
 
 
-def batches_of(batches: Iterator[pa.RecordBatch], max_bytes: int = 1 << 23, text: str = "text"):
+def batches_of(batches: Iterator[pa.RecordBatch], max_bytes: int = 1 << 20, text: str = "text"):
     """The same rows in batches of about max_bytes of text; one long text makes a batch alone."""
     for batch in batches:
         size = np.diff(string_bytes(batch.column(text))[1])

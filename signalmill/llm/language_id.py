@@ -89,11 +89,13 @@ def learn_languages(labelled: DataFrame) -> LanguageModel:
         .mapInArrow(counted, "lang string, slot int, n long")
         .groupBy("lang", "slot")
         .agg(F.sum("n").alias("n"))
-        .toPandas()
+        .toArrow()
     )
-    names = sorted(got["lang"].unique())
+    lang = got["lang"].combine_chunks().dictionary_encode()
+    names = sorted(lang.dictionary.to_pylist())
     n = np.full((len(names), 1 << GRAM_BITS), 0.5)
-    n[got["lang"].map({x: i for i, x in enumerate(names)}).to_numpy(int), got["slot"]] += got["n"]
+    place = np.array([names.index(x) for x in lang.dictionary.to_pylist()], int)
+    n[place[lang.indices.to_numpy()], got["slot"].to_numpy()] += got["n"].to_numpy()
     return LanguageModel(names, np.log(n / n.sum(axis=1, keepdims=True)).astype(np.float32))
 
 

@@ -29,11 +29,11 @@ SKETCH = 1 << 21
 # Members of a part of a block whose parities one task compares.
 NEAR_MEMBERS = 4096
 # Shingles of a part of a block: bounds what one task searches.
-BLOCK_SHINGLES = 1 << 20
+BLOCK_SHINGLES = 1 << 19
 PERCENT = 80
 # The weight of the longest list's length in DivideSkip's choice of long lists.
 MU = 0.1
-BATCH_BYTES = 1 << 22
+BATCH_BYTES = 1 << 20
 
 
 def least_overlap(n: np.ndarray | int, percent: int) -> np.ndarray | int:
@@ -452,27 +452,29 @@ def one_of_each_group(docs: DataFrame, width: int = 5, percent: int = PERCENT) -
     Of rows that repeat both doc_id and set of shingles one stays. Rows without doc_id stay unless
     a row with one is in their component.
     """
-    schema = T.StructType([*docs.schema.fields, T.StructField("near_class", T.LongType())])
+    # Names of its own, as docs may have any.
+    names = ["__near_id", "__near_key", "__near_class", "__near_place"]
+    id_, key, class_, place = names
+    schema = T.StructType([*docs.schema.fields, T.StructField(class_, T.LongType())])
 
     def classed(batches):
         for batch in batches_of(batches, BATCH_BYTES):
             keys = [class_key(s) for s in shingle_sets(batch.column("text"), width)]
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(keys, pa.int64())], [*batch.schema.names, "near_class"]
+                [*batch.columns, pa.array(keys, pa.int64())], [*batch.schema.names, class_]
             )
 
     facts = ngram_join(docs, width, percent).groupBy("doc_id", "class_key", "component_id")
     facts = stored(facts.agg(F.count("*").alias("times")), "ngram-facts")
-    facts = facts.withColumnRenamed("doc_id", "near_id")
-    rows = docs.mapInArrow(classed, schema)
-    same = F.col("doc_id").eqNullSafe(F.col("near_id")) & (F.col("near_class") == F.col("class_key"))
-    dropped = facts.where(~F.col("near_id").eqNullSafe(F.col("component_id")))
-    kept = rows.join(dropped, same, "left_anti")
-    repeated = facts.where("times > 1 AND near_id = component_id")
+    named = [F.col("doc_id").alias(id_), F.col("class_key").alias(key)]
+    dropped = facts.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(*named)
+    repeated = facts.where("times > 1 AND doc_id = component_id").select(*named)
+    same = F.col("doc_id").eqNullSafe(F.col(id_)) & (F.col(class_) == F.col(key))
+    kept = docs.mapInArrow(classed, schema).join(dropped, same, "left_anti")
     if not repeated.isEmpty():
-        place = Window.partitionBy("doc_id", "near_class").orderBy("doc_id")
-        once = kept.join(repeated, same, "left_semi").withColumn("near_place", F.row_number().over(place))
+        of_row = Window.partitionBy("doc_id", class_).orderBy("text")
+        once = kept.join(repeated, same, "left_semi").withColumn(place, F.row_number().over(of_row))
         kept = kept.join(repeated, same, "left_anti").unionByName(
-            once.where("near_place = 1").drop("near_place")
+            once.where(F.col(place) == 1).drop(place)
         )
-    return kept.drop("near_class")
+    return kept.drop(class_)

@@ -207,8 +207,10 @@ def write_token_files(docs: DataFrame, path: str, tokenizer_path: str, end_id: i
     spark = docs.sparkSession
     width = byte_tokens(tokenizer_path).width
     ids = stored(token_ids(docs, tokenizer_path, end_id, width), "ids")
-    counts = id_counts(ids, width).toPandas()  # one row an id of the vocabulary at most
-    freq = quantized(counts["id"].to_numpy(np.int64), counts["n"].to_numpy(np.int64))
+    counts = id_counts(ids, width).toArrow()  # one row an id of the vocabulary at most
+    freq = quantized(
+        counts["id"].to_numpy().astype(np.int64), counts["n"].to_numpy().astype(np.int64)
+    )
     used = np.flatnonzero(freq)
     spark.createDataFrame(
         list(zip(used.tolist(), freq[used].tolist(), strict=True)), "id long, freq long"
@@ -272,10 +274,11 @@ def read_token_files(spark: SparkSession, path: str) -> DataFrame:
 
     A block whose ids do not give its checksum raises an error.
     """
-    table = spark.read.schema("id long, freq long").parquet(f"{path}/frequencies").toPandas()
-    size = int(table["id"].max()) + 1 if len(table) else 0
+    table = spark.read.schema("id long, freq long").parquet(f"{path}/frequencies").toArrow()
+    ids = table["id"].to_numpy().astype(np.int64)
+    size = int(ids.max(initial=-1)) + 1
     freq = np.zeros(size, np.int64)
-    freq[table["id"]] = table["freq"]
+    freq[ids] = table["freq"].to_numpy()
     shared = spark.sparkContext.broadcast(Frequencies(freq, frequency_bits(size)))
     blocks = spark.read.schema(BLOCK).parquet(f"{path}/blocks")
     parts = blocks.groupBy("part").agg(F.sum("n_tokens").alias("n"))
@@ -284,7 +287,7 @@ def read_token_files(spark: SparkSession, path: str) -> DataFrame:
     parts = parts.select(F.col("part").alias("of"), before.alias("before"))
 
     def decoded(batches):
-        for batch in batches_of(batches, text="words"):
+        for batch in batches_of(batches, 1 << 23, "words"):
             rows = batch.to_pylist()
             sizes = np.array([r["n_tokens"] for r in rows], np.int64)
             coded = [(r["states"], r["cursors"], r["words"]) for r in rows]
