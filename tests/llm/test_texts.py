@@ -288,7 +288,8 @@ def test_bits_are_probabilities():
     rng = np.random.default_rng(1)
     tokens = rng.integers(0, 2**63, 400).astype(np.uint64)
     texts = np.array([0, 400])
-    counts = context_mixing.bit_counts(tokens, np.ones(400, np.int64), texts)
+    counts = np.zeros(context_mixing.COUNTERS, np.int64)
+    context_mixing.add_bit_counts(counts, tokens, np.ones(400, np.int64), texts)
     model = context_mixing.MixingModel.of(
         counts, np.ones(context_mixing.NODES), np.ones(context_mixing.NODES)
     )
