@@ -10,6 +10,7 @@ component that lifts it to the greatest norm, and a query gets zero there.
 from __future__ import annotations
 
 import heapq
+import math
 from dataclasses import dataclass
 
 import numpy as np
@@ -23,8 +24,13 @@ from signalmill.llm.vectors import best_first, finite, merged, no_parts, of_main
 
 TREES = 16
 LEAF = 256
-# Leaves that a query visits in all trees together.
+# Leaves that a query visits in all trees together: LEAVES in a forest of up to FOREST leaves, and
+# in a larger one more, by the power GROWTH of its leaves.
 LEAVES = 208
+FOREST = 4096
+GROWTH = 0.75
+# Rows of queries that meet one group of leaves, about; where there are more, the leaves are copied.
+QUERIES_TOGETHER = 1 << 15
 # Vectors on which the splits are fitted, about; every vector is indexed.
 SAMPLE = 1 << 16
 # Least sample vectors for a split of a node's own; below, all nodes of a level split alike.
@@ -93,6 +99,11 @@ def fit_forest(sample: np.ndarray, depth: int, trees: int = TREES, seed: int = 1
     return Forest(directions, splits, depth)
 
 
+def leaves_visited(in_forest: int) -> int:
+    """How many leaves a query visits in a forest of so many."""
+    return math.ceil(LEAVES * max(1.0, in_forest / FOREST) ** GROWTH)
+
+
 def _matrix(column: pa.Array) -> np.ndarray:
     """The vectors of a list column of vectors of one length."""
     return column.flatten().to_numpy().reshape(len(column), -1)
@@ -106,7 +117,7 @@ def forest_search(
     vector: str = "embedding",
     trees: int = TREES,
     leaf: int = LEAF,
-    leaves: int = LEAVES,
+    leaves: int | None = None,
 ) -> DataFrame:
     """About the k greatest inner products of each query: query_id, rank, vec_id, score.
 
@@ -117,8 +128,9 @@ def forest_search(
 
     Equal vectors are one in the index and keep their k + 1 smallest ids, more than which no query
     can name, so a frequent vector is no hot leaf. Splits come from a bounded sample, their number
-    from the number of vectors; the forest that is broadcast is bounded by the sample. Each vector
-    is shuffled once a tree and each query once a visited group of leaves.
+    from the number of vectors; the forest that is broadcast is bounded by the sample. A query visits
+    ``leaves`` leaves, or by default a number that grows with the forest. Each vector is shuffled
+    once a tree and block of queries, and each query once a visited leaf.
     """
     spark = vectors.sparkSession
     rows = vectors.select(
@@ -156,13 +168,17 @@ def forest_search(
         forest = Forest(np.zeros((1, 0, 1)), [[]], 0)
     shared = spark.sparkContext.broadcast(forest)
     below = min(TOGETHER, forest.depth)
-    member = "tree int, part long, leaf long, is_query boolean, c long, v binary, ids array<long>"
+    member = (
+        "tree int, part long, block int, leaf long, is_query boolean, c long, v binary, "
+        "ids array<long>"
+    )
 
-    def rows_of(tree, leaf_, c, v, ids, is_query):
-        kinds = [pa.int32(), pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.binary(),
-                 pa.list_(pa.int64())]
+    def rows_of(tree, leaf_, block, c, v, ids, is_query):
+        kinds = [pa.int32(), pa.int64(), pa.int32(), pa.int64(), pa.bool_(), pa.int64(),
+                 pa.binary(), pa.list_(pa.int64())]
         leaf_ = np.asarray(leaf_, np.int64)
-        columns = [tree, leaf_ >> below, leaf_, [is_query] * len(leaf_), c, v, ids]
+        n = len(leaf_)
+        columns = [tree, leaf_ >> below, [block] * n, leaf_, [is_query] * n, c, v, ids]
         return pa.RecordBatch.from_arrays(
             [pa.array(x, t) for x, t in zip(columns, kinds, strict=True)],
             [m.split()[0] for m in member.split(", ")],
@@ -176,16 +192,19 @@ def forest_search(
             c, v = batch.column("c").to_pylist(), [row.tobytes() for row in x]
             ids = batch.column("ids").to_pylist()
             for tree in range(at.shape[1]):
-                yield rows_of([tree] * len(c), at[:, tree], c, v, ids, False)
+                for block in range(blocks):
+                    yield rows_of([tree] * len(c), at[:, tree], block, c, v, ids, False)
 
     def sought(batches):
         for batch in batches:
             x = _matrix(batch.column("v"))
             for c, row in zip(batch.column("c").to_pylist(), x, strict=True):
-                at = shared.value.visit(np.append(row, 0.0), leaves)
+                at = shared.value.visit(np.append(row, 0.0), visited)
                 n = len(at)
                 tree, leaf_ = [t for t, _ in at], [f for _, f in at]
-                yield rows_of(tree, leaf_, [c] * n, [row.tobytes()] * n, [None] * n, True)
+                yield rows_of(
+                    tree, leaf_, c % blocks, [c] * n, [row.tobytes()] * n, [None] * n, True
+                )
 
     asked_classes = (
         asked.where(F.col("query_id").isNotNull())
@@ -195,6 +214,10 @@ def forest_search(
     )
     asked_classes = stored(asked_classes, "vector-queries")
     wanted = classes.join(asked_classes.select("c").distinct(), "c", "left_semi")
+    in_forest = len(forest.directions) << forest.depth
+    visited = leaves_visited(in_forest) if leaves is None else leaves
+    of_part = min(1.0, (visited << below) / in_forest) * asked_classes.count()
+    blocks = max(1, math.ceil(of_part / QUERIES_TOGETHER))
 
     def ranked(group: pd.DataFrame) -> pd.DataFrame:
         is_query = group["is_query"].to_numpy(bool)
@@ -230,7 +253,7 @@ def forest_search(
         classes.select("v", "norm", "c", "ids")
         .mapInArrow(indexed, member)
         .unionByName(wanted.select("v", "c").mapInArrow(sought, member))
-        .groupBy("tree", "part")
+        .groupBy("tree", "part", "block")
         .applyInPandas(ranked, "q long, ids array<long>, scores array<double>"),
         "vector-candidates",
     )

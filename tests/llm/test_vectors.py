@@ -120,6 +120,21 @@ def test_recall_of_a_large_forest(spark, monkeypatch):
     assert hits >= 0.9 * 20 * len(want)
 
 
+def test_recall_holds_in_a_forest_of_many_leaves(spark, monkeypatch):
+    rng = np.random.default_rng(8)
+    rows = [(i, rng.standard_normal(24).tolist(), 0) for i in range(16000)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int").repartition(4)
+    x = np.array([v for _, v, _ in rows])
+    monkeypatch.setattr(vector_forest, "QUERIES_TOGETHER", 20, raising=False)
+    got = found(forest_search(df, F.col("vec_id") % 400 == 0, leaf=8))
+    hits = 0
+    for q, best in got.items():
+        score = x @ x[q]
+        score[q] = -np.inf
+        hits += len({i for _, i, _ in best} & set(np.argsort(-score)[:20].tolist()))
+    assert len(got) == 40 and hits >= 0.9 * 20 * len(got)
+
+
 def test_forest_visits_the_nearest_leaf_first():
     rng = np.random.default_rng(4)
     x = rng.standard_normal((2000, 8))
