@@ -32,9 +32,19 @@ BLOCKS = frozenset(
     "fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li "
     "main menu nav ol p pre search section summary table tbody td tfoot th thead tr ul".split()
 )
+# Without their text. Raw ones end at their own closing tag only; the others are elements as any.
+RAW = frozenset("head iframe noembed noframes noscript script style textarea title xmp".split())
 DROPPED = frozenset(
-    "applet audio button canvas datalist embed frameset head iframe math noembed noframes "
-    "noscript object script select style svg template textarea title video xmp".split()
+    "applet audio button canvas datalist frameset math object select svg template video".split()
+)
+EMPTY = frozenset({"embed"})
+# Dropped ones that end with the paragraph or item they are in.
+PASSED = frozenset("audio canvas datalist video".split())
+FOREIGN = frozenset({"math", "svg"})
+# Parts of foreign elements that hold HTML; elsewhere in them a tag of BREAKOUT ends them.
+HTML_IN_FOREIGN = frozenset("annotation-xml desc foreignobject mi mn mo ms mtext".split())
+BREAKOUT = frozenset(
+    "blockquote body center dd div dl dt h1 h2 h3 h4 h5 h6 hr li menu ol p pre table ul".split()
 )
 CLOSED_BY_SIBLING = {
     "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"},
@@ -100,6 +110,7 @@ def parse(source: str) -> Page:
     open_ = [0]
     text: list[tuple[str, bool]] = []
     in_link = False
+    dropped: list[str] = []  # open elements from the dropped one down
 
     def flush() -> None:
         if text:
@@ -118,16 +129,42 @@ def parse(source: str) -> Page:
     while at < end:
         found = _TOKEN.search(source, at)
         if found is None:
-            text.append((_UNENDED.split(source[at:], maxsplit=1)[0], in_link))
+            if not dropped:
+                text.append((_UNENDED.split(source[at:], maxsplit=1)[0], in_link))
             break
-        if found.start() > at:
+        if found.start() > at and not dropped:
             text.append((source[at : found.start()], in_link))
         at = found.end()
         closing, tag, attributes = found.groups()
         if tag is None:
             continue
         tag = tag.lower()
-        if tag in DROPPED:
+        if dropped and tag not in RAW:
+            if closing:
+                if tag in dropped:
+                    del dropped[len(dropped) - 1 - dropped[::-1].index(tag) :]
+                    continue
+                if tag not in BLOCKS or all(page.tag[node] != tag for node in open_):
+                    continue
+                dropped.clear()
+            else:
+                while dropped and dropped[-1] in FOREIGN and tag in BREAKOUT:
+                    dropped.pop()
+                ends = {"p", *CLOSED_BY_SIBLING.get(tag, ())} if tag in BLOCKS else ()
+                if PASSED.issuperset(dropped) and page.tag[open_[-1]] in ends:
+                    dropped.clear()
+            if dropped:
+                if (tag in BLOCKS and tag != "hr") or tag in DROPPED or tag in HTML_IN_FOREIGN:
+                    if not attributes.endswith("/"):
+                        dropped.append(tag)
+                continue
+        if tag in EMPTY:
+            text.append((" ", in_link))
+        elif tag in DROPPED:
+            if not closing and not attributes.endswith("/"):
+                dropped.append(tag)
+            text.append((" ", in_link))
+        elif tag in RAW:
             if not closing and not attributes.endswith("/"):
                 close = re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*>", re.I).search(source, at)
                 body = re.compile("<body[\\s>]", re.I).search(source, at) if tag == "head" else None

@@ -79,6 +79,24 @@ def test_open_and_broken_tags():
     assert parse("<script>never ends <p>x").blocks == []
 
 
+@pytest.mark.parametrize("source, blocks", [
+    ('<article><p>a</p><embed src="x.swf"><p>b</p></article><p>c</p>', ["a", "b", "c"]),
+    ("<article><p>a</p><button>x</article><p>c</p>", ["a", "c"]),
+    ("<article><p>a</p><video src=v>x<p>y</p></article><div>c</div>", ["a", "c"]),
+    ("<article><p>a<video src=v><p>b</p></article>", ["a", "b"]),
+    ("<ul><li>a<audio>x<li>b</ul>", ["a", "b"]),
+    ("<p>a <svg><svg><text>x</text></svg><text>y</text></svg> b</p>", ["a b"]),
+    ("<object><object>x</object>y</object><p>b</p>", ["b"]),
+    ("<article><svg><text>x</text><p>b</p></article>", ["b"]),
+    ("<svg><foreignObject><div>x</div></foreignObject></svg><p>b</p>", ["b"]),
+    ("<p>a<button><p>x</p></button>b</p>", ["a b"]),
+    ("<div>a<video><svg><p>x</p></svg></video><p>b</p></div>", ["a", "b"]),
+    ("<div>a<select><option>x<script></select></script>y</select>b</div>", ["a b"]),
+])
+def test_dropped_elements_end_where_they_do(source, blocks):
+    assert [t for _, t in parse(source).blocks] == blocks
+
+
 def test_messages_give_the_marginals_of_all_labellings():
     rng = random.Random(3)
     pages_ = [parse(page(rng, "tags")[0]) for _ in range(20)]
