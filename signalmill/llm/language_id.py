@@ -22,6 +22,8 @@ GRAM_BITS = 17
 ROUNDS = 30
 UNDETERMINED = "und"
 BATCH_BYTES = 1 << 21
+# Least sum of a word's likelihoods, relative to its best language, that is taken in floats.
+LEAST_TOTAL = 1e-25
 
 _LETTER = np.zeros(256, np.uint8)
 _LETTER[ord("a") : ord("z") + 1] = np.arange(ord("a"), ord("z") + 1)
@@ -103,11 +105,13 @@ def mixture_shares(likelihood: np.ndarray, texts: np.ndarray) -> np.ndarray:
     """Share of each language in each text, from the words' log-likelihoods (words x languages).
 
     A language whose words fall to the penalty or below leaves the text's set. Texts without words
-    get zeros.
+    get zeros. A word that only languages no longer in the set would write is shared by those that
+    are.
     """
     n = np.diff(texts)
     doc = np.repeat(np.arange(len(n)), n)
     p = np.exp(likelihood - likelihood.max(axis=1, keepdims=True, initial=-np.inf))
+    p = p.astype(np.float32)
     share = np.full((len(n), likelihood.shape[1]), 1 / max(1, likelihood.shape[1]))
     share[n == 0] = 0
     penalty = 0.5 * np.log(np.maximum(n, 1))[:, None]
@@ -115,9 +119,17 @@ def mixture_shares(likelihood: np.ndarray, texts: np.ndarray) -> np.ndarray:
     for _ in range(ROUNDS):
         if not len(active):
             break
-        mine = np.isin(doc, active) if len(active) < len(n) else slice(None)
+        mine = np.flatnonzero(np.isin(doc, active)) if len(active) < len(n) else np.arange(len(doc))
         weight = p[mine] * share[doc[mine]].astype(np.float32)
-        weight /= weight.sum(axis=1, keepdims=True)
+        total = weight.sum(axis=1, keepdims=True)
+        # What the floats lose, relative to the best language still in the set.
+        lost = np.flatnonzero(total[:, 0] < LEAST_TOTAL)
+        if len(lost):
+            with np.errstate(divide="ignore"):
+                log = likelihood[mine[lost]].astype(np.float64) + np.log(share[doc[mine[lost]]])
+            weight[lost] = np.exp(log - log.max(axis=1, keepdims=True))
+            total[lost] = weight[lost].sum(axis=1, keepdims=True)
+        weight /= total
         count = sums(weight.astype(np.float64), spans(n[active]))
         kept = np.maximum(count - penalty[active], 0)
         none = kept.sum(axis=1) == 0
@@ -135,10 +147,10 @@ def language_sets(column: pa.Array, model: LanguageModel) -> list[list[tuple[str
     if not names:
         return [[] for _ in range(len(column))]
     grams, words, texts = word_grams(column)
-    found = np.zeros((len(words) - 1, len(names)), np.float32)
+    found = np.zeros((len(words) - 1, len(names)))
     for i in range(len(names)):
         if len(words) > 1:
-            found[:, i] = np.add.reduceat(model.log_p[i][grams], words[:-1])
+            found[:, i] = np.add.reduceat(model.log_p[i][grams], words[:-1], dtype=np.float64)
     out = []
     for row, text in zip(mixture_shares(found, texts).tolist(), column, strict=True):
         # Bytes beyond ASCII pass for letters above; a text of signs alone has no language.

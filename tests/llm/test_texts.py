@@ -162,6 +162,17 @@ def test_mixed_texts_show_both_languages(spark):
     assert [x for x, _ in one] == ["de"]
 
 
+def test_one_very_long_word_does_not_undo_a_text(spark):
+    rng = random.Random(12)
+    rows = [(i, prose(rng, lang, 80), lang, "s", None) for i, lang in enumerate(["en", "de", "fr"] * 15)]
+    model = language_id.learn_languages(make(spark, rows))
+    run = "".join(rng.choice(["wasser", "nicht", "fluss"]) for _ in range(6000))[:30000]
+    words = prose(rng, "en", 400).split()
+    text = " ".join([*words[:200], run, *words[200:]])
+    (langs,) = language_id.language_sets(pa.array([text]), model)
+    assert [x for x, _ in langs] == ["en"] and langs[0][1] == pytest.approx(1)
+
+
 def water_filling(sizes, share=Fraction(3, 2)):
     """Targets by sharing again and again, as the words of the rule say."""
     weight = {s: (3, 1, 2)[i % 3] for i, s in enumerate(sorted(sizes, key=lambda s: (s is None, s or "")))}
