@@ -397,13 +397,15 @@ def block_links(blocks: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def ngram_join(docs: DataFrame, width: int = 5, percent: int = PERCENT) -> DataFrame:
-    """Classes and components of similar documents: doc_id, n_shingles, class_key, component_id.
+    """Classes and components of similar documents.
+
+    Gives doc_id, n_shingles, class_key, component_id, component_key.
 
     Two documents link when 100 * |intersection| >= percent * |union| of their sets of shingles of
     ``width`` words; a text of fewer words is one shingle. ``component_id`` is the smallest doc_id
     reachable. Null, empty and blank texts have no shingles and link with nothing. Repeated rows
     and copies are answered each; they are one class in the search. Among rows without doc_id a
-    component has none. Other columns of ``docs`` take no part.
+    component has none; ``component_key`` tells such ones apart, null where there are no shingles. Other columns of ``docs`` take no part.
 
     Every link between different sets is found or implied by others found. Shuffled are a fifth
     of the shingles, as 64-bit hashes, and the sets of those documents that share a rare one.
@@ -424,8 +426,13 @@ def ngram_join(docs: DataFrame, width: int = 5, percent: int = PERCENT) -> DataF
     parities = facts.where("part IS NULL").select("n", "k", "parity")
     blocks = stored(near_members(blocks, parities, percent), "ngram-near")
     wanted = rows.join(blocks.select("k").distinct(), "k", "left_semi")
-    wanted = wanted.groupBy("k").agg(F.min("doc_id").alias("doc_id")).select("doc_id").distinct()
-    sets = sets_of(docs.join(wanted, "doc_id", "left_semi"), width).dropDuplicates(["k"])
+    wanted = stored(wanted.groupBy("k").agg(F.min("doc_id").alias("doc_id")), "ngram-wanted")
+    ids = wanted.where("doc_id IS NOT NULL").select("doc_id").distinct()
+    # Classes that only rows without id have are found among those by their key.
+    nameless = wanted.where("doc_id IS NULL").select("k")
+    unnamed = sets_of(docs.where("doc_id IS NULL"), width).join(nameless, "k", "left_semi")
+    sets = sets_of(docs.join(ids, "doc_id", "left_semi"), width)
+    sets = sets.unionByName(unnamed).dropDuplicates(["k"])
     found = components(block_links(blocks, stored(sets, "ngram-sets"), percent))
     placed = rows.join(found.withColumnRenamed("node", "k"), "k", "left")
     key = F.when(F.col("n") > 0, F.coalesce("root", "k"))
@@ -442,6 +449,7 @@ def ngram_join(docs: DataFrame, width: int = 5, percent: int = PERCENT) -> DataF
             F.col("n").alias("n_shingles"),
             F.col("k").alias("class_key"),
             F.when(F.col("n") > 0, F.col("least_id")).otherwise(F.col("doc_id")).alias("component_id"),
+            F.col("in_root").alias("component_key"),
         )
     )
 
@@ -449,8 +457,8 @@ def ngram_join(docs: DataFrame, width: int = 5, percent: int = PERCENT) -> DataF
 def one_of_each_group(docs: DataFrame, width: int = 5, percent: int = PERCENT) -> DataFrame:
     """The rows of ``docs`` without near-duplicates: of each component the smallest doc_id stays.
 
-    Of rows that repeat both doc_id and set of shingles one stays. Rows without doc_id stay unless
-    a row with one is in their component.
+    Of rows that repeat both doc_id and set of shingles one stays. Rows without doc_id go if a row
+    with one is in their component; of a component without any doc_id one row stays.
     """
     # Names of its own, as docs may have any.
     names = ["__near_id", "__near_key", "__near_class", "__near_place"]
@@ -464,11 +472,20 @@ def one_of_each_group(docs: DataFrame, width: int = 5, percent: int = PERCENT) -
                 [*batch.columns, pa.array(keys, pa.int64())], [*batch.schema.names, class_]
             )
 
-    facts = ngram_join(docs, width, percent).groupBy("doc_id", "class_key", "component_id")
+    facts = ngram_join(docs, width, percent).groupBy(
+        "doc_id", "class_key", "component_id", "component_key"
+    )
     facts = stored(facts.agg(F.count("*").alias("times")), "ngram-facts")
     named = [F.col("doc_id").alias(id_), F.col("class_key").alias(key)]
+    nameless = facts.where("component_id IS NULL AND component_key IS NOT NULL")
+    least = nameless.groupBy("component_key").agg(F.min("class_key").alias("least"))
+    nameless = nameless.join(least, "component_key")
     dropped = facts.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(*named)
+    dropped = dropped.unionByName(nameless.where("class_key <> least").select(*named))
     repeated = facts.where("times > 1 AND doc_id = component_id").select(*named)
+    repeated = repeated.unionByName(
+        nameless.where("times > 1 AND class_key = least").select(*named)
+    )
     same = F.col("doc_id").eqNullSafe(F.col(id_)) & (F.col(class_) == F.col(key))
     kept = docs.mapInArrow(classed, schema).join(dropped, same, "left_anti")
     if not repeated.isEmpty():

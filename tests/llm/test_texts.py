@@ -132,6 +132,24 @@ def test_one_of_each_group(spark):
     assert sorted(map(repr, ((r["doc_id"], r["text"]) for r in got.collect()))) == sorted(map(repr, want))
 
 
+def test_near_copies_without_id(spark):
+    words = [f"w{i}" for i in range(100)]
+    bridge = [*words[:97], "x", "y", "z"]
+    far = ["a", "b", "c", "d", *bridge[4:]]
+    alone = [f"v{i}" for i in range(60)]
+    texts = [(1, words), (None, bridge), (2, far), (None, alone), (None, alone), (None, [*alone[:59], "u"])]
+    rows = [(i, " ".join(t), "en", "s", None) for i, t in texts] + [(None, "", "en", "s", None)]
+    sets = [shingles(r[1]) for r in rows[:3]]
+    assert 100 * len(sets[0] & sets[2]) < 88 * len(sets[0] | sets[2])
+    docs = make(spark, rows)
+    got = ngram_join.ngram_join(docs, percent=88).select("doc_id", "component_id").collect()
+    named = {r["doc_id"]: r["component_id"] for r in got if r["doc_id"] is not None}
+    assert named == {1: 1, 2: 1}
+    kept = [(r["doc_id"], r["text"]) for r in ngram_join.one_of_each_group(docs, percent=88).collect()]
+    assert len(kept) == 3 and (1, rows[0][1]) in kept and (None, "") in kept
+    assert sum(text.startswith("v0 ") for _, text in kept) == 1
+
+
 def test_language_id(spark, docs, doc_rows, no_docs):
     rows = {r["doc_id"]: r for r in language_id.language_id(docs).collect()}
     assert len(language_id.language_id(docs).collect()) == len(doc_rows)
