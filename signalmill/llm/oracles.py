@@ -92,4 +92,112 @@ SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, v
 FROM s QUALIFY rank <= 20
 """
 
-ORACLES: dict[str, str] = {"op4_threshold_top_k": TOP_K, "op5_source_mix": SOURCE_MIX}
+# crc32 of an integer's decimal text, which DuckDB has no function for.
+CRC32 = """xor(4294967295, list_reduce(
+    list_transform(range(1, len({0}::VARCHAR) + 1), lambda p: ascii(substr({0}::VARCHAR, p, 1))::BIGINT),
+    lambda c, b: list_reduce(range(8), lambda x, i: CASE WHEN x % 2 = 1
+      THEN xor(x // 2, 3988292384) ELSE x // 2 END, xor(c, b)), 4294967295))"""
+
+
+def _leaf_sql(n_chars: str) -> str:
+    fields = ["doc_id", "source", "lang", n_chars, "text"]
+    texts = [f"({f})::VARCHAR" for f in fields]
+    return "sha256(" + " || ".join(f"coalesce(strlen({t}) || ':' || {t}, '-')" for t in texts) + ")"
+
+
+MERKLE = f"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, lang, {_leaf_sql("n_chars")} AS leaf,
+    CASE WHEN {CRC32.format("doc_id")} % 7 = 0 THEN {_leaf_sql("n_chars + 1")} END AS forged,
+    n_chars
+  FROM documents),
+r AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i,
+    count(*) OVER (PARTITION BY lang) AS n, row_number() OVER () AS row
+  FROM d),
+nodes AS (
+  SELECT lang, 0 AS level, i, n, leaf AS h FROM r
+  UNION ALL
+  SELECT lang, level + 1, i // 2, (n + 1) // 2, sha256(string_agg(h, '' ORDER BY i))
+  FROM nodes WHERE n > 1 GROUP BY lang, level, i // 2, n),
+subroots AS (
+  SELECT lang, h, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS i, count(*) OVER () AS n
+  FROM nodes WHERE n = 1),
+tops AS (
+  SELECT 0 AS level, i, n, h FROM subroots
+  UNION ALL
+  SELECT level + 1, i // 2, (n + 1) // 2, sha256(string_agg(h, '' ORDER BY i))
+  FROM tops WHERE n > 1 GROUP BY level, i // 2, n),
+walk AS (
+  SELECT row, lang, 0 AS level, i, n,
+    CASE WHEN forged IS NOT NULL AND n_chars IS NOT NULL THEN forged ELSE leaf END AS h,
+    '' AS proof
+  FROM r
+  UNION ALL
+  SELECT w.row, w.lang, w.level + 1, w.i // 2, (w.n + 1) // 2,
+    sha256(CASE WHEN w.i % 2 = 1 THEN s.h || w.h ELSE w.h || coalesce(s.h, '') END),
+    w.proof || coalesce(s.h, '')
+  FROM walk w LEFT JOIN nodes s
+    ON s.lang IS NOT DISTINCT FROM w.lang AND s.level = w.level AND s.i = xor(w.i, 1)
+  WHERE w.n > 1),
+up AS (
+  SELECT w.row, 0 AS level, s.i, s.n, w.h, w.proof
+  FROM walk w JOIN subroots s ON s.lang IS NOT DISTINCT FROM w.lang WHERE w.n = 1
+  UNION ALL
+  SELECT w.row, w.level + 1, w.i // 2, (w.n + 1) // 2,
+    sha256(CASE WHEN w.i % 2 = 1 THEN s.h || w.h ELSE w.h || coalesce(s.h, '') END),
+    w.proof || coalesce(s.h, '')
+  FROM up w LEFT JOIN tops s ON s.level = w.level AND s.i = xor(w.i, 1)
+  WHERE w.n > 1)
+SELECT r.doc_id, r.leaf, s.h AS subroot, t.h AS root, sha256(u.proof) AS proof_sha256,
+  u.h AS folded_root, u.h = t.h AS verified
+FROM r JOIN up u ON r.row = u.row AND u.n = 1
+  JOIN subroots s ON s.lang IS NOT DISTINCT FROM r.lang
+  JOIN tops t ON t.n = 1
+"""
+
+FILTER_AUDIT = f"""
+WITH d0 AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text,
+    coalesce(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+'), []) AS words
+  FROM documents),
+d AS (
+  SELECT part,
+    (len(words) < 200)::INT + 2 * (100 * len(list_distinct(words)) < 50 * len(words))::INT
+    + 4 * (100 * (len(text) - len(regexp_replace(text, '[A-Z]', '', 'g'))) > 2 * len(text))::INT
+    + 8 * regexp_matches(text, '[#$%&*|]')::INT
+    + 16 * coalesce(doc_id > min(doc_id) OVER (PARTITION BY text), false)::INT AS mask,
+    doc_id IN (SELECT doc_id FROM labels WHERE quality = 1) IS TRUE AS good,
+    doc_id IN (SELECT doc_id FROM labels WHERE toxic = 1) IS TRUE AS toxic
+  FROM d0),
+c AS (
+  SELECT part, mask, count(*) AS n, count(*) FILTER (good) AS good,
+    count(*) FILTER (toxic) AS toxic FROM d GROUP BY part, mask),
+f AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS f, unnest([1, 2, 4, 8, 16]) AS bit),
+o AS (
+  SELECT a.f || b.f || c.f || d.f || e.f AS filter_order,
+    unnest([1, 2, 3, 4, 5]) AS step,
+    unnest([a.bit, b.bit, c.bit, d.bit, e.bit]) AS bit,
+    unnest([0, a.bit, a.bit + b.bit, a.bit + b.bit + c.bit, 31 - e.bit]) AS ahead
+  FROM f a, f b, f c, f d, f e WHERE a.bit + b.bit + c.bit + d.bit + e.bit = 31
+    AND len(list_distinct([a.bit, b.bit, c.bit, d.bit, e.bit])) = 5),
+r AS (
+  SELECT part, filter_order, step, bit,
+    coalesce(sum(n) FILTER (mask & (bit | ahead) = 0), 0)::BIGINT AS kept,
+    coalesce(sum(n) FILTER (mask & bit <> 0 AND mask & ahead = 0), 0)::BIGINT AS removed,
+    coalesce(sum(n) FILTER (mask & bit <> 0 AND mask & ahead <> 0), 0)::BIGINT AS redundant,
+    coalesce(sum(n) FILTER (mask = bit), 0)::BIGINT AS unique_fails,
+    coalesce(sum(good) FILTER (mask & bit <> 0 AND mask & ahead = 0), 0)::BIGINT AS good_lost,
+    coalesce(sum(toxic) FILTER (mask & bit <> 0 AND mask & ahead = 0), 0)::BIGINT AS toxic_lost
+  FROM c, o GROUP BY part, filter_order, step, bit)
+SELECT part, filter_order, step::INT AS step, kept, removed, redundant, unique_fails, good_lost,
+  toxic_lost, sum(removed) OVER (PARTITION BY part, bit)::BIGINT AS shapley
+FROM r
+"""
+
+ORACLES: dict[str, str] = {
+    "op4_threshold_top_k": TOP_K,
+    "op5_source_mix": SOURCE_MIX,
+    "op11_merkle_manifest": MERKLE,
+    "op13_filter_audit": FILTER_AUDIT,
+}

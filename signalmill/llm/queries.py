@@ -9,11 +9,14 @@ from pyspark.sql import functions as F
 
 from signalmill.llm.common import table, tokenizer_path
 from signalmill.llm.context_mixing import context_mixing_scores, training
+from signalmill.llm.filter_audit import filter_audit
 from signalmill.llm.html_extract import html_texts
 from signalmill.llm.language_id import language_id
+from signalmill.llm.merkle import merkle_manifest
 from signalmill.llm.ngram_join import ngram_join
 from signalmill.llm.oracles import ORACLES
 from signalmill.llm.packing import packed
+from signalmill.llm.simhash_dedup import simhash_dedup
 from signalmill.llm.source_mix import source_mix
 from signalmill.llm.token_counts import token_counts
 from signalmill.llm.token_files import read_token_files, token_digest, write_token_files
@@ -74,6 +77,24 @@ def op10_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_texts(table(spark, sf_dir, "pages"))
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    forged = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0
+    found = merkle_manifest(table(spark, sf_dir, "documents"), forged)
+    return found.select(
+        "doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified"
+    )
+
+
+def op12_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash_dedup(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "fingerprint", "component_id")
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = table(spark, sf_dir, "labels")
+    return filter_audit(spark, f"{sf_dir}/documents.parquet", labels)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_vector_forest": op2_vector_forest,
@@ -85,6 +106,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language_id": op8_language_id,
     "op9_packing": op9_packing,
     "op10_html_extract": op10_html_extract,
+    "op11_merkle_manifest": op11_merkle_manifest,
+    "op12_simhash_dedup": op12_simhash_dedup,
+    "op13_filter_audit": op13_filter_audit,
 }
 
 __all__ = ["ORACLES", "QUERIES"]
