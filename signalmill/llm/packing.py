@@ -10,7 +10,6 @@ length, and gives each rank its place in the plan.
 from __future__ import annotations
 
 import bisect
-import itertools
 import zlib
 from collections.abc import Mapping
 
@@ -65,44 +64,67 @@ def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY) -> Da
 Pattern = tuple[tuple[int, int], ...]
 
 
-def dominating_sets(counts: dict[int, int], capacity: int) -> list[tuple[Pattern, int]]:
-    """Fix the sets that dominate every other set with their longest piece, out of ``counts``.
+def dominating_set(left: np.ndarray, j: int) -> tuple[int, ...] | None:
+    """The set with a piece of length j that dominates every other such set, if one is proven to.
 
-    {j, k} dominates if it fills the sequence, as whatever else goes with j fits into k's place;
-    {j, k} with the longest fitting k, if no two pieces fit beside j; {j}, if none does.
+    A set dominates if the others' pieces, beside j, can be put in its pieces' places. With a the
+    longest piece that fits beside j, that is {j}, if there is none; {j, a}, if a fills the
+    sequence, or no two pieces fit beside j, or no two that fit are longer than a together; and
+    {j, a, b}, if no three pieces fit, b is the longest beside j and a, and no two that are both
+    longer than b fit: then of any two the longer fits into a's place and the other into b's.
     """
-    fixed: list[tuple[Pattern, int]] = []
+    room = len(left) - 1 - j
+    others = left[: room + 1].copy()
+    if j <= room:
+        others[j] -= 1
+    sizes = np.flatnonzero(others)
+    if not len(sizes):
+        return (j,)
+    a = int(sizes[-1])
+    least = np.repeat(sizes[:3], np.minimum(others[sizes[:3]], 3))[:3]
+    if a == room or len(least) < 2 or least[0] + least[1] > room:
+        return (j, a)
+    if len(least) == 3 and least.sum() <= room:
+        return None
+    # The longest piece up to each length; 0 for none.
+    longest = np.maximum.accumulate(np.where(others > 0, np.arange(room + 1), 0))
+    beside = longest[room - sizes]
+    itself = (beside == sizes) & (others[sizes] < 2)
+    beside = np.where(itself, longest[sizes - 1], beside)
+    if np.where(beside > 0, sizes + beside, 0).max() <= a:
+        return (j, a)
+    b = int(beside[-1])
+    longer = sizes[sizes > b][:2]
+    longer = np.repeat(longer, np.minimum(others[longer], 2))[:2]
+    if b and (len(longer) < 2 or longer.sum() > room):
+        return (j, a, b)
+    return None
+
 
-    def take(times: int, *lengths: int) -> None:
-        for length in lengths:
-            counts[length] -= times
-            if not counts[length]:
-                del counts[length]
-        fixed.append((tuple((x, 1) for x in lengths), times))
+def dominating_sets(counts: dict[int, int], capacity: int) -> list[tuple[Pattern, int]]:
+    """Fix the dominating sets, longest pieces first, out of ``counts``, until there are none.
 
+    With fewer pieces left more sets may dominate, so all lengths are gone through again. A set is
+    taken as often as its pieces last, as what dominates once does so with fewer pieces, too.
+    """
+    fixed: list[tuple[Pattern, int]] = []
+    left = np.zeros(capacity + 1, np.int64)
+    for length, n in counts.items():
+        left[length] = n
     changed = True
     while changed:
         changed = False
-        sizes = sorted(counts)
-        for j in reversed(sizes):
-            while counts.get(j):
-                room = capacity - j
-                partner = room if counts.get(room, 0) > (room == j) else None
-                if partner is None:
-                    smallest = itertools.islice((x for x in sizes if x in counts), 3)
-                    others = [(x, counts[x] - (x == j)) for x in smallest]
-                    least = [x for x, n in others for _ in range(min(n, 2))][:2]
-                    if not least or least[0] > room:
-                        take(counts[j], j)
-                        changed = True
-                        continue
-                    if len(least) == 2 and sum(least) <= room or not room:
-                        break
-                    fits = sizes[: bisect.bisect_right(sizes, room)]
-                    partner = next(x for x in reversed(fits) if counts.get(x, 0) > (x == j))
-                times = counts[j] // 2 if partner == j else min(counts[j], counts[partner])
-                take(times, j, partner)
+        for j in np.flatnonzero(left)[::-1].tolist():
+            while left[j] and (chosen := dominating_set(left, j)):
+                times = int(min(left[x] // chosen.count(x) for x in chosen))
+                for x in chosen:
+                    left[x] -= times
+                fixed.append((tuple((x, 1) for x in chosen), times))
                 changed = True
+    for length in list(counts):
+        counts[length] = int(left[length])
+        if not left[length]:
+            del counts[length]
     return fixed
 
 

@@ -6,7 +6,7 @@ import zlib
 import numpy as np
 import pytest
 
-from signalmill.llm import packing, token_files
+from signalmill.llm import byte_tokens, packing, token_files
 from signalmill.llm.byte_tokens import ByteTokens
 from signalmill.llm.common import tokenizer_path
 from signalmill.llm.token_counts import PieceMerger, token_counts
@@ -61,6 +61,22 @@ def test_byte_ids_equal_the_library(bpe):
     assert ByteTokens(bpe).encode(texts) == want
 
 
+@pytest.mark.parametrize("part_chars", [1 << 21, 9])
+def test_pre_tokens_at_random(bpe, monkeypatch, part_chars):
+    """Blanks, apostrophes and classes in any order; parts, and a worker that forgets."""
+    monkeypatch.setattr(byte_tokens, "PART_CHARS", part_chars)
+    monkeypatch.setattr(byte_tokens, "REMEMBERED", 500)
+    rng = random.Random(4)
+    alphabet = [*"ab s'tlvedrm'  \n\t\r12.,!-é ßñ²\x0b\x00\x1b'", "'ll", "'s ", "  ", " '", "\n\n"]
+    alphabet += ["don't", "we've", "<|endoftext|>", "\xa0", "\x1c", "日", "😀"] * (part_chars > 9)
+    texts = ["".join(rng.choices(alphabet, k=rng.randint(0, 60))) for _ in range(4000)]
+    model = ByteTokens(bpe)
+    want = [np.array(x.ids, "<u4").tobytes()
+            for x in model.library.encode_batch(texts, add_special_tokens=False)]
+    got = [x for a in range(0, len(texts), 300) for x in model.encode(texts[a : a + 300])]
+    assert got == want
+
+
 def test_other_tokenizer_files_go_through_the_library():
     from tokenizers import Tokenizer
 
@@ -193,6 +209,14 @@ def test_dominating_sets_keep_the_optimum():
         assert total == least_sequences(items, capacity)
 
 
+def test_dominating_sets_of_three():
+    # Beside 10 of 20 no three pieces fit, and 6 and 4 take the places of any two that do.
+    assert packing.dominating_set(np.bincount([10, 6, 4, 4, 9, 9, 9], minlength=21), 10) is None
+    assert packing.dominating_set(np.bincount([10, 6, 3, 4, 11], minlength=21), 10) == (10, 6, 4)
+    # A piece as long as any two others that fit.
+    assert packing.dominating_set(np.bincount([10, 8, 4, 4], minlength=20), 10) == (10, 8)
+
+
 def test_packed(docs, doc_rows, no_docs, bpe):
     from tokenizers import Tokenizer
 
