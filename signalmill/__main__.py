@@ -24,6 +24,7 @@ from signalmill.sources import core as core_table
 from signalmill.sources import events as source
 from signalmill.sources import inventory as places
 from signalmill.sources import landing as table
+from signalmill.sources import partials
 from signalmill.streaming import pipelines as streams
 
 
@@ -37,7 +38,8 @@ def parser() -> argparse.ArgumentParser:
             command.add_argument(f"--{option}", required=True)
         return command
 
-    add("ingest", "validate event text and route it to folders", "events", "out")
+    ingest = add("ingest", "validate event text and route it to folders", "events", "out")
+    ingest.add_argument("--load", default="all", help="name of the load; a rerun replaces it")
     aggregate = add("aggregate", "aggregate event text into the landing table", "events", "landing")
     aggregate.add_argument("--ingested-at")
     aggregate.add_argument("--strict", action="store_true", help="valid events only")
@@ -48,9 +50,12 @@ def parser() -> argparse.ArgumentParser:
     stream.add_argument("--from-earliest", action="store_true")
     stream.add_argument("--strict", action="store_true", help="valid events only")
     stream.add_argument("--watermark", default=WATERMARK, help="how late events may be")
+    stream.add_argument("--keep-late", action="store_true",
+                        help="log partial windows, which late events add to, in place of versions")
     stream.add_argument("--continuous", action="store_true", help="run until stopped")
     fold = add("fold", "merge the landing log into the landing table", "log", "landing")
     fold.add_argument("--before", help="only days ahead of this one")
+    fold.add_argument("--partials", help="store of a log that keeps late events")
     add("warehouse", "rebuild core and report orphans", "landing", "inventory", "core")
     refresh = add("refresh", "rebuild the recent days of core", "landing", "inventory", "core")
     refresh.add_argument("--since", help="first day, by default the days that changed")
@@ -94,7 +99,7 @@ def run(spark: SparkSession, args: argparse.Namespace) -> int:
 
     if args.job == "ingest":
         raw = source.read_text(spark, args.events)
-        print(jobs.ingest(raw, args.out))
+        print(jobs.ingest(raw, args.out, args.load))
     elif args.job == "aggregate":
         raw = source.read_text(spark, args.events)
         counts = Observation("ingest")
@@ -109,19 +114,29 @@ def run(spark: SparkSession, args: argparse.Namespace) -> int:
             )
         else:
             raw = source.stream_text(spark, args.events)
-        windows = streams.stream_windows(
-            streams.flat_events(raw, strict=args.strict),
-            states=SIGNAL_STATES if args.strict else None,
-            watermark=args.watermark,
-        )
+        events = streams.flat_events(raw, strict=args.strict)
         metrics = streams.RunMetrics.listen(spark)
-        query = streams.start_landing(
-            windows, args.log, args.checkpoint, continuous=args.continuous
-        )
+        if args.keep_late:
+            query = streams.start_partials(
+                events, args.log, args.checkpoint,
+                watermark=args.watermark, continuous=args.continuous,
+            )
+        else:
+            states = SIGNAL_STATES if args.strict else None
+            windows = streams.stream_windows(events, states=states, watermark=args.watermark)
+            query = streams.start_landing(
+                windows, args.log, args.checkpoint, continuous=args.continuous
+            )
         query.awaitTermination()
         print(metrics.of(query))
     elif args.job == "fold":
-        rows = table.fold_versions(spark, args.log, args.landing, before=_day(args.before))
+        before = _day(args.before)
+        if args.partials:
+            rows = partials.fold_partials(
+                spark, args.log, args.partials, args.landing, before=before
+            )
+        else:
+            rows = table.fold_versions(spark, args.log, args.landing, before=before)
         print(f"folded_rows={rows}")
     elif args.job == "warehouse":
         report = jobs.build_warehouse(spark, args.landing, inventory, args.core)
@@ -165,6 +180,7 @@ def run(spark: SparkSession, args: argparse.Namespace) -> int:
         if lag is None:
             print("no landing rows yet", file=sys.stderr)
             return 1
+        # Fixed output format, which monitors read.
         print(f"max_landing_lag_seconds={lag:.1f}")
     elif args.job == "inventory":
         nodes = elements(places.read_map_extract(spark, args.extract))

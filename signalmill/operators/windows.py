@@ -8,7 +8,7 @@ from decimal import Decimal
 from pyspark.sql import Column, DataFrame, functions as F
 
 from signalmill.functions.times import as_instant
-from signalmill.schemas import LANDING, WINDOW_LENGTH
+from signalmill.schemas import LANDING, LANDING_KEY, PARTIAL, WINDOW_LENGTH
 
 _SEQ_SPAN = Decimal(10**19)
 
@@ -88,3 +88,68 @@ def landing_rows(windows: DataFrame, ingested_at=None) -> DataFrame:
         .withColumn("ingested_at", F.date_trunc("second", as_instant(ingested_at)))
         .select(*LANDING.fieldNames())
     )
+
+
+def window_partials(
+    events: DataFrame,
+    *,
+    behind: Column | None = None,
+    length: str = WINDOW_LENGTH,
+    ingested_at=None,
+) -> DataFrame:
+    """Windows as far as these events tell them, to be added up by :func:`merge_partials`.
+
+    Events of windows that end at or before the instant ``behind`` are counted as late, and as
+    events all the same.
+    """
+    at, end = F.col("event_timestamp"), F.col("w.end")
+    seq = F.col("seq") if "seq" in events.columns else F.lit(None).cast("bigint")
+    stop, speed = F.col("avg_stop_duration_seconds"), F.col("avg_vehicle_speed_kmh")
+    last = F.struct(
+        F.col("signal_state"), at.alias("last_at"), seq.cast("bigint").alias("last_seq")
+    )
+    count = F.count(F.lit(1))
+    late = F.lit(0) if behind is None else F.when(end <= behind, count).otherwise(F.lit(0))
+    return (
+        events.groupBy("intersection_id", F.window(at, length).alias("w"))
+        .agg(
+            F.max_by(last, F.struct(at, -seq)).alias("last"),
+            F.sum(stop).alias("stop_sum"),
+            F.count(stop).alias("stop_count"),
+            F.sum(speed).alias("speed_sum"),
+            F.count(speed).alias("speed_count"),
+            count.alias("event_count"),
+            late.cast("bigint").alias("late_count"),
+        )
+        .select("*", "last.*", end.alias("window_end"))
+        .withColumn("ingested_at", F.date_trunc("second", as_instant(ingested_at)))
+        .select(*PARTIAL.fieldNames())
+    )
+
+
+def merge_partials(partials: DataFrame) -> DataFrame:
+    """One partial per intersection and window; the last load counts as that of all."""
+    last = F.struct("signal_state", "last_at", "last_seq")
+    sums = ("stop_sum", "stop_count", "speed_sum", "speed_count", "event_count", "late_count")
+    return (
+        partials.groupBy(*LANDING_KEY)
+        .agg(
+            F.max_by(last, F.struct("last_at", -F.col("last_seq"))).alias("last"),
+            *[F.sum(c).alias(c) for c in sums],
+            F.max("ingested_at").alias("ingested_at"),
+        )
+        .select("*", "last.*")
+        .select(*PARTIAL.fieldNames())
+    )
+
+
+def finished_windows(partials: DataFrame) -> DataFrame:
+    """Merged partials in the landing contract."""
+    return partials.select(
+        *LANDING_KEY,
+        "signal_state",
+        (F.col("stop_sum") / F.col("stop_count")).alias("avg_stop_duration_seconds"),
+        (F.col("speed_sum") / F.col("speed_count")).alias("avg_vehicle_speed_kmh"),
+        "event_count",
+        "ingested_at",
+    )

@@ -27,16 +27,19 @@ from signalmill.schemas import (
     SIGNAL_STATES,
     require_shape,
 )
-from signalmill.sources.core import read_core, replace_core
+from signalmill.sources.core import read_core, rebuild_core
 from signalmill.sources.events import observe_ingest, write_routed
 from signalmill.sources.landing import read_landing, upsert_landing
 from signalmill.streaming.pipelines import flat_events
 
 
-def ingest(raw: DataFrame, path: str) -> dict[str, int]:
-    """Validate and route raw events to files; returns the event and reject counts."""
+def ingest(raw: DataFrame, path: str, load: str = "all") -> dict[str, int]:
+    """Validate and route raw events to files; returns the event and reject counts.
+
+    The files belong to the ``load``, and another run of it replaces them.
+    """
     counts = Observation("ingest")
-    write_routed(route_events(observe_ingest(validate_events(raw), counts)), path)
+    write_routed(route_events(observe_ingest(validate_events(raw), counts)), path, load)
     return dict(counts.get)
 
 
@@ -74,7 +77,7 @@ def build_warehouse(
 ) -> DataFrame:
     """Rebuild the core table and return the orphan report as a lazy view."""
     staged = staging(read_landing(spark, landing_path))
-    replace_core(build_core(staged, inventory), core_path)
+    rebuild_core(spark, landing_path, inventory, core_path)
     report = orphan_report(staged, inventory)
     staged.createOrReplaceTempView("stg_traffic_signals")
     report.createOrReplaceTempView("rpt_orphan_intersections")

@@ -282,6 +282,30 @@ ORACLES: dict[str, str] = {
     "stream_window_aggregate": _with(
         "win", select=f"SELECT {_WINDOW}, {_LATE_LOAD} AS ingested_at FROM win"
     ),
+    "log_reused_checkpoint": _with(
+        "win", select=f"SELECT {_WINDOW}, {_LATE_LOAD} AS ingested_at FROM win"
+    ),
+    "stream_restarts": _with(
+        "win", select=f"SELECT {_WINDOW}, {_LATE_LOAD} AS ingested_at FROM win"
+    ),
+    "stream_dedup": _with(
+        "win", select=f"SELECT {_WINDOW}, {_LATE_LOAD} AS ingested_at FROM win"
+    ),
+    "stream_late": _with(
+        "win", select=f"SELECT {_WINDOW}, {_LATE_LOAD} AS ingested_at FROM win"
+    ),
+    "stream_late_events": _with(
+        "ev",
+        select="""SELECT seq, intersection_id, event_timestamp, signal_state FROM ev
+                   WHERE minute(event_timestamp) < 24""",
+    ),
+    "stream_latest": _with(
+        "core",
+        select=f"""SELECT * REPLACE ({_LATE_LOAD} AS ingested_at) FROM (
+                   SELECT {_CORE} FROM core
+                   QUALIFY row_number() OVER (
+                       PARTITION BY intersection_id ORDER BY window_end DESC) = 1)""",
+    ),
     "stream_core": _with(
         "core",
         select=f"SELECT * REPLACE ({_LATE_LOAD} AS ingested_at) FROM (SELECT {_CORE} FROM core)",
@@ -304,6 +328,7 @@ ORACLES: dict[str, str] = {
         select=f"SELECT {_CORE} FROM core WHERE display_name IS NOT NULL",
     ),
     "core_merge": _with("core", select=f"SELECT {_CORE} FROM core"),
+    "core_rebuild_then_merge": _with("core", select=f"SELECT {_CORE} FROM core"),
     "core_merge_late": _daily(_with("core", select=f"SELECT {_CORE} FROM core")),
     "landing_corrected": _with("land", select=f"SELECT {_LANDING} FROM land"),
     "log_two_runs": _with("land", select=f"SELECT {_LANDING} FROM land"),
@@ -565,17 +590,17 @@ ORACLES: dict[str, str] = {
     ),
     "lag_p95": _with(
         "land",
-        select="""SELECT count(*) AS row_count, quantile_cont(lag, 0.95) AS p95_seconds,
+        select="""SELECT count(*) AS row_count, round(quantile_cont(lag, 0.95), 6) AS p95_seconds,
                    quantile_cont(lag, 0.95) <= 180 AS within_limit
-                   FROM (SELECT (epoch(ingested_at) - epoch(window_end))::DOUBLE AS lag
-                         FROM land)""",
+                   FROM (SELECT (epoch_us(ingested_at) + number % 1000 * 1001
+                                 - epoch_us(window_end)) / 1e6::DOUBLE AS lag FROM land)""",
     ),
     "event_lag_p95": _with(
         "land",
-        select="""SELECT count(*) AS row_count, quantile_cont(lag, 0.95) AS p95_seconds,
+        select="""SELECT count(*) AS row_count, round(quantile_cont(lag, 0.95), 6) AS p95_seconds,
                    quantile_cont(lag, 0.95) <= 120 AS within_limit
-                   FROM (SELECT (epoch(ingested_at)
-                                 - epoch(date_trunc('second', event_timestamp)))::DOUBLE AS lag
+                   FROM (SELECT (epoch_us(ingested_at) - epoch_us(event_timestamp)) / 1e6::DOUBLE
+                                AS lag
                          FROM ev JOIN land ON ev.intersection_id = land.intersection_id
                           AND date_trunc('minute', event_timestamp) + INTERVAL 1 MINUTE
                               = land.window_end)""",

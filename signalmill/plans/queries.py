@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from signalmill.functions import severe_bottleneck
 from signalmill.functions.times import as_instant
@@ -24,7 +24,9 @@ from signalmill.schemas import (
 )
 from signalmill.session import configure, shared_folder
 from signalmill.sources import core as core_table
+from signalmill.sources import files, partials
 from signalmill.sources import landing as landing_table
+from signalmill.sources import latest as latest_table
 from signalmill.sources.inventory import read_inventory
 from signalmill.streaming import pipelines as streams
 
@@ -168,6 +170,101 @@ def stream_window_aggregate(spark, sf_dir):
     return plain(landing_table.read_versions(spark, f"{folder}/log"))
 
 
+def log_reused_checkpoint(spark, sf_dir):
+    """A stream whose checkpoint is deleted and begun anew, with other minutes of the same day."""
+    folder = shared_folder(configure(spark), "stream")
+    log, table, checkpoint = (f"{folder}/{x}" for x in ("log", "landing", "checkpoint"))
+    events = _event_stream(spark, sf_dir)
+    for odd in (0, 1):
+        files.delete(spark, checkpoint)
+        some = events.filter(F.minute("event_timestamp") % 2 == odd)
+        rows = streams.stream_windows(some, states=SIGNAL_STATES)
+        streams.start_landing(rows, log, checkpoint, ingested_at=LATE_LOAD).awaitTermination()
+        landing_table.fold_versions(spark, log, table)
+    return plain(landing_table.read_live(spark, table, log))
+
+
+PARTS = 4
+
+
+def _in_parts(spark: SparkSession, sf_dir: str, folder: str, part: Column):
+    """Events that reach a folder in PARTS loads, by number, and the folder as a stream.
+
+    For each load: the stream of flat events. A stream is started anew after each, from its
+    checkpoint, so every load is a micro-batch at least.
+    """
+    events = d.flat_events(spark, sf_dir).withColumn("event_id", F.col("seq"))
+    for number in range(PARTS):
+        events.filter(part == number).write.mode("append").parquet(f"{folder}/in")
+        yield spark.readStream.schema(events.schema).parquet(f"{folder}/in")
+
+
+def _quarter() -> Column:
+    """Which eight minutes of the half hour an event is of."""
+    return F.floor(F.minute("event_timestamp") / 8).cast("int")
+
+
+def stream_restarts(spark, sf_dir):
+    """Every window spread over four loads and three restarts of the stream."""
+    folder = shared_folder(configure(spark), "stream")
+    for events in _in_parts(spark, sf_dir, folder, F.col("seq") % PARTS):
+        rows = streams.stream_windows(events, states=SIGNAL_STATES, watermark="1 hour")
+        streams.start_landing(
+            rows, f"{folder}/log", f"{folder}/checkpoint", ingested_at=LATE_LOAD
+        ).awaitTermination()
+    return plain(landing_table.read_versions(spark, f"{folder}/log"))
+
+
+def stream_dedup(spark, sf_dir):
+    """Every event delivered twice, in different loads; the stream must count it once."""
+    folder = shared_folder(configure(spark), "stream")
+    loads = _in_parts(spark, sf_dir, folder, F.col("seq") % PARTS)
+    for number, events in enumerate(loads):
+        again = d.flat_events(spark, sf_dir).withColumn("event_id", F.col("seq"))
+        again = again.filter(F.col("seq") % PARTS == (number - 1) % PARTS)
+        again.write.mode("append").parquet(f"{folder}/in")
+        rows = streams.stream_windows(events, states=SIGNAL_STATES, watermark="1 hour", dedup=True)
+        streams.start_landing(
+            rows, f"{folder}/log", f"{folder}/checkpoint", ingested_at=LATE_LOAD
+        ).awaitTermination()
+    return plain(landing_table.read_versions(spark, f"{folder}/log"))
+
+
+def _late_stream(spark: SparkSession, sf_dir: str, folder: str) -> None:
+    """The newest minutes first, so that all others are late; folded half way and at the end."""
+    for number, events in enumerate(_in_parts(spark, sf_dir, folder, 3 - _quarter())):
+        streams.start_partials(
+            events, f"{folder}/log", f"{folder}/checkpoint", ingested_at=LATE_LOAD
+        ).awaitTermination()
+        if number % 2:
+            partials.fold_partials(spark, f"{folder}/log", f"{folder}/store", f"{folder}/landing")
+
+
+def stream_late(spark, sf_dir):
+    """Landing corrected by late events: as if all had come in time."""
+    folder = shared_folder(configure(spark), "stream")
+    _late_stream(spark, sf_dir, folder)
+    return plain(landing_table.read_landing(spark, f"{folder}/landing"))
+
+
+def stream_late_events(spark, sf_dir):
+    """The events that were behind the watermark of their micro-batch."""
+    folder = shared_folder(configure(spark), "stream")
+    _late_stream(spark, sf_dir, folder)
+    late = spark.read.parquet(f"{folder}/log_late")
+    return plain(late.select("seq", "intersection_id", "event_timestamp", "signal_state"))
+
+
+def stream_latest(spark, sf_dir):
+    """The latest row of each intersection, kept by a stream over four loads."""
+    folder = shared_folder(configure(spark), "stream")
+    for events in _in_parts(spark, sf_dir, folder, F.col("seq") % PARTS):
+        windows = streams.stream_windows(events, states=SIGNAL_STATES, watermark="1 hour")
+        live = streams.stream_core(windows, d.inventory(spark, sf_dir), LATE_LOAD)
+        streams.start_latest(live, f"{folder}/latest", f"{folder}/checkpoint").awaitTermination()
+    return plain(latest_table.read_latest(spark, f"{folder}/latest"))
+
+
 def stream_core(spark, sf_dir):
     """Live windows joined to the inventory on the stream, into a version log of core rows."""
     folder = shared_folder(configure(spark), "stream")
@@ -226,6 +323,18 @@ def core_merge(spark, sf_dir):
     return plain(core_table.read_core(spark, f"{folder}/core"))
 
 
+def core_rebuild_then_merge(spark, sf_dir):
+    """Merged with one inventory, rebuilt with another, merged with the first again."""
+    folder = shared_folder(configure(spark), "core")
+    places = d.inventory(spark, sf_dir)
+    other = places.withColumn("display_name", F.concat("display_name", F.lit(" (old)")))
+    landing_table.upsert_landing(d.landing(spark, sf_dir), f"{folder}/landing", unique=True)
+    core_table.merge_core(spark, f"{folder}/landing", places, f"{folder}/core")
+    core_table.rebuild_core(spark, f"{folder}/landing", other, f"{folder}/core")
+    core_table.merge_core(spark, f"{folder}/landing", places, f"{folder}/core")
+    return plain(core_table.read_core(spark, f"{folder}/core"))
+
+
 def core_merge_late(spark, sf_dir):
     """Thirty days that reach landing out of order, with an inventory that changes in between."""
     folder = shared_folder(configure(spark), "core")
@@ -497,7 +606,11 @@ def rate_gaps(spark, sf_dir):
 
 
 def lag_p95(spark, sf_dir):
-    return plain(quality.window_lag_p95(d.landing(spark, sf_dir)))
+    """Loads with fractions of a second, by id."""
+    number = F.substring_index("intersection_id", "-", -1).cast("bigint")
+    micros = F.unix_micros("ingested_at") + number % 1000 * 1001
+    landing = d.landing(spark, sf_dir).withColumn("ingested_at", F.timestamp_micros(micros))
+    return plain(quality.window_lag_p95(landing))
 
 
 def event_lag_p95(spark, sf_dir):
@@ -520,6 +633,12 @@ QUERIES: dict[str, Query] = {
     "landing_scan": landing_scan,
     "landing_upsert": landing_upsert,
     "stream_window_aggregate": stream_window_aggregate,
+    "log_reused_checkpoint": log_reused_checkpoint,
+    "stream_restarts": stream_restarts,
+    "stream_dedup": stream_dedup,
+    "stream_late": stream_late,
+    "stream_late_events": stream_late_events,
+    "stream_latest": stream_latest,
     "stream_core": stream_core,
     "stream_routing": stream_routing,
     "staging": staging,
@@ -528,6 +647,7 @@ QUERIES: dict[str, Query] = {
     "core_inner": core_inner,
     "core_merge": core_merge,
     "core_merge_late": core_merge_late,
+    "core_rebuild_then_merge": core_rebuild_then_merge,
     "landing_corrected": landing_corrected,
     "log_two_runs": log_two_runs,
     "dedup_null_ids": dedup_null_ids,

@@ -85,6 +85,24 @@ LANDING = T.StructType(
 LANDING_KEY = ("intersection_id", "window_end")
 LANDING_REQUIRED = tuple(f for f in LANDING.fieldNames() if f != "ingested_at")
 
+# A window as far as one micro-batch has seen it: sums that add up, and the last state with its place.
+PARTIAL = T.StructType(
+    [
+        T.StructField("intersection_id", T.StringType()),
+        T.StructField("window_end", T.TimestampType()),
+        T.StructField("signal_state", T.StringType()),
+        T.StructField("last_at", T.TimestampType()),
+        T.StructField("last_seq", T.LongType()),
+        T.StructField("stop_sum", T.DoubleType()),
+        T.StructField("stop_count", T.LongType()),
+        T.StructField("speed_sum", T.DoubleType()),
+        T.StructField("speed_count", T.LongType()),
+        T.StructField("event_count", T.LongType()),
+        T.StructField("late_count", T.LongType()),
+        T.StructField("ingested_at", T.TimestampType()),
+    ]
+)
+
 INVENTORY = T.StructType(
     [
         T.StructField("intersection_id", T.StringType()),

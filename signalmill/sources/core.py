@@ -60,6 +60,28 @@ def _moved(inventory: DataFrame, before: DataFrame) -> DataFrame:
     return changed.select("intersection_id").distinct()
 
 
+def rebuild_core(
+    spark: SparkSession, landing_path: str, inventory: DataFrame, path: str
+) -> None:
+    """Replace the table by core of all landing rows, and note loads and inventory as merged.
+
+    The notes are what :func:`merge_core` goes by, so a merge after a rebuild starts from it. A
+    load that is noted while the rebuild runs is merged by the next one.
+    """
+    base = path.rstrip("/")
+    changes = read_changes(spark, landing_path).persist()
+    inventory = inventory.select(*INVENTORY.fieldNames()).persist()
+    try:
+        changes.count()
+        landing = spark.read.schema(LANDING_STORED).parquet(landing_path).drop("window_date")
+        replace_core(build_core(staging(landing), inventory), path)
+        changes.coalesce(1).write.mode("overwrite").parquet(f"{base}_merged")
+        inventory.coalesce(1).write.mode("overwrite").parquet(f"{base}_places")
+    finally:
+        changes.unpersist()
+        inventory.unpersist()
+
+
 def merge_core(
     spark: SparkSession,
     landing_path: str,

@@ -99,9 +99,9 @@ def observe_ingest(validated: DataFrame, observation: Observation | str) -> Data
     )
 
 
-def write_routed(routed: DataFrame, path: str, mode: str = "append") -> None:
-    """Files with one folder per topic."""
-    routed.write.mode(mode).partitionBy("topic").json(path)
+def write_routed(routed: DataFrame, path: str, load: str = "all") -> None:
+    """Files with one folder per topic, below that of the load, which is replaced whole."""
+    routed.write.mode("overwrite").partitionBy("topic").json(f"{path.rstrip('/')}/load={load}")
 
 
 def write_topics(routed: DataFrame, servers: str) -> None:

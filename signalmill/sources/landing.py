@@ -8,6 +8,7 @@ folded into the table once. ``read_live`` shows both as one table.
 from __future__ import annotations
 
 import datetime as dt
+import json
 import uuid
 from collections.abc import Sequence
 
@@ -16,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from signalmill.operators.merge import latest_per_key, merge_rows
 from signalmill.schemas import LANDING, LANDING_KEY, require_shape
+from signalmill.sources import files
 
 STORED = T.StructType(LANDING.fields + [T.StructField("window_date", T.DateType())])
 # ``run`` names the stream that wrote a version, ``batch_id`` numbers its micro-batches.
@@ -24,7 +26,7 @@ LOG_KEYS = [
     T.StructField("run", T.StringType()),
     T.StructField("batch_id", T.LongType()),
 ]
-FOLDED = T.StructType(LOG_KEYS)
+LOG_FOLDERS = [field.name for field in LOG_KEYS]
 
 
 def with_date(rows: DataFrame) -> DataFrame:
@@ -63,8 +65,9 @@ def read_landing(
 
 
 def newest_day(spark: SparkSession, path: str) -> dt.date | None:
-    """The last day that holds rows; the folders' names tell, no column is read."""
-    return spark.read.schema(STORED).parquet(path).agg(F.max("window_date")).first()[0]
+    """The last day of the table, from the names of its folders; no file is opened."""
+    days = files.partitions(spark, path, ["window_date"])
+    return max((dt.date.fromisoformat(day) for (day,) in days), default=None)
 
 
 def in_order(rows: DataFrame) -> DataFrame:
@@ -188,24 +191,61 @@ def append_versions(
     replace_days(versions, path, ("window_date", "run", "batch_id"))
 
 
-def _log(spark: SparkSession, path: str, shape: T.StructType) -> DataFrame:
-    return spark.read.schema(T.StructType(shape.fields + LOG_KEYS)).parquet(path)
+def _log(spark: SparkSession, path: str, shape: T.StructType, *folders: str) -> DataFrame:
+    schema = T.StructType(shape.fields + LOG_KEYS)
+    return spark.read.schema(schema).option("basePath", path).parquet(*(folders or [path]))
 
 
-def _folded_path(log_path: str) -> str:
-    return f"{log_path.rstrip('/')}_folded"
+def _marks_path(log_path: str) -> str:
+    return f"{log_path.rstrip('/')}_folded.json"
 
 
-def unfolded(spark: SparkSession, log_path: str, shape: T.StructType = LANDING) -> DataFrame:
-    """The versions of the log that no fold has merged into the table."""
-    log = _log(spark, log_path, shape)
-    try:
-        folded = spark.read.schema(FOLDED).parquet(_folded_path(log_path))
-    except AnalysisException as missing:
-        if missing.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return log
-    return log.join(folded, FOLDED.fieldNames(), "left_anti")
+def folded_marks(spark: SparkSession, log_path: str) -> dict[tuple[str, str], int]:
+    """Per day and run the last micro-batch that a fold has merged."""
+    text = files.read_small(spark, _marks_path(log_path))
+    return {(day, run): batch for day, run, batch in json.loads(text or "[]")}
+
+
+Version = tuple[str, str, int]
+
+
+def folder_of(log_path: str, version: Version) -> str:
+    day, run, batch = version
+    return f"{log_path.rstrip('/')}/window_date={day}/run={run}/batch_id={batch}"
+
+
+def unfolded_versions(
+    spark: SparkSession, log_path: str, *, before: dt.date | None = None
+) -> list[Version]:
+    """Day, run and micro-batch of the log's folders that no fold has merged, by their names."""
+    marks = folded_marks(spark, log_path)
+    found = [(d, r, int(b)) for d, r, b in files.partitions(spark, log_path, LOG_FOLDERS)]
+    return sorted(
+        (day, run, batch)
+        for day, run, batch in found
+        if batch > marks.get((day, run), -1)
+        and (before is None or dt.date.fromisoformat(day) < before)
+    )
+
+
+def unfolded(
+    spark: SparkSession,
+    log_path: str,
+    shape: T.StructType = LANDING,
+    *,
+    before: dt.date | None = None,
+) -> DataFrame:
+    """The versions of the log that no fold has merged into the table; other folders are not listed."""
+    return read_folders(spark, log_path, shape, unfolded_versions(spark, log_path, before=before))
+
+
+def read_folders(
+    spark: SparkSession, log_path: str, shape: T.StructType, versions: list[Version]
+) -> DataFrame:
+    """The rows of these versions of a log; no other folder is listed."""
+    if not versions:
+        return spark.createDataFrame([], T.StructType(shape.fields + LOG_KEYS))
+    return _log(spark, log_path, shape, *(folder_of(log_path, v) for v in versions))
 
 
 def _newest(log: DataFrame, shape: T.StructType) -> DataFrame:
@@ -252,19 +292,40 @@ def fold_versions(
 ) -> int:
     """Merge the log into the table, only the days ahead of ``before`` if it is given.
 
-    What is folded is marked by day, run and micro-batch and not read again, so a later
-    correction of the table stays, a repeated fold changes nothing, and the folders of marked
-    versions can be dropped. A fold that dies before its mark is repeated without harm.
+    A file beside the log, replaced in one step, marks for each day and run the last micro-batch
+    that is merged; what it marks is not read again, so a later correction of the table stays and
+    a repeated fold changes nothing. A fold that dies before its mark is repeated without harm.
+    Folders of marked versions are removed, also those that a fold which died left behind. One
+    fold at a time; streams may go on writing.
     """
-    log = unfolded(spark, log_path)
-    if before is not None:
-        log = log.filter(F.col("window_date") < F.lit(before))
-    marks = log.select(*FOLDED.fieldNames()).distinct().persist()
-    try:
-        marks.count()
-        versions = log.join(marks, FOLDED.fieldNames(), "left_semi")
-        rows = upsert_landing(_newest(versions, LANDING), path, unique=True)
-        marks.coalesce(1).write.mode("append").parquet(_folded_path(log_path))
-        return rows
-    finally:
-        marks.unpersist()
+    versions = unfolded_versions(spark, log_path, before=before)
+    rows = 0
+    if versions:
+        log = read_folders(spark, log_path, LANDING, versions)
+        rows = upsert_landing(_newest(log, LANDING), path, unique=True)
+    mark_folded(spark, log_path, versions)
+    return rows
+
+
+def mark_folded(spark: SparkSession, log_path: str, versions: list[Version]) -> None:
+    """Note that these versions are merged, and remove their folders.
+
+    Micro-batches of a run end in turn, so only its last one may be written once more. Marks are
+    kept for the last one of each run, the earlier ones go with their folders.
+    """
+    marks = folded_marks(spark, log_path)
+    for day, run, batch in versions:
+        marks[day, run] = max(batch, marks.get((day, run), -1))
+    if versions:
+        text = json.dumps([[day, run, batch] for (day, run), batch in sorted(marks.items())])
+        files.replace_small(spark, _marks_path(log_path), text)
+    last: dict[str, int] = {}
+    for day, run, batch in files.partitions(spark, log_path, LOG_FOLDERS):
+        last[run] = max(int(batch), last.get(run, -1))
+        if int(batch) <= marks.get((day, run), -1):
+            files.delete(spark, folder_of(log_path, (day, run, int(batch))))
+    for (_, run), batch in marks.items():
+        last[run] = max(batch, last.get(run, -1))
+    kept = [[day, run, batch] for (day, run), batch in sorted(marks.items()) if batch == last[run]]
+    if len(kept) < len(marks):
+        files.replace_small(spark, _marks_path(log_path), json.dumps(kept))

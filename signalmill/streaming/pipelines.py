@@ -8,7 +8,7 @@ when the watermark has passed it, and never an open one.
 from __future__ import annotations
 
 import functools
-import hashlib
+import json
 import operator
 from collections.abc import Sequence
 
@@ -23,10 +23,12 @@ from signalmill.operators.validation import (
     route_events,
     validate_events,
 )
-from signalmill.operators.windows import landing_rows, window_aggregate
-from signalmill.schemas import CORE, FLAT_EVENT, TRIGGER, WATERMARK, WINDOW_LENGTH
+from signalmill.operators.windows import landing_rows, window_aggregate, window_partials
+from signalmill.schemas import CORE, FLAT_EVENT, PARTIAL, TRIGGER, WATERMARK, WINDOW_LENGTH
+from signalmill.sources import files
 from signalmill.sources.events import observe_ingest
 from signalmill.sources.landing import append_versions, upsert_landing
+from signalmill.sources.latest import upsert_latest
 
 
 def flat_events(
@@ -90,9 +92,14 @@ def _start(
     return _trigger(writer, continuous, every).start()
 
 
-def run_name(checkpoint: str) -> str:
-    """A short name for a checkpoint: the same after a restart, another for another checkpoint."""
-    return hashlib.sha256(checkpoint.rstrip("/").encode()).hexdigest()[:16]
+def run_name(spark: SparkSession, checkpoint: str) -> str:
+    """The id of the query that a checkpoint belongs to.
+
+    It stays over restarts; a checkpoint that is deleted and begun anew gets another one, though
+    its micro-batches are numbered from zero again.
+    """
+    text = files.read_small(spark, f"{checkpoint.rstrip('/')}/metadata")
+    return json.loads(text)["id"]
 
 
 def start_landing(
@@ -110,8 +117,8 @@ def start_landing(
 
     ``sink="log"`` appends versions and suits any size; ``sink="table"`` merges each
     micro-batch into the landing table and suits a small one. Both may run a micro-batch twice
-    without harm. Versions are filed under the stream's checkpoint, whose micro-batches they are
-    numbered by, so streams with other checkpoints may write the same log. By default the stream drains what there is and ends;
+    without harm. Versions are filed under the query's id, whose micro-batches they are numbered by,
+    so other streams may write the same log, also later ones with the same checkpoint folder. By default the stream drains what there is and ends;
     ``continuous`` keeps it running until it is stopped.
     """
     if sink not in ("log", "table"):
@@ -120,13 +127,81 @@ def start_landing(
     def write(batch: DataFrame, batch_id: int) -> None:
         rows = landing_rows(batch, ingested_at)
         if sink == "log":
-            append_versions(rows, batch_id, path, run=run_name(checkpoint))
+            append_versions(rows, batch_id, path, run=run_name(batch.sparkSession, checkpoint))
         else:
             upsert_landing(rows, path, unique=True)
 
     return _start(windows, write, checkpoint, output_mode, continuous, every)
 
 
+def batch_watermark(spark: SparkSession, checkpoint: str, batch_id: int) -> int:
+    """The watermark, in milliseconds, by which a micro-batch tells late events.
+
+    It is logged before the micro-batch runs and stays when that is repeated.
+    """
+    text = files.read_small(spark, f"{checkpoint.rstrip('/')}/offsets/{batch_id}")
+    return int(json.loads(text.splitlines()[1])["batchWatermarkMs"])
+
+
+def late_path(path: str) -> str:
+    return f"{path.rstrip('/')}_late"
+
+
+def start_partials(
+    events: DataFrame,
+    path: str,
+    checkpoint: str,
+    *,
+    watermark: str = WATERMARK,
+    length: str = WINDOW_LENGTH,
+    ingested_at=None,
+    continuous: bool = False,
+    every: str = TRIGGER,
+) -> StreamingQuery:
+    """Write the partial windows of each micro-batch to a log, late events included.
+
+    Nothing is dropped: windows add up over micro-batches in ``sources.partials``, which needs no
+    state in the stream. The watermark only tells which events are late. Those, of windows that
+    end at or before it, are kept apart as well, under ``late_path(path)``. A micro-batch that is
+    repeated replaces its own files.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        run = run_name(spark, checkpoint)
+        behind = F.timestamp_millis(F.lit(batch_watermark(spark, checkpoint, batch_id)))
+        batch = batch.persist()
+        try:
+            rows = window_partials(batch, behind=behind, length=length, ingested_at=ingested_at)
+            append_versions(rows, batch_id, path, run=run, shape=PARTIAL)
+            late = batch.filter(F.window("event_timestamp", length)["end"] <= behind)
+            late = late.select([F.col(c) for c in batch.columns])
+            folder = f"{late_path(path)}/run={run}/batch_id={batch_id}"
+            late.write.mode("overwrite").parquet(folder)
+        finally:
+            batch.unpersist()
+
+    marked = events.withWatermark("event_timestamp", watermark)
+    return _start(marked, write, checkpoint, "append", continuous, every)
+
+
+def start_latest(
+    core: DataFrame,
+    path: str,
+    checkpoint: str,
+    *,
+    output_mode: str = "update",
+    continuous: bool = False,
+    every: str = TRIGGER,
+) -> StreamingQuery:
+    """Keep the latest row of every intersection from live core rows."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        upsert_latest(batch, path)
+
+    return _start(core, write, checkpoint, output_mode, continuous, every)
+
+
 def start_core(
     core: DataFrame,
     path: str,
@@ -139,7 +214,8 @@ def start_core(
     """Write live core rows to a version log, to be read with the shape of core."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        append_versions(batch, batch_id, path, run=run_name(checkpoint), shape=CORE)
+        run = run_name(batch.sparkSession, checkpoint)
+        append_versions(batch, batch_id, path, run=run, shape=CORE)
 
     return _start(core, write, checkpoint, output_mode, continuous, every)
 
