@@ -1,10 +1,14 @@
 """Main text of web pages by a tree-structured graphical model over the DOM.
 
-Every block element is a node with a hidden label, content or not. A node's features (tag, words
-of class and id, amount of text, share of link text, sentence ends) depend on its label, and its
-label on its parent's. The tables are counted on labelled pages: those that mark their article
-and the parts around it with tags of that meaning. Sum-product messages, up from the leaves and
-down from the root, give each node's marginal; text in nodes that are more likely content is kept.
+Every block element is a node with a hidden label, content or not. What a node shows of itself
+(words of class and id, share of link text, tags that name a part of the page) depends on its
+label. Its tag and its amounts of text depend on its label and its parent's: they tell where
+content begins, and nothing about the parts of what is content, so that a short heading, a list or
+a table is left out of an article only if it shows so of itself. A label depends on the parent's.
+The tables are counted on labelled pages: those that mark their article and the parts around it
+with tags of that meaning. Sum-product messages, up from the leaves and down from the root, give
+each node's marginal; text in nodes that are more likely content is kept. A page in which nothing
+is content is taken for an article whole, without what shows that it is not.
 """
 
 from __future__ import annotations
@@ -61,9 +65,13 @@ OFTEN_AROUND = (
 ).split()
 OFTEN_CONTENT = "article content entry main post story text".split()
 AROUND_TAGS = ("aside", "footer", "form", "menu", "nav")
+TELLING = frozenset({*AROUND_TAGS, "article", "main"})
 PRIOR = 2000.0
 # A node has its parent's label, as if seen so often against once otherwise.
 KEPT_LABEL = 200.0
+# Odds of the frame of a page that is taken for an article whole.
+WHOLE = 1000.0
+FRAME = frozenset({"#page", "html", "body"})
 # Tag and amounts of text say much the same, so each counts for less than alone.
 AMOUNT_WEIGHT = 0.5
 
@@ -208,8 +216,8 @@ def parse(source: str) -> Page:
     return page
 
 
-def features(page: Page) -> list[list[str]]:
-    """What each node shows; amounts are of all text below it."""
+def features(page: Page) -> list[tuple[list[str], list[str]]]:
+    """Of each node what it shows of itself, and its tag and amounts; amounts are of all below it."""
     chars, linked, stops = list(page.chars), list(page.linked), list(page.stops)
     for node in range(len(chars) - 1, 0, -1):
         above = page.parent[node]
@@ -219,21 +227,21 @@ def features(page: Page) -> list[list[str]]:
     out = []
     for node, tag in enumerate(page.tag):
         n = chars[node]
-        part = 4 * linked[node] // n if n else 0
-        found = [f"<{tag}>"]
+        shown = [f".{name}" for name in page.names[node]]
+        amounts = []
+        (shown if tag in TELLING else amounts).append(f"<{tag}>")
         if n:
-            found += [f"size {n.bit_length() // 2}", f"stops {min(2, stops[node])}"]
-            found.append(f"links {min(3, part)}")
-        found += [f".{name}" for name in page.names[node]]
-        out.append(found)
+            shown.append(f"links {min(3, 4 * linked[node] // n)}")
+            amounts += [f"size {n.bit_length() // 2}", f"stops {min(2, stops[node])}"]
+        out.append((shown, amounts))
     return out
 
 
 def given_labels(page: Page) -> list[bool] | None:
     """Labels of the nodes of a page that marks its article; None for others.
 
-    Text is content if it is inside of article or main, and not in a part around it nor in a part
-    whose names say so. A node above text is content if most of its text is.
+    A node is content if it is inside of article or main, and not in a part around it nor in a
+    part whose names say so.
     """
     if not {"article", "main"} & set(page.tag):
         return None
@@ -243,43 +251,51 @@ def given_labels(page: Page) -> list[bool] | None:
         around.append(
             around[parent] or tag in AROUND_TAGS or not names.isdisjoint(OFTEN_AROUND)
         )
-    good = [n if a and not b else 0 for n, a, b in zip(page.chars, inside, around, strict=True)]
-    every = list(page.chars)
-    for node in range(len(good) - 1, 0, -1):
-        good[page.parent[node]] += good[node]
-        every[page.parent[node]] += every[node]
-    return [
-        2 * g > n if n else a and not b
-        for g, n, a, b in zip(good, every, inside, around, strict=True)
-    ]
+    return [a and not b for a, b in zip(inside, around, strict=True)]
 
 
 @dataclass
 class TreeModel:
-    """Log potentials: of features, content against not; of a child's label given its parent's."""
+    """Log potentials, content against not: of what a node shows; of its tag and amounts, for a node
+    whose parent is no content; and of a child's label given its parent's."""
 
     odds: dict[str, float]
+    amounts: dict[str, float]
     root: float
     child: dict[str, tuple[tuple[float, float], tuple[float, float]]]
 
-    def marginals(self, page: Page) -> list[float]:
-        """Probability of content of each node, by messages up the tree and down again."""
-        n = len(page.tag)
-        own = [sum(self.odds.get(f, 0.0) for f in found) for found in features(page)]
+    def potentials(self, page: Page):
+        """Of each node: what it shows, its amounts, and the table of its label by its parent's."""
+        shown, amounts = [], []
+        for of_node, of_amounts in features(page):
+            shown.append(sum(self.odds.get(f, 0.0) for f in of_node))
+            amounts.append(sum(self.amounts.get(f, 0.0) for f in of_amounts))
         common = self.child[""]
-        table = [self.child.get(tag, common) for tag in page.tag]
-        up0, up1 = [0.0] * n, own
+        return shown, amounts, [self.child.get(tag, common) for tag in page.tag]
+
+    def marginals(self, page: Page, whole: bool = False) -> list[float]:
+        """Probability of content of each node, by messages up the tree and down again.
+
+        The root counts as a node whose parent is no content. ``whole`` says that the page's frame
+        is content.
+        """
+        n = len(page.tag)
+        up1, amounts, table = self.potentials(page)
+        if whole:
+            up1 = [x + WHOLE * (t in FRAME) for x, t in zip(up1, page.tag, strict=True)]
+        up0 = [0.0] * n
         message: list[tuple[float, float]] = [(0.0, 0.0)] * n
         for node in range(n - 1, 0, -1):
             (p00, p01), (p10, p11) = table[node]
             a, b = up0[node], up1[node]
-            message[node] = m0, m1 = _log_add(p00 + a, p01 + b), _log_add(p10 + a, p11 + b)
+            m0 = _log_add(p00 + a, p01 + b + amounts[node])
+            message[node] = m0, m1 = m0, _log_add(p10 + a, p11 + b)
             above = page.parent[node]
             up0[above] += m0
             up1[above] += m1
         out = [0.0] * n
         down0, down1 = [0.0] * n, [0.0] * n
-        down1[0] = self.root
+        down1[0] = amounts[0] + self.root
         for node in range(n):
             if node:
                 above = page.parent[node]
@@ -287,7 +303,8 @@ class TreeModel:
                 a = down0[above] + up0[above] - m0
                 b = down1[above] + up1[above] - m1
                 (p00, p01), (p10, p11) = table[node]
-                down0[node], down1[node] = _log_add(a + p00, b + p10), _log_add(a + p01, b + p11)
+                down0[node] = _log_add(a + p00, b + p10)
+                down1[node] = _log_add(a + p01 + amounts[node], b + p11)
             odds = down1[node] + up1[node] - down0[node] - up0[node]
             out[node] = 1 / (1 + math.exp(-max(-700.0, min(700.0, odds))))
         return out
@@ -297,54 +314,72 @@ def _log_add(a: float, b: float) -> float:
     return max(a, b) + math.log1p(math.exp(-abs(a - b)))
 
 
+def _odds(seen: Counter, kind: str, priors: Counter, strength) -> dict[str, float]:
+    """Log odds of what was seen of a kind at least LEAST_SEEN times, within its bounds."""
+    count: Counter = Counter(priors)
+    nodes: Counter = Counter()
+    for (of, name, label, _), n in seen.items():
+        if of == kind:
+            count[name, label] += n
+        elif of == f"{kind} nodes":
+            nodes[label] += n
+    out = {}
+    for name in {name for name, _ in count}:
+        yes, no = count[name, True], count[name, False]
+        if yes + no >= LEAST_SEEN:
+            ratio = (yes + 1) / (nodes[True] + 3) / ((no + 1) / (nodes[False] + 3))
+            weight, most = strength(name)
+            out[name] = max(-most, min(most, weight * math.log(ratio)))
+    return out
+
+
 def make_model(seen: Counter) -> TreeModel:
     """The model from counts of (kind, name, label, parent's label); prior words always count."""
-    count: dict[tuple[str, bool], float] = Counter()
-    for (kind, name, label, _), n in seen.items():
-        if kind == "feature":
-            count[name, label] += n
+    priors: Counter = Counter()
     for name in OFTEN_AROUND:
-        count[f".{name}", False] += PRIOR
+        priors[f".{name}", False] += PRIOR
     for name in OFTEN_CONTENT:
-        count[f".{name}", True] += PRIOR
+        priors[f".{name}", True] += PRIOR
     for tag in AROUND_TAGS:
-        count[f"<{tag}>", False] += PRIOR
+        priors[f"<{tag}>", False] += PRIOR
     for tag in ("article", "main"):
-        count[f"<{tag}>", True] += PRIOR
-    nodes = {x: 1 + sum(n for (k, _, y, _), n in seen.items() if k == "node" and x == y)
-             for x in (False, True)}
-    telling = {f"<{tag}>" for tag in (*AROUND_TAGS, "article", "main")}
-    odds = {}
-    for name in {name for name, _ in count}:
-        yes, no = count[name, True], count[name, False]
-        if yes + no >= LEAST_SEEN:
-            yes, no = (yes + 1) / (nodes[True] + 2), (no + 1) / (nodes[False] + 2)
-            weight, most = (1.0, 8.0) if name[0] == "." or name in telling else (AMOUNT_WEIGHT, 2.0)
-            odds[name] = max(-most, min(most, weight * math.log(yes / no)))
+        priors[f"<{tag}>", True] += PRIOR
     tags = {name for kind, name, _, _ in seen if kind == "edge"} | {""}
-
-    def given(tag: str):
-        rows = []
-        for above in (False, True):
-            n = [(KEPT_LABEL if above == x else 1.0) + sum(
-                c for (k, t, y, p), c in seen.items()
-                if k == "edge" and t in (tag or t, ) and y == x and p == above
-            ) for x in (False, True)]
-            rows.append((math.log(n[0] / sum(n)), math.log(n[1] / sum(n))))
-        return tuple(rows)
-
-    return TreeModel(odds, 0.0, {tag: given(tag) for tag in tags})
+    as_parent = (math.log(1 / (1 + KEPT_LABEL)), math.log(KEPT_LABEL / (1 + KEPT_LABEL)))
+
+    def begins(tag: str) -> tuple[float, float]:
+        """Of a tag below what is no content; of those that were not seen, of all together."""
+        n = [(1.0 if y else KEPT_LABEL) + sum(
+            c for (k, t, label, above), c in seen.items()
+            if k == "edge" and t in (tag or t, ) and label == y and not above
+        ) for y in (False, True)]
+        return math.log(n[0] / sum(n)), math.log(n[1] / sum(n))
+
+    child = {tag: (begins(tag), as_parent) for tag in tags}
+    # Parts with a tag of their own stand in an article without being of it.
+    child |= {tag: (begins(tag), as_parent[::-1]) for tag in AROUND_TAGS}
+    return TreeModel(
+        _odds(seen, "shown", priors, lambda name: (AMOUNT_WEIGHT, 2.0) if name[0] == "l" else (1.0, 8.0)),
+        _odds(seen, "amount", Counter(), lambda _: (AMOUNT_WEIGHT, 2.0)),
+        0.0,
+        child,
+    )
 
 
 def count_labels(page: Page, labels: list[bool]) -> Counter:
     seen: Counter = Counter()
-    for node, found in enumerate(features(page)):
+    for node, (shown, amounts) in enumerate(features(page)):
         label = labels[node]
-        seen["node", "", label, False] += 1
-        for name in found:
-            seen["feature", name, label, False] += 1
+        above = labels[page.parent[node]] if node else False
+        seen["shown nodes", "", label, False] += 1
+        for name in shown:
+            seen["shown", name, label, False] += 1
+        if not above:
+            seen["amount nodes", "", label, False] += 1
+            for name in amounts:
+                seen["amount", name, label, False] += 1
         if node:
-            seen["edge", page.tag[node], label, labels[page.parent[node]]] += 1
+            seen["edge", page.tag[node], label, above] += 1
     return seen
 
 
@@ -376,7 +411,7 @@ def learn_pages(pages: DataFrame) -> TreeModel:
         .mapInArrow(counted, "kind string, name string, label boolean, above boolean, n long")
         .groupBy("kind", "name", "label", "above")
         .agg(F.sum("n").alias("n"))
-        .where((F.col("kind") != "feature") | (F.col("n") >= LEAST_SEEN))
+        .where(~F.col("kind").isin("shown", "amount") | (F.col("n") >= LEAST_SEEN))
         .collect()
     )
     return make_model(Counter({tuple(r)[:4]: r["n"] for r in rows}))
@@ -389,6 +424,8 @@ def extract(source: str | None, model: TreeModel) -> str:
     if len(page.tag) == 1:  # plain text
         return "\n\n".join(text for _, text in page.blocks)
     good = model.marginals(page)
+    if not any(good[node] > 0.5 for node, _ in page.blocks):
+        good = model.marginals(page, whole=True)
     return "\n\n".join(text for node, text in page.blocks if good[node] > 0.5)
 
 

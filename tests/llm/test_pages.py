@@ -97,6 +97,48 @@ def test_dropped_elements_end_where_they_do(source, blocks):
     assert [t for _, t in parse(source).blocks] == blocks
 
 
+@pytest.fixture(scope="module")
+def given_model(spark, small_dir):
+    return learn_pages(spark.read.parquet(f"{small_dir}/pages.parquet"))
+
+
+PROSE = "".join(f"<p>{'A long and plain sentence of the article goes on here. ' * 4}</p>" for _ in range(3))
+
+
+@pytest.mark.parametrize("inner, blocks", [
+    ("<h2>Heading</h2>", ["Heading"]),
+    ("<ul><li>one<li>two</ul>", ["one", "two"]),
+    ("<ol><li>first</li><li>second step</li></ol>", ["first", "second step"]),
+    ("<pre>x = 1\ny = 2</pre>", ["x = 1 y = 2"]),
+    ("<blockquote>So it is said.</blockquote>", ["So it is said."]),
+    ("<table><tr><th>k<th>v<tr><td>1<td>2</table>", ["k", "v", "1", "2"]),
+    ("<figure><img src=x><figcaption>A picture</figcaption></figure>", ["A picture"]),
+    ("<dl><dt>term<dd>meaning</dl>", ["term", "meaning"]),
+    ("<div>Bare text.</div>", ["Bare text."]),
+    ("<section><h3>Part</h3><p>Of it.</p></section>", ["Part", "Of it."]),
+    ("<details><summary>More</summary>Hidden words</details>", ["More", "Hidden words"]),
+    ('<p><a href="/x">A linked line</a></p>', ["A linked line"]),
+    ('<div class="lead-in paragraph">Named bare text</div>', ["Named bare text"]),
+])
+def test_articles_are_kept_whole(given_model, inner, blocks):
+    text = " ".join("A long and plain sentence of the article goes on here. ".split())
+    text = " ".join([text] * 4)
+    around = '<nav><ul><li><a href="/a">Home</a><li><a href="/b">News</a></ul></nav><div class="ad">Buy.</div>'
+    source = (f"<html><body>{around}<article><h1>Title</h1>{PROSE}{inner}{PROSE}"
+              '<div class="share">Share this</div><div class="ad">Buy more</div></article>'
+              '<div class="comments"><p>I think so too, and so does everybody.</p></div>'
+              "<footer>&copy; us</footer></body></html>")
+    want = ["Title", *[text] * 3, *blocks, *[text] * 3]
+    assert extract(source, given_model) == "\n\n".join(want)
+
+
+def test_pages_without_an_article_are_kept_but_for_what_is_around(given_model):
+    menu = '<nav><ul><li><a href="/a">Home</a></ul></nav>'
+    source = f"<body>{menu}<h2>Short</h2><p>One line.</p><footer>us</footer></body>"
+    assert extract(source, given_model) == "Short\n\nOne line."
+    assert extract(f"<body>{menu}<footer>us</footer></body>", given_model) == ""
+
+
 def test_messages_give_the_marginals_of_all_labellings():
     rng = random.Random(3)
     pages_ = [parse(page(rng, "tags")[0]) for _ in range(20)]
@@ -106,15 +148,16 @@ def test_messages_give_the_marginals_of_all_labellings():
     model = make_model(seen)
     small = parse("<body><nav><a>x</a></nav><div><p>One two. Three.</p></div><footer>f</footer></body>")
     n = len(small.tag)
-    odds = [sum(model.odds.get(f, 0) for f in found) for found in html_extract.features(small)]
+    odds, amounts, tables = model.potentials(small)
     weight = [0.0] * n
     total = 0.0
     for mask in range(1 << n):
         label = [mask >> i & 1 for i in range(n)]
-        log = sum(o for o, y in zip(odds, label, strict=True) if y) + model.root * label[0]
+        log = sum(o for o, y in zip(odds, label, strict=True) if y)
+        log += (model.root + amounts[0]) * label[0]
         for i in range(1, n):
-            table = model.child.get(small.tag[i], model.child[""])
-            log += table[label[small.parent[i]]][label[i]]
+            above = label[small.parent[i]]
+            log += tables[i][above][label[i]] + amounts[i] * (label[i] and not above)
         total += math.exp(log)
         weight = [w + math.exp(log) * y for w, y in zip(weight, label, strict=True)]
     assert model.marginals(small) == pytest.approx([w / total for w in weight])
