@@ -319,13 +319,18 @@ def mark_folded(spark: SparkSession, log_path: str, versions: list[Version]) ->
     if versions:
         text = json.dumps([[day, run, batch] for (day, run), batch in sorted(marks.items())])
         files.replace_small(spark, _marks_path(log_path), text)
-    last: dict[str, int] = {}
     for day, run, batch in files.partitions(spark, log_path, LOG_FOLDERS):
-        last[run] = max(int(batch), last.get(run, -1))
         if int(batch) <= marks.get((day, run), -1):
             files.delete(spark, folder_of(log_path, (day, run, int(batch))))
-    for (_, run), batch in marks.items():
+    found = files.partitions(spark, log_path, LOG_FOLDERS)
+    last: dict[str, int] = {}
+    for run, batch in [(r, int(b)) for _, r, b in found] + [(r, b) for (_, r), b in marks.items()]:
         last[run] = max(batch, last.get(run, -1))
-    kept = [[day, run, batch] for (day, run), batch in sorted(marks.items()) if batch == last[run]]
+    there = {(day, run) for day, run, _ in found}
+    kept = [
+        [*key, batch]
+        for key, batch in sorted(marks.items())
+        if batch == last[key[1]] or key in there
+    ]
     if len(kept) < len(marks):
         files.replace_small(spark, _marks_path(log_path), json.dumps(kept))
