@@ -196,15 +196,18 @@ def divide_skip(sets: list[np.ndarray], percent: int, query: np.ndarray) -> list
         short, long = by_size[: n - n_long], by_size[n - n_long :]
         total = size[short].sum()
         at = np.arange(total) - np.repeat(spans(size[short])[:-1], size[short])
-        merged = listed[at + np.repeat(first[short], size[short])]
-        found = np.bincount(merged - low, minlength=x - low)
-        near = np.flatnonzero(found >= least - n_long)
-        near = near[forest.label[near + low] != forest.label[x]]
+        # Each list ascends; a stable sort finds such runs and merges them, skipping ahead in them.
+        merged = np.sort(listed[at + np.repeat(first[short], size[short])], kind="stable")
+        start = np.flatnonzero(np.concatenate([[True], merged[1:] != merged[:-1]]))[: len(merged)]
+        found = np.diff(np.append(start, len(merged)))
+        enough = found >= least - n_long
+        near, found = merged[start[enough]] - low, found[enough]
+        apart = forest.label[near + low] != forest.label[x]
         if not queried[x]:
-            near = near[queried[near + low]]
+            apart &= queried[near + low]
+        near, overlap = near[apart], found[apart]
         if not len(near):
             continue
-        overlap = found[near]
         for i in long[size[long] > 0]:
             here = listed[first[i] : stop[i]]
             place = np.minimum(np.searchsorted(here, near + low), len(here) - 1)
