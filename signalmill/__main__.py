@@ -24,6 +24,7 @@ from signalmill.sources import core as core_table
 from signalmill.sources import events as source
 from signalmill.sources import inventory as places
 from signalmill.sources import landing as table
+from signalmill.sources import latest as latest_table
 from signalmill.sources import partials
 from signalmill.streaming import pipelines as streams
 
@@ -52,6 +53,7 @@ def parser() -> argparse.ArgumentParser:
     stream.add_argument("--watermark", default=WATERMARK, help="how late events may be")
     stream.add_argument("--keep-late", action="store_true",
                         help="log partial windows, which late events add to, in place of versions")
+    stream.add_argument("--metrics", help="folder of counts that outlast the run")
     stream.add_argument("--continuous", action="store_true", help="run until stopped")
     fold = add("fold", "merge the landing log into the landing table", "log", "landing")
     fold.add_argument("--before", help="only days ahead of this one")
@@ -59,8 +61,12 @@ def parser() -> argparse.ArgumentParser:
     add("warehouse", "rebuild core and report orphans", "landing", "inventory", "core")
     refresh = add("refresh", "rebuild the recent days of core", "landing", "inventory", "core")
     refresh.add_argument("--since", help="first day, by default the days that changed")
+    refresh.add_argument("--latest", help="table of latest rows to move on by the changed days")
     for name, text in (("status", "write the status feed"), ("health", "print the health row")):
-        command = add(name, text, "core")
+        command = add(name, text)
+        rows = command.add_mutually_exclusive_group(required=True)
+        rows.add_argument("--core", help="core table, of which the latest rows are sought")
+        rows.add_argument("--latest", help="table of latest rows, which is much smaller")
         command.add_argument("--inventory")
         if name == "status":
             command.add_argument("--out", help="folder of the feed")
@@ -90,6 +96,13 @@ def _observed(counts: Observation) -> dict[str, int]:
         return {}
 
 
+def _status_source(spark: SparkSession, args: argparse.Namespace):
+    """The table of latest rows where there is one, else core."""
+    if args.latest:
+        return latest_table.read_latest(spark, args.latest)
+    return core_table.read_core(spark, args.core)
+
+
 def run(spark: SparkSession, args: argparse.Namespace) -> int:
     """Run one job and return its exit code."""
     inventory = None
@@ -101,7 +114,7 @@ def run(spark: SparkSession, args: argparse.Namespace) -> int:
         raw = source.read_text(spark, args.events)
         print(jobs.ingest(raw, args.out, args.load))
     elif args.job == "aggregate":
-        raw = source.read_text(spark, args.events)
+        raw = source.read_text(spark, args.events, ordered=True)
         counts = Observation("ingest")
         rows = jobs.payloads_to_landing(
             raw, args.landing, args.ingested_at, strict=args.strict, observe=counts
@@ -115,7 +128,7 @@ def run(spark: SparkSession, args: argparse.Namespace) -> int:
         else:
             raw = source.stream_text(spark, args.events)
         events = streams.flat_events(raw, strict=args.strict)
-        metrics = streams.RunMetrics.listen(spark)
+        metrics = streams.RunMetrics.listen(spark, args.metrics)
         if args.keep_late:
             query = streams.start_partials(
                 events, args.log, args.checkpoint,
@@ -146,11 +159,15 @@ def run(spark: SparkSession, args: argparse.Namespace) -> int:
         since = core_table.merge_core(
             spark, args.landing, inventory, args.core, since=_day(args.since)
         )
-        print(f"since={since or 'changed days'}")
+        if args.latest:
+            core = core_table.read_core(spark, args.core, since=since)
+            latest_table.upsert_latest(core, args.latest)
+        first = "none" if since == core_table.NO_DAY else since
+        print(f"since={first or 'changed days'}")
     elif args.job == "status" and args.id:
         known = None if inventory is None or inventory.isEmpty() else inventory
         asked = spark.createDataFrame([(args.id,)], "intersection_id string")
-        found = status_by_id(core_table.read_core(spark, args.core), args.id, known)
+        found = status_by_id(_status_source(spark, args), args.id, known)
         answer = lookup_status(found, asked).first()
         if answer.code is not None:
             print({"code": answer.code, "message": answer.message})
@@ -160,11 +177,11 @@ def run(spark: SparkSession, args: argparse.Namespace) -> int:
         if not args.out:
             print("status needs --out or --id", file=sys.stderr)
             return 2
-        rows = core_table.read_core(spark, args.core)
+        rows = _status_source(spark, args)
         items = jobs.current_status(rows, inventory, bottleneck_only=args.bottleneck_only)
         jobs.write_status_feed(items, args.out)
     elif args.job == "health":
-        rows = core_table.read_core(spark, args.core)
+        rows = _status_source(spark, args)
         print(health(rows, inventory, as_of=args.as_of).toJSON().first())
     elif args.job == "checks":
         core = core_table.read_core(spark, args.core) if args.core else None

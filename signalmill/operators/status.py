@@ -95,6 +95,16 @@ def status_list(
     return rows.select(*STATUS.fieldNames())
 
 
+def list_counts(items: DataFrame) -> DataFrame:
+    """How many intersections are listed, report, and are severe bottlenecks; one row."""
+    reporting = F.col("window_end") != NO_TELEMETRY_WINDOW
+    return items.agg(
+        F.count(F.lit(1)).alias("listed"),
+        F.count_if(reporting).alias("reporting"),
+        F.count_if(F.col("is_severe_bottleneck")).alias("bottlenecks"),
+    )
+
+
 def status_by_id(
     core: DataFrame, intersection_id: str, inventory: DataFrame | None = None
 ) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from decimal import Decimal
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from signalmill.functions.times import as_instant
 from signalmill.schemas import LANDING, LANDING_KEY, PARTIAL, WINDOW_LENGTH
@@ -14,8 +14,13 @@ _SEQ_SPAN = Decimal(10**19)
 
 
 def last_value(value: Column, at: Column, seq: Column | None = None) -> Column:
-    """Value with the greatest ``at``; of equal instants the lowest ``seq`` wins."""
-    return F.max_by(value, at if seq is None else F.struct(at, -seq))
+    """Value with the greatest ``at``; of equal instants the lowest ``seq`` wins.
+
+    ``seq`` is anything that sorts, a number or a struct.
+    """
+    if seq is None:
+        return F.max_by(value, at)
+    return F.min_by(value, F.struct((-F.unix_micros(at)).alias("back"), seq.alias("seq")))
 
 
 def last_code(value: Column, domain: Sequence[str], at: Column, seq: Column | None) -> Column:
@@ -54,8 +59,8 @@ def window_aggregate(
     """Last state, two averages and a count per intersection and window.
 
     ``window_end`` is exclusive: an event exactly on the minute belongs to the window that
-    starts there. ``states`` names the possible states and buys the faster plan, see
-    :func:`last_code`. A busy intersection does not matter: each map task sends at most one row
+    starts there. ``states`` names the possible states and buys the faster plan where ``seq_col``
+    is a number, see :func:`last_code`. A busy intersection does not matter: each map task sends at most one row
     per key and window.
     """
     if watermark:
@@ -63,7 +68,8 @@ def window_aggregate(
     at = F.col("event_timestamp")
     seq = F.col(seq_col) if seq_col else None
     state = F.col("signal_state")
-    last = last_code(state, states, at, seq) if states else last_value(state, at, seq)
+    packed = states and not (seq_col and isinstance(events.schema[seq_col].dataType, T.StructType))
+    last = last_code(state, states, at, seq) if packed else last_value(state, at, seq)
     grouped = events.groupBy("intersection_id", F.window(at, length).alias("w")).agg(
         last.alias("signal_state"),
         F.avg("avg_stop_duration_seconds").alias("avg_stop_duration_seconds"),

@@ -316,6 +316,10 @@ ORACLES: dict[str, str] = {
                    ELSE 'traffic-events-dlq' END AS topic, key,
                    CASE reasons WHEN '' THEN normalised ELSE sent END AS value FROM doc""",
     ),
+    "ties_from_text": _with(
+        "win",
+        select=f"SELECT * REPLACE (3 * event_count AS event_count) FROM (SELECT {_WINDOW} FROM win)",
+    ),
     "staging": _with("land", select=f"SELECT {_LANDING} FROM land"),
     "core": _with("core", select=f"SELECT {_CORE} FROM core"),
     "core_points": _with(
@@ -385,6 +389,22 @@ ORACLES: dict[str, str] = {
                    LEFT JOIN (SELECT {_STATUS} FROM items) s
                    ON asked.intersection_id = s.intersection_id""",
     ),
+    "status_of_one": _with(
+        "items", select=f"SELECT {_STATUS} FROM items WHERE intersection_id = 'osm-4'"
+    ),
+    "list_counts": _with(
+        "items",
+        select="""SELECT count(*) AS listed,
+                   count(*) FILTER (window_end <> '1970-01-01T00:00:00Z') AS reporting,
+                   count(*) FILTER (is_severe_bottleneck) AS bottlenecks FROM items""",
+    ),
+    "popup_measures": _with(
+        "items",
+        select="""SELECT intersection_id,
+                   coalesce(printf('%.1f', round(avg_stop_duration_seconds, 1)), '—') AS popup_stop,
+                   coalesce(printf('%.1f', round(avg_vehicle_speed_kmh, 1)), '—') AS popup_speed
+                   FROM items""",
+    ),
     "status_json": _with(
         "items",
         select="""SELECT intersection_id,

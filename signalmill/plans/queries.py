@@ -27,6 +27,7 @@ from signalmill.sources import core as core_table
 from signalmill.sources import files, partials
 from signalmill.sources import landing as landing_table
 from signalmill.sources import latest as latest_table
+from signalmill.sources.events import read_text
 from signalmill.sources.inventory import read_inventory
 from signalmill.streaming import pipelines as streams
 
@@ -288,6 +289,36 @@ def stream_routing(spark, sf_dir):
     return spark.read.schema(schema).json(f"{folder}/out").select("topic", "key", "value")
 
 
+def ties_from_text(spark, sf_dir):
+    """Every event three times at one instant: twice in a row, and again in a later load.
+
+    The first line to arrive tells the state; the others say something else.
+    """
+    folder = shared_folder(configure(spark), "text")
+    events = d.flat_events(spark, sf_dir)
+
+    def line(state: Column) -> Column:
+        time = F.date_format("event_timestamp", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
+        return F.to_json(
+            F.struct(
+                "intersection_id",
+                F.struct(time.alias("timestamp")).alias("environment"),
+                F.struct(
+                    state.alias("current_signal_state"),
+                    "avg_stop_duration_seconds",
+                    "avg_vehicle_speed_kmh",
+                ).alias("telemetry"),
+            )
+        )
+
+    first = F.explode(F.array(line(F.col("signal_state")), line(F.lit("UNKNOWN"))))
+    for lines in (first, line(F.lit("RED"))):
+        events.select(lines.alias("value")).write.mode("append").text(f"{folder}/in")
+    raw = read_text(spark, f"{folder}/in", ordered=True)
+    flat = streams.flat_events(raw)
+    return plain(windows.window_aggregate(flat, seq_col="seq", states=SIGNAL_STATES))
+
+
 # --- Models --------------------------------------------------------------------------------
 
 
@@ -449,6 +480,19 @@ def status_by_id(spark, sf_dir):
     return plain(status.lookup_status(_items(spark, sf_dir), asked))
 
 
+def status_of_one(spark, sf_dir):
+    """One intersection, whose id is filtered ahead of all else."""
+    return plain(status.status_by_id(d.core(spark, sf_dir), "osm-4", d.inventory(spark, sf_dir)))
+
+
+def list_counts(spark, sf_dir):
+    return status.list_counts(_items(spark, sf_dir))
+
+
+def popup_measures(spark, sf_dir):
+    return status.popup_measures(_items(spark, sf_dir))
+
+
 def status_json(spark, sf_dir):
     """Texts are parsed back, so that the check is on fields and on which of them are left out."""
     value = F.col("value")
@@ -641,6 +685,7 @@ QUERIES: dict[str, Query] = {
     "stream_latest": stream_latest,
     "stream_core": stream_core,
     "stream_routing": stream_routing,
+    "ties_from_text": ties_from_text,
     "staging": staging,
     "core": core,
     "core_points": core_points,
@@ -663,6 +708,9 @@ QUERIES: dict[str, Query] = {
     "status_list_plain": status_list_plain,
     "status_bottlenecks": status_bottlenecks,
     "status_by_id": status_by_id,
+    "status_of_one": status_of_one,
+    "list_counts": list_counts,
+    "popup_measures": popup_measures,
     "status_json": status_json,
     "status_labels": status_labels,
     "extent": extent,

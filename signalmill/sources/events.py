@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from signalmill.operators.validation import is_valid
 
@@ -76,9 +76,24 @@ def stream_topic(
     return topic_rows(spark.readStream.format("kafka").options(**chosen).load())
 
 
-def read_text(spark: SparkSession, path: str) -> DataFrame:
-    """One JSON event per line."""
-    return spark.read.text(path)
+def arrival() -> Column:
+    """Order of arrival of lines of text: by time and name of the file, block, and place in it.
+
+    A block is read by one task from its start on, so the running number of its rows is their
+    order there. It is a struct, which sorts; numbering all lines would take a pass of its own.
+    """
+    return F.struct(
+        F.col("_metadata.file_modification_time").alias("modified"),
+        F.col("_metadata.file_path").alias("path"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("row"),
+    )
+
+
+def read_text(spark: SparkSession, path: str, *, ordered: bool = False) -> DataFrame:
+    """One JSON event per line; ``ordered`` adds their arrival as ``seq``, which decides ties."""
+    lines = spark.read.text(path)
+    return lines.select("value", arrival().alias("seq")) if ordered else lines
 
 
 def stream_text(

@@ -249,20 +249,26 @@ def start_routing(
     return _trigger(writer, continuous, every).start()
 
 
+METRICS = "query_id string, batch_id long, consumed long, invalid long, late long"
+
+
 class RunMetrics(StreamingQueryListener):
     """Rows read, rejected and dropped as late by each stream of a session, over its whole run.
 
     Every micro-batch is added as it ends, so that long runs lose none. ``late`` counts rows after
-    the partial aggregate of their task; with a watermark that is too short it is above zero.
+    the partial aggregate of their task; with a watermark that is too short it is above zero. With
+    a ``path`` each micro-batch is filed there under its query and number as well, and a repeated
+    one replaces its file: :func:`read_metrics` sums them over restarts.
     """
 
-    def __init__(self):
+    def __init__(self, path: str | None = None):
         self._totals: dict[str, dict[str, int]] = {}
+        self._path = path
 
     @classmethod
-    def listen(cls, spark: SparkSession) -> RunMetrics:
+    def listen(cls, spark: SparkSession, path: str | None = None) -> RunMetrics:
         """Start before the streams whose metrics are wanted."""
-        metrics = cls()
+        metrics = cls(path)
         spark.streams.addListener(metrics)
         return metrics
 
@@ -277,12 +283,22 @@ class RunMetrics(StreamingQueryListener):
 
     def onQueryProgress(self, event) -> None:
         progress = event.progress
-        totals = self._totals.setdefault(str(progress.runId), _no_rows())
-        totals["consumed"] += progress.numInputRows
         observed = progress.observedMetrics.get("ingest")
-        if observed is not None:
-            totals["invalid"] += observed["invalid_count"]
-        totals["late"] += sum(o.numRowsDroppedByWatermark for o in progress.stateOperators)
+        counts = {
+            "consumed": progress.numInputRows,
+            "invalid": 0 if observed is None else observed["invalid_count"],
+            "late": sum(o.numRowsDroppedByWatermark for o in progress.stateOperators),
+        }
+        totals = self._totals.setdefault(str(progress.runId), _no_rows())
+        for name, n in counts.items():
+            totals[name] += n
+        if self._path and any(counts.values()):
+            row = {"query_id": str(progress.id), "batch_id": progress.batchId} | counts
+            files.replace_small(
+                SparkSession.getActiveSession() or SparkSession.builder.getOrCreate(),
+                f"{self._path.rstrip('/')}/{progress.id}-{progress.batchId}.json",
+                json.dumps(row),
+            )
 
     def of(self, query: StreamingQuery) -> dict[str, int]:
         """Totals of a stream; those of an ended one are complete."""
@@ -291,5 +307,14 @@ class RunMetrics(StreamingQueryListener):
         return dict(self._totals.get(str(query.runId), _no_rows()))
 
 
+def read_metrics(spark: SparkSession, path: str) -> DataFrame:
+    """Totals of each query that filed its metrics at ``path``, over all its runs."""
+    rows = spark.read.schema(METRICS).json(path)
+    counts = ("consumed", "invalid", "late")
+    return rows.groupBy("query_id").agg(
+        F.count(F.lit(1)).alias("batches"), *[F.sum(c).alias(c) for c in counts]
+    )
+
+
 def _no_rows() -> dict[str, int]:
     return {"consumed": 0, "invalid": 0, "late": 0}

@@ -24,7 +24,7 @@ def test_from_events_to_status(spark, tmp_path, job, capsys):
     ]
     text = "\n".join(json.dumps(x) for x in lines) + "\n{broken\n"
     (tmp_path / "in" / "events.json").write_text(text)
-    at = {n: tmp_path / n for n in ("in", "out", "landing", "log", "ck", "core", "inv", "feed", "map.json")}
+    at = {n: tmp_path / n for n in ("in", "out", "landing", "log", "ck", "core", "inv", "feed", "latest", "map.json")}
 
     assert job("inventory", "--extract", at["map.json"], "--out", at["inv"]) == 1
     box = ["--bbox", 0, 0, 2, 3]
@@ -41,8 +41,16 @@ def test_from_events_to_status(spark, tmp_path, job, capsys):
     tables = ["--landing", at["landing"], "--inventory", at["inv"], "--core", at["core"]]
     assert job("warehouse", *tables) == 0
     assert "core_rows=2\norphan_ids=1" in capsys.readouterr().out
+    # A rebuild has merged all loads, so a refresh finds nothing to do.
     assert job("refresh", *tables) == 0
+    assert "since=none" in capsys.readouterr().out
+    latest = ["--latest", at["latest"]]
+    assert job("refresh", *tables, *latest, "--since", "2026-06-05") == 0
     assert "since=2026-06-05" in capsys.readouterr().out
+    assert job("health", *latest, "--inventory", at["inv"], "--as-of", stamp) == 0
+    stored = capsys.readouterr().out
+    assert job("health", "--core", at["core"], "--inventory", at["inv"], "--as-of", stamp) == 0
+    assert capsys.readouterr().out == stored
 
     assert job("checks", *tables) == 0
     assert job("checks", *tables[:4]) == 0

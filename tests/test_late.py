@@ -8,7 +8,7 @@ import pytest
 from helpers import at, inventory, landing, tuples
 from test_streams import Feed, fill, reading
 
-from signalmill.operators import status
+from signalmill.operators import models, status
 from signalmill.operators.windows import landing_rows, window_aggregate
 from signalmill.plans import jobs
 from signalmill.sources import core as core_table
@@ -195,3 +195,38 @@ def test_latest_rows_follow_a_stream(spark, feed):
     older = got.filter("intersection_id = 'a'").withColumn("window_end", got.window_end - status.F.expr("INTERVAL 1 DAY"))
     latest_table.upsert_latest(older, root + "/latest")
     assert tuples(latest_table.read_latest(spark, root + "/latest"), "signal_state") == [("RED",), ("YELLOW",)]
+
+
+def test_lines_of_text_arrive_in_order(spark, feed):
+    """Ties within a file and between files, whose times and not whose names decide."""
+    feed.add(reading("b", "18:00:10", "YELLOW"))
+    feed.add(reading("a", "18:00:10", "GREEN"), reading("a", "18:00:10", "RED"), reading("b", "18:00:10"))
+    (feed.root / "in" / "000.json").rename(feed.root / "in" / "zzz.json")
+    raw = source.read_text(spark, str(feed.root / "in"), ordered=True)
+    for states in (None, ("RED", "GREEN", "YELLOW")):
+        got = window_aggregate(s.flat_events(raw), seq_col="seq", states=states)
+        assert tuples(got, "intersection_id", "signal_state") == [("a", "GREEN"), ("b", "YELLOW")]
+    root = str(feed.root)
+    assert jobs.payloads_to_landing(raw, root + "/l", LOAD) == 2
+    assert tuples(table.read_landing(spark, root + "/l"), "signal_state") == [("GREEN",), ("YELLOW",)]
+
+
+def test_metrics_outlast_the_run(spark, feed):
+    root = str(feed.root)
+    for lines in ([reading("a", "18:00:10"), "{broken"], [reading("a", "18:10:00")], ["{"]):
+        feed.add(*lines)
+        metrics = s.RunMetrics.listen(spark, root + "/metrics")
+        metrics.of(feed.drain())
+        spark.streams.removeListener(metrics)
+    total = s.read_metrics(spark, root + "/metrics").first()
+    assert (total.batches, total.consumed, total.invalid) == (3, 4, 2)
+    assert total.query_id == s.run_name(spark, root + "/log-checkpoint")
+
+
+def test_counts_of_the_list(spark):
+    rows = landing(spark, ("a", DAYS[0], "RED", 80.0, 3.0, 1, None), ("x", DAYS[0], "RED", 1.0, 1.0, 1, None))
+    core = models.build_core(models.staging(rows), inventory(spark, "a", "b"))
+    items = status.status_list(status.latest_status(core), inventory(spark, "a", "b"))
+    assert tuple(status.list_counts(items).first()) == (2, 1, 1)
+    severe = status.status_list(status.latest_status(core), inventory(spark, "a", "b"), bottleneck_only=True)
+    assert tuple(status.list_counts(severe).first()) == (1, 1, 1)
