@@ -206,7 +206,7 @@ def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def map_document(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every supplier as a JSON map element with some of the name tags."""
+    """Every supplier as a JSON map element with some of the name tags, a hundred a document."""
     key, kind = F.col("s_suppkey"), F.col("s_suppkey") % 6
     name = F.col("s_name")
     tags = F.map_filter(
@@ -224,9 +224,12 @@ def map_document(spark: SparkSession, sf_dir: str) -> DataFrame:
     element = F.struct(
         F.when(F.col("s_nationkey") == 3, F.lit("way")).otherwise(F.lit("node")).alias("type"),
         key.alias("id"),
-        (F.lit(-27.0) - key / F.lit(30000.0)).alias("lat"),
-        (F.lit(-52.0) - key / F.lit(7000.0)).alias("lon"),
+        (F.lit(-27.0) - key % 1000 / F.lit(30000.0)).alias("lat"),
+        (F.lit(-52.0) - key % 1000 / F.lit(7000.0)).alias("lon"),
         tags.alias("tags"),
     )
-    document = F.struct(F.array(element).alias("elements"))
-    return table(spark, sf_dir, "supplier").select(F.to_json(document).alias("value"))
+    head = F.struct(F.lit("a {brace} and [").alias("note"))
+    document = F.struct(head.alias("head"), F.collect_list(element).alias("elements"))
+    number = F.floor(key / 100)
+    rows = table(spark, sf_dir, "supplier").groupBy(number)
+    return rows.agg(F.to_json(document).alias("value")).select("value")

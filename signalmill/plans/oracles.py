@@ -310,6 +310,20 @@ ORACLES: dict[str, str] = {
         "core",
         select=f"SELECT * REPLACE ({_LATE_LOAD} AS ingested_at) FROM (SELECT {_CORE} FROM core)",
     ),
+    "stream_core_versions": _with(
+        "core",
+        select=f"""SELECT * EXCLUDE (later, gone) REPLACE (
+                       {_LATE_LOAD} AS ingested_at,
+                       CASE WHEN NOT later THEN display_name
+                            WHEN NOT gone THEN 'new ' || display_name END AS display_name,
+                       {", ".join(
+                           f"CASE WHEN NOT (later AND gone) THEN {c} END AS {c}"
+                           for c in ("latitude", "longitude", "point_latitude", "point_longitude")
+                       )})
+                   FROM (SELECT {_CORE}, minute(window_end - INTERVAL 1 MINUTE) >= 16 AS later,
+                                CAST(substr(intersection_id, 5) AS INT) // 2 % 3 = 0 AS gone
+                         FROM core)""",
+    ),
     "stream_routing": _with(
         "doc",
         select="""SELECT CASE reasons WHEN '' THEN 'traffic-events'
@@ -475,12 +489,12 @@ ORACLES: dict[str, str] = {
                     WHEN 2 THEN 'R' || s_suppkey WHEN 3 THEN 'C' || s_suppkey
                     WHEN 4 THEN 'Semáforo ' || s_suppkey || ' (forward)'
                     ELSE 'Semáforo ' || s_suppkey END AS display_name,
-               round(-27.0::DOUBLE - s_suppkey / 30000.0::DOUBLE, 6) AS latitude,
-               round(-52.0::DOUBLE - s_suppkey / 7000.0::DOUBLE, 6) AS longitude,
+               round(-27.0::DOUBLE - s_suppkey % 1000 / 30000.0::DOUBLE, 6) AS latitude,
+               round(-52.0::DOUBLE - s_suppkey % 1000 / 7000.0::DOUBLE, 6) AS longitude,
                s_suppkey AS osm_node_id, 'osm' AS source
         FROM supplier WHERE s_nationkey <> 3 AND s_suppkey % 7 < 5
-          AND -27.0::DOUBLE - s_suppkey / 30000.0::DOUBLE BETWEEN -27.12::DOUBLE AND -27.0::DOUBLE
-          AND -52.0::DOUBLE - s_suppkey / 7000.0::DOUBLE BETWEEN -52.1::DOUBLE AND -52.0::DOUBLE""",
+          AND -27.0::DOUBLE - s_suppkey % 1000 / 30000.0::DOUBLE BETWEEN -27.12::DOUBLE AND -27.0::DOUBLE
+          AND -52.0::DOUBLE - s_suppkey % 1000 / 7000.0::DOUBLE BETWEEN -52.1::DOUBLE AND -52.0::DOUBLE""",
     "inventory_in_bbox": _with(
         "inv",
         select=f"""SELECT intersection_id, display_name, {_PLACE}, osm_node_id, source FROM inv

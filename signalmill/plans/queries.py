@@ -19,7 +19,6 @@ from signalmill.schemas import (
     INVENTORY_REQUIRED,
     INVENTORY_SOURCES,
     LANDING_REQUIRED,
-    MAP_EXTRACT,
     SIGNAL_STATES,
 )
 from signalmill.session import configure, shared_folder
@@ -28,7 +27,7 @@ from signalmill.sources import files, partials
 from signalmill.sources import landing as landing_table
 from signalmill.sources import latest as latest_table
 from signalmill.sources.events import read_text
-from signalmill.sources.inventory import read_inventory
+from signalmill.sources.inventory import publish_inventory, read_inventory, read_map_extract
 from signalmill.streaming import pipelines as streams
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -278,6 +277,24 @@ def stream_core(spark, sf_dir):
     return plain(landing_table.read_versions(spark, f"{folder}/log", shape=CORE))
 
 
+def stream_core_versions(spark, sf_dir):
+    """Live windows with the inventory of their time: another version is published half way."""
+    folder = shared_folder(configure(spark), "stream")
+    places = d.inventory(spark, sf_dir)
+    later = places.filter("osm_node_id % 3 <> 0").withColumn(
+        "display_name", F.concat(F.lit("new "), F.col("display_name"))
+    )
+    for number, events in enumerate(_in_parts(spark, sf_dir, folder, _quarter())):
+        if number in (0, 2):
+            publish_inventory(later if number else places, f"{folder}/inventory")
+        windows = streams.stream_windows(events, states=SIGNAL_STATES)
+        streams.start_core_versions(
+            windows, f"{folder}/inventory", f"{folder}/log", f"{folder}/checkpoint",
+            ingested_at=LATE_LOAD,
+        ).awaitTermination()
+    return plain(landing_table.read_versions(spark, f"{folder}/log", shape=CORE))
+
+
 def stream_routing(spark, sf_dir):
     """Raw events as a stream of text files, routed to one folder per topic."""
     folder = shared_folder(configure(spark), "stream")
@@ -564,8 +581,10 @@ def snapshot_diff_query(spark, sf_dir):
 
 
 def inventory_from_extract(spark, sf_dir):
-    parsed = d.map_document(spark, sf_dir).select(F.from_json("value", MAP_EXTRACT).alias("doc"))
-    nodes = inv.elements(parsed.select("doc.*"))
+    """The signals of a map dump inside a box; the files are split at their elements."""
+    path = shared_folder(configure(spark), "extract")
+    d.map_document(spark, sf_dir).write.text(path)
+    nodes = inv.elements(read_map_extract(spark, path))
     return plain(inv.inventory_from_elements(nodes, (-27.12, -52.1, -27.0, -52.0)))
 
 
@@ -684,6 +703,7 @@ QUERIES: dict[str, Query] = {
     "stream_late_events": stream_late_events,
     "stream_latest": stream_latest,
     "stream_core": stream_core,
+    "stream_core_versions": stream_core_versions,
     "stream_routing": stream_routing,
     "ties_from_text": ties_from_text,
     "staging": staging,

@@ -27,6 +27,7 @@ from signalmill.operators.windows import landing_rows, window_aggregate, window_
 from signalmill.schemas import CORE, FLAT_EVENT, PARTIAL, TRIGGER, WATERMARK, WINDOW_LENGTH
 from signalmill.sources import files
 from signalmill.sources.events import observe_ingest
+from signalmill.sources.inventory import current_version, read_inventory_version
 from signalmill.sources.landing import append_versions, upsert_landing
 from signalmill.sources.latest import upsert_latest
 
@@ -220,6 +221,48 @@ def start_core(
     return _start(core, write, checkpoint, output_mode, continuous, every)
 
 
+def batch_inventory(spark: SparkSession, inventory: str, path: str, run: str, batch_id: int) -> DataFrame:
+    """The version of the inventory that a micro-batch goes by: the current one when it first runs.
+
+    It is noted beside the log ahead of the work, so a micro-batch that is repeated, which only
+    the last one of a run can be, takes the same version again.
+    """
+    note = f"{path.rstrip('/')}_inventory/{run}.json"
+    noted = json.loads(files.read_small(spark, note) or "{}")
+    if noted.get("batch_id") != batch_id:
+        noted = {"batch_id": batch_id, "version": current_version(spark, inventory)}
+        files.replace_small(spark, note, json.dumps(noted))
+    return read_inventory_version(spark, inventory, noted["version"])
+
+
+def start_core_versions(
+    windows: DataFrame,
+    inventory: str,
+    path: str,
+    checkpoint: str,
+    *,
+    ingested_at=None,
+    output_mode: str = "update",
+    continuous: bool = False,
+    every: str = TRIGGER,
+) -> StreamingQuery:
+    """Live core rows with an inventory that changes while the stream runs, to a version log.
+
+    ``inventory`` is a folder of published versions; each micro-batch reads the current one, so a
+    new version counts for the windows that are written after it, without a restart. Rows that
+    were written before keep theirs until their window changes.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        run = run_name(spark, checkpoint)
+        places = batch_inventory(spark, inventory, path, run, batch_id)
+        rows = build_core(staging(landing_rows(batch, ingested_at)), places)
+        append_versions(rows, batch_id, path, run=run, shape=CORE)
+
+    return _start(windows, write, checkpoint, output_mode, continuous, every)
+
+
 def start_routing(
     raw: DataFrame,
     path: str,

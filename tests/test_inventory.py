@@ -7,7 +7,14 @@ from pyspark.errors import AnalysisException
 from helpers import inventory, tuples
 from signalmill.operators.inventory import elements, inventory_from_elements
 from signalmill.schemas import INVENTORY, same_shape
-from signalmill.sources.inventory import read_inventory, read_map_extract, write_inventory
+from signalmill.sources.inventory import (
+    current_version,
+    publish_inventory,
+    read_inventory,
+    read_inventory_version,
+    read_map_extract,
+    write_inventory,
+)
 
 SIGNAL = {"highway": "traffic_signals"}
 EXTRACT = {
@@ -99,3 +106,63 @@ def test_columns_are_found_by_name(spark, folder):
         ("osm-1", "A", -27.1, -52.6, None, "osm"),
         ("osm-2", "B", -27.1, None, None, "osm"),
     ]
+
+
+ODD_NAMES = [
+    "}", "{", '"}', "\\", '\\"', "a}b{c", "[{", "]}", '{"type": "node"}', '"elements": [', "é}ü", "",
+]
+
+
+def odd_extract(n):
+    """Names full of marks, members in objects, an array in a head, ways between the nodes."""
+    rows = []
+    for i in range(n):
+        tags = {**SIGNAL, "name": f"{ODD_NAMES[i % len(ODD_NAMES)]}{i}", "note": ODD_NAMES[i % 5]}
+        rows.append({"type": "node", "id": i, "lat": 1.0, "lon": 2.0, "tags": tags})
+        if i % 3 == 0:
+            members = [{"type": "node", "ref": 1, "role": "}"}, {"type": "way", "ref": 2}]
+            rows.append({"type": "relation", "id": i, "members": members, "tags": SIGNAL})
+    return {"head": {"text": 'x "elements": [ {'}, "elements": rows, "tail": {"a": [1, 2]}}
+
+
+@pytest.mark.parametrize("indent", [None, 1])
+@pytest.mark.parametrize("size", ["1000", "128MB"])
+def test_one_large_file_is_read_by_many_tasks(spark, folder, indent, size):
+    docs = odd_extract(200), {"elements": []}, odd_extract(3)
+    text = "\n".join(json.dumps(doc, indent=indent, ensure_ascii=False) for doc in docs)
+    Path(folder, "map.json").write_text(text, encoding="utf-8")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    try:
+        read = read_map_extract(spark, f"{folder}/map.json")
+        tasks = spark.read.option("lineSep", "}").text(f"{folder}/map.json").rdd.getNumPartitions()
+        found = elements(read).select("type", "id", "tags").collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert tasks > 1 or size == "128MB"
+    want = [(e["type"], e["id"], e["tags"]) for doc in docs for e in doc["elements"]]
+    by_id = lambda row: (row[0], row[1], str(sorted(row[2].items())))
+    assert sorted(map(tuple, found), key=by_id) == sorted(want, key=by_id)
+
+
+def test_a_cut_off_extract_gives_its_whole_elements(spark, folder):
+    text = json.dumps(odd_extract(10))
+    Path(folder, "map.json").write_text(text[: text.index('"id": 9')])
+    nodes = elements(read_map_extract(spark, f"{folder}/map.json")).filter("type = 'node'")
+    assert sorted(r.id for r in nodes.collect()) == list(range(9))
+    Path(folder, "none.json").write_text("")
+    assert elements(read_map_extract(spark, f"{folder}/none.json")).isEmpty()
+
+
+def test_versions_of_the_inventory(spark, folder):
+    path = folder + "/versions"
+    assert current_version(spark, path) is None
+    assert read_inventory_version(spark, path, None).isEmpty()
+    assert publish_inventory(inventory(spark, "a"), path) == 1
+    assert publish_inventory(inventory(spark, "a", "b"), path) == 2
+    assert publish_inventory(inventory(spark, "a").limit(0), path) is None
+    assert current_version(spark, path) == 2
+    assert read_inventory_version(spark, path, 1).count() == 1
+    assert read_inventory_version(spark, path, 2).count() == 2
