@@ -279,6 +279,12 @@ ORACLES: dict[str, str] = {
                    THEN TIMESTAMP '2024-01-01 00:15:35' ELSE {_LATE_LOAD} END AS ingested_at
                    FROM win""",
     ),
+    "landing_snapshot": _with(
+        "win",
+        select=f"""SELECT {_WINDOW}, CASE WHEN window_end <= TIMESTAMP '2024-01-01 00:15:00'
+                   THEN TIMESTAMP '2024-01-01 00:15:35' ELSE {_LATE_LOAD} END AS ingested_at
+                   FROM win""",
+    ),
     "stream_window_aggregate": _with(
         "win", select=f"SELECT {_WINDOW}, {_LATE_LOAD} AS ingested_at FROM win"
     ),

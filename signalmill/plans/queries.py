@@ -23,7 +23,7 @@ from signalmill.schemas import (
 )
 from signalmill.session import configure, shared_folder
 from signalmill.sources import core as core_table
-from signalmill.sources import files, partials
+from signalmill.sources import files, partials, snapshots
 from signalmill.sources import landing as landing_table
 from signalmill.sources import latest as latest_table
 from signalmill.sources.events import read_text
@@ -150,6 +150,25 @@ def landing_upsert(spark, sf_dir):
     return plain(landing_table.read_landing(spark, path))
 
 
+def landing_snapshot(spark, sf_dir):
+    """The two loads into a table of snapshots; between them a writer dies ahead of its swap."""
+    path = shared_folder(configure(spark), "snapshots")
+    events = d.flat_events(spark, sf_dir)
+    at = F.col("event_timestamp")
+
+    def rows(some: DataFrame, when: str) -> DataFrame:
+        aggregated = windows.window_aggregate(some, seq_col="seq", states=SIGNAL_STATES)
+        return windows.landing_rows(aggregated, when)
+
+    early = rows(events.filter(at < as_instant(CUT)), EARLY_LOAD)
+    snapshots.upsert_snapshot(early, path, unique=True)
+    lost = early.withColumn("event_count", F.lit(0).cast("long"))
+    landing_table.with_date(lost).write.partitionBy("window_date").parquet(f"{path}/load=lost")
+    late = rows(events.filter(at >= as_instant(CUT_WINDOW)), LATE_LOAD)
+    snapshots.upsert_snapshot(late, path, unique=True)
+    return plain(snapshots.read_snapshot(spark, path))
+
+
 # --- Streams -------------------------------------------------------------------------------
 
 
@@ -695,6 +714,7 @@ QUERIES: dict[str, Query] = {
     "landing_rows": landing_rows,
     "landing_scan": landing_scan,
     "landing_upsert": landing_upsert,
+    "landing_snapshot": landing_snapshot,
     "stream_window_aggregate": stream_window_aggregate,
     "log_reused_checkpoint": log_reused_checkpoint,
     "stream_restarts": stream_restarts,
