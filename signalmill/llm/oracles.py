@@ -7,7 +7,7 @@ WORDS = r"coalesce(len(regexp_extract_all({}, '[^\x20\x09-\x0D]+')), 0)"
 SOURCE_MIX = f"""
 WITH d AS (
   SELECT doc_id, source, {WORDS.format("text")}::BIGINT AS size,
-         md5('7|' || coalesce(doc_id::VARCHAR, '')) AS mark
+         md5('7|' || coalesce(doc_id::VARCHAR, md5(text), '')) AS mark
   FROM documents),
 s0 AS (SELECT source, sum(size)::BIGINT AS source_size FROM d GROUP BY source),
 s1 AS (

@@ -104,13 +104,16 @@ def source_mix(
     ``first`` (null without a part; a part that meets the end of the shard's row of documents goes
     on at its start, so it may begin in a document's last words and end in its first).
     Null and empty texts have size 0 and are not taken. Null sources are one source, the last.
-    Repeated rows are documents of their own. ``keep`` names columns to carry along.
+    Repeated rows are documents of their own; rows without doc_id are dealt to shards by their
+    text, so that only equal ones of them meet in one. ``keep`` names columns to carry along.
 
     The word counts are stored once; a hot source is spread over shards of about ``shard_words``
     words, the number of which comes from its size, so no task sorts more.
     """
-    mark = F.md5(F.concat_ws("|", F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
-    sized = docs.select("doc_id", "source", word_count(F.col("text")).alias("size"))
+    # Rows without doc_id are told apart by their text, so that they spread as well.
+    name = F.coalesce(F.col("doc_id").cast("string"), F.md5("text"), F.lit("")).alias("name")
+    mark = F.md5(F.concat_ws("|", F.lit(seed), "name"))
+    sized = docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), name)
     sized = stored(sized, "mix-sizes")
     targets = source_targets(sized)
     seats = targets.withColumn("votes", F.col("target")).withColumn(
@@ -171,7 +174,7 @@ def source_mix(
     rows = sized
     if keep:
         rows = docs.select(
-            "doc_id", "source", word_count(F.col("text")).alias("size"),
+            "doc_id", "source", word_count(F.col("text")).alias("size"), name,
             *(F.col(c).alias(f"kept_{c}") for c in keep),
         )
     rows = placed(rows)
@@ -219,8 +222,10 @@ def mixed_documents(docs: DataFrame) -> DataFrame:
     """The documents of the mix, with the columns of ``docs``.
 
     Of each document there is a row for every whole copy that the mix takes, and one with the
-    words of a part, joined by spaces; documents that it does not take are gone. Where n_chars is
-    a column it counts the text given.
+    words of a part, joined by spaces; documents that it does not take are gone, so null, empty and
+    blank texts are. Where n_chars is a column it counts the text given. Rows without doc_id or
+    source are kept like others, repeated rows are documents of their own, and no documents give
+    none; all other columns, of any name, are carried along.
     """
     columns = docs.columns
     mix = source_mix(docs, keep=tuple(columns))

@@ -242,6 +242,16 @@ def test_source_mix_equals_its_sql(spark, docs, doc_rows):
     assert sorted(map(repr, map(tuple, got.collect()))) == sorted(map(repr, want))
 
 
+def test_rows_without_id_spread_over_shards(spark):
+    rows = [(None, f"w{i} " * (20 + i % 7), "en", "s", None) for i in range(600)]
+    whole = [r for r in source_mix.source_mix(make(spark, rows), block=4, shard_words=400).collect()]
+    assert len(whole) == 600 and {r.doc_id for r in whole} == {None}
+    # A shard is one run of words: with all rows in one shard, at most two would be taken in part.
+    assert sum(r.first is not None and r.taken % r.size != 0 for r in whole) > 10
+    again = source_mix.source_mix(make(spark, rows), block=4, shard_words=400).collect()
+    assert sorted(map(repr, whole)) == sorted(map(repr, again))
+
+
 def test_source_mix_of_nothing(spark, no_docs):
     assert source_mix.source_mix(no_docs).collect() == []
     blank = make(spark, [(1, None, "en", "a", 0), (2, "", "en", None, 0)])
