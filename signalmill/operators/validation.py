@@ -97,28 +97,39 @@ def parse_documents(df: DataFrame, value_col: str = "value") -> DataFrame:
     return _with_once(parsed.withColumn("_read", as_text), "fields", fields).drop("_read")
 
 
-def _broken_rules(doc: Column) -> Column:
+def _parts(doc: Column) -> Column:
+    """Members of the object and of its two inner objects, each null where there is no object."""
+    members = "map<string,variant>"
+    return F.struct(
+        _at(doc, "$[0]", members).alias("root"),
+        _at(doc, "$[0].environment", members).alias("environment"),
+        _at(doc, "$[0].telemetry", members).alias("telemetry"),
+    )
+
+
+def _broken_rules(parts: Column) -> Column:
     """Every rule on its own, for documents that are known or feared to break one."""
-    root = _keys(doc, "$[0]")
-    env, tel = _keys(doc, "$[0].environment"), _keys(doc, "$[0].telemetry")
+    root, env, tel = parts["root"], parts["environment"], parts["telemetry"]
     fields = F.col("fields")
 
     def names(values) -> Column:
         return F.array(*[F.lit(v) for v in values])
 
-    def lacks(keys: Column, required) -> Column:
-        return F.coalesce(F.size(F.array_except(names(required), keys)) > 0, F.lit(True))
+    def lacks(members: Column, required) -> Column:
+        missing = F.size(F.array_except(names(required), F.map_keys(members))) > 0
+        return F.coalesce(missing, F.lit(True))
 
-    def has_more(keys: Column, allowed) -> Column:
-        return F.coalesce(F.size(F.array_except(keys, names(allowed))) > 0, F.lit(False))
+    def has_more(members: Column, allowed) -> Column:
+        more = F.size(F.array_except(F.map_keys(members), names(allowed))) > 0
+        return F.coalesce(more, F.lit(False))
 
-    def bad(path: str, kind: str, ok: Column) -> Column:
+    def bad(members: Column, name: str, kind: str, ok: Column) -> Column:
         """The field is there, and is of another kind or breaks its rule."""
-        field = _at(doc, path)
-        of_kind = F.schema_of_variant(field).rlike(rf"^{kind}\z")
-        return field.isNotNull() & ~F.coalesce(of_kind & ok, F.lit(False))
+        found = F.schema_of_variant(members[name])
+        of_kind = found.rlike(rf"^{kind}\z")
+        return F.when(of_kind, ~F.coalesce(ok, F.lit(False))).otherwise(members[name].isNotNull())
 
-    metadata = _at(doc, "$[0].metadata")
+    metadata = F.schema_of_variant(root["metadata"])
     rules = [
         (
             "missing_field",
@@ -130,80 +141,63 @@ def _broken_rules(doc: Column) -> Column:
             | has_more(env, ENVIRONMENT_KEYS)
             | has_more(tel, TELEMETRY_KEYS),
         ),
-        ("bad_event_id", bad("$[0].event_id", "STRING", fields["event_id"].rlike(UUID_PATTERN))),
+        ("bad_event_id", bad(root, "event_id", "STRING", fields["event_id"].rlike(UUID_PATTERN))),
         (
             "bad_intersection_id",
-            bad("$[0].intersection_id", "STRING", fields["intersection_id"].rlike(ID_PATTERN)),
-        ),
-        (
-            "bad_timestamp",
-            bad("$[0].environment.timestamp", "STRING", fields["event_timestamp"].isNotNull()),
-        ),
-        (
-            "bad_source",
-            bad("$[0].environment.source", "STRING", fields["source"].isin(*EVENT_SOURCES)),
+            bad(root, "intersection_id", "STRING", fields["intersection_id"].rlike(ID_PATTERN)),
         ),
+        ("bad_timestamp", bad(env, "timestamp", "STRING", fields["event_timestamp"].isNotNull())),
+        ("bad_source", bad(env, "source", "STRING", fields["source"].isin(*EVENT_SOURCES))),
         (
             "bad_state",
-            bad(
-                "$[0].telemetry.current_signal_state",
-                "STRING",
-                fields["signal_state"].isin(*SIGNAL_STATES),
-            ),
-        ),
-        (
-            "bad_stop_duration",
-            bad(
-                "$[0].telemetry.avg_stop_duration_seconds",
-                _NUMBER,
-                fields["avg_stop_duration_seconds"] >= 0,
-            ),
-        ),
-        (
-            "bad_speed",
-            bad(
-                "$[0].telemetry.avg_vehicle_speed_kmh",
-                _NUMBER,
-                fields["avg_vehicle_speed_kmh"] >= 0,
-            ),
-        ),
-        (
-            "bad_metadata",
-            metadata.isNotNull()
-            & ~F.is_variant_null(metadata)
-            & _keys(doc, "$[0].metadata").isNull(),
+            bad(tel, "current_signal_state", "STRING", fields["signal_state"].isin(*SIGNAL_STATES)),
         ),
+        *[
+            (reason, bad(tel, measure, _NUMBER, fields[measure] >= 0))
+            for reason, measure in (
+                ("bad_stop_duration", "avg_stop_duration_seconds"),
+                ("bad_speed", "avg_vehicle_speed_kmh"),
+            )
+        ],
+        ("bad_metadata", ~metadata.rlike("^(VOID|OBJECT<)")),
     ]
-    return F.array_compact(F.array(*[F.when(rule, F.lit(name)) for name, rule in rules]))
-
+    # As text first: a filter of an array is not compiled, nor is anything inside of it.
+    broken = F.concat_ws(",", *[F.when(rule, F.lit(name)) for name, rule in rules])
+    return F.when(broken != "", F.split(broken, ",")).otherwise(F.array().cast("array<string>"))
 
-def event_reasons() -> Column:
-    """Why a parsed row is not a valid event; empty when it is one.
 
-    Most events are sound, so that is asked first: one look at the shape of the document and
-    the rules for its values. Only the others go through the rules one by one.
-    """
-    doc, fields = F.col("doc"), F.col("fields")
-    sound = (
-        F.schema_of_variant(doc).rlike(REGULAR_SHAPE)
+def _sound() -> Column:
+    """Whether a parsed row breaks no rule, by one look at its shape and the rules for its values."""
+    fields = F.col("fields")
+    return F.coalesce(
+        F.schema_of_variant("doc").rlike(REGULAR_SHAPE)
         & fields["event_timestamp"].isNotNull()
         & fields["source"].isin(*EVENT_SOURCES)
         & fields["signal_state"].isin(*SIGNAL_STATES)
         & (fields["avg_stop_duration_seconds"] >= 0)
         & (fields["avg_vehicle_speed_kmh"] >= 0)
         & fields["intersection_id"].rlike(ID_PATTERN)
-        & fields["event_id"].rlike(UUID_PATTERN)
-    )
-    return (
-        F.when(doc.isNull(), F.array(F.lit("malformed")))
-        .when(sound, F.array().cast("array<string>"))
-        .otherwise(_broken_rules(doc))
+        & fields["event_id"].rlike(UUID_PATTERN),
+        F.lit(False),
     )
 
 
 def validate_events(df: DataFrame, value_col: str = "value") -> DataFrame:
-    """Add ``doc``, ``fields`` and ``reasons`` to raw events; aggregation does not need it."""
-    return _with_once(parse_documents(df, value_col), "reasons", event_reasons())
+    """Add ``doc``, ``fields`` and ``reasons`` to raw events; aggregation does not need it.
+
+    ``reasons`` says why a row is not a valid event and is empty when it is one. Most events are
+    sound, so that is asked first; only the others are taken apart, once, and go through the rules
+    one by one.
+    """
+    doc, parts = F.col("doc"), F.col("_parts")
+    taken_apart = F.when(doc.isNotNull() & ~_sound(), _parts(doc))
+    rows = _with_once(parse_documents(df, value_col), "_parts", taken_apart)
+    reasons = (
+        F.when(doc.isNull(), F.array(F.lit("malformed")))
+        .when(parts.isNull(), F.array().cast("array<string>"))
+        .otherwise(_broken_rules(parts))
+    )
+    return _with_once(rows, "reasons", reasons).drop("_parts")
 
 
 def is_valid() -> Column:
