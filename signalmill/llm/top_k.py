@@ -10,11 +10,12 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from signalmill.llm.common import stored
-from signalmill.llm.vectors import best_first, finite, merged, no_parts, of_main_length
+from signalmill.llm.common import spans, stored
+from signalmill.llm.vectors import best_first, finite, merged, no_parts
 
 BLOCK_ROWS = 8192
 BLOCK_QUERIES = 2048
@@ -84,10 +85,10 @@ def threshold_top_k(
 
     Every component x counts as floor(64 * x), x as double. ``queries`` is a condition on the
     rows; candidates are all rows but the query's own, by id. Ties go to the smaller id. Vectors
-    that are null, empty, of another than the most frequent length, or that hold null or
-    non-finite components take no part, nor do rows without id. A repeated id is answered and
-    named once, with its best score. Zero vectors take part. A score beyond a long is given as the
-    nearest long.
+    that are null, empty, or that hold null or non-finite components take no part, nor do rows
+    without id. Vectors of different lengths have no inner product: each length is searched among
+    its own. A repeated id is answered and named once, with its best score. Zero vectors take
+    part. A score beyond a long is given as the nearest long.
 
     The queries meet the rows block by block, both dealt by hashed id, so equal vectors do not
     meet in one task; blocks give k results each, which are merged. The queries are a stated
@@ -98,13 +99,13 @@ def threshold_top_k(
         F.col(id_).cast("long").alias("id"),
         scaled.alias("v"),
         queries.alias("asked"),
-    ).where(F.col("id").isNotNull() & finite(F.col("v")))
-    rows = of_main_length(rows, "v")
+    ).where(F.col("id").isNotNull() & finite(F.col("v")) & (F.size("v") > 0))
 
     def floored(batches):
         for batch in batches:
-            whole = np.floor(batch.column("v").flatten().to_numpy()).reshape(batch.num_rows, -1)
-            v = [row.tobytes() for row in whole]
+            whole = np.floor(batch.column("v").flatten().to_numpy())
+            edges = spans(pc.list_value_length(batch.column("v")).to_numpy())
+            v = [whole[a:b].tobytes() for a, b in zip(edges, edges[1:], strict=False)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("id"), pa.array(v, pa.binary()), batch.column("asked")],
                 ["id", "v", "asked"],
@@ -147,7 +148,7 @@ def threshold_top_k(
         return pd.DataFrame(out, columns=["q", "ids", "scores"])
 
     parts = stored(
-        grid.groupBy("r", "q").applyInPandas(searched, "q long, ids array<long>, scores array<long>"),
+        grid.groupBy(F.length("v").alias("length"), "r", "q").applyInPandas(searched, "q long, ids array<long>, scores array<long>"),
         "top-k-parts",
     )
     return merged(parts, k, "int64").select(

@@ -31,7 +31,8 @@ def best_first(query: np.ndarray, score: np.ndarray, id_: np.ndarray, k: int) ->
     """Positions of each query's k best, greatest score first, ties to the smaller id; no repeats."""
     order = np.lexsort((id_, -score, query))
     query, id_ = query[order], id_[order]
-    again = np.concatenate([[False], (query[1:] == query[:-1]) & (id_[1:] == id_[:-1])])
+    again = np.zeros(len(order), bool)
+    again[1:] = (query[1:] == query[:-1]) & (id_[1:] == id_[:-1])
     order, query = order[~again], query[~again]
     first = np.flatnonzero(np.concatenate([[True], query[1:] != query[:-1]])) if len(query) else []
     rank = np.arange(len(query)) - np.repeat(first, np.diff([*first, len(query)]))

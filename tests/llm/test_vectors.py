@@ -71,6 +71,29 @@ def test_threshold_top_k(spark, vectors, monkeypatch):
     assert found(threshold_top_k(vectors, asked())) == brute(whole, 20, int)
 
 
+def lengths_rows():
+    """Vectors of two lengths in equal numbers, of a third one, and one that is alone with its own."""
+    rng = np.random.default_rng(6)
+    sizes = [5, 9, 5, 9, 3]
+    rows = [(i, rng.standard_normal(sizes[i // 20 % 5]).tolist(), 0) for i in range(600)]
+    return [*rows, (2000, [1.0], 0)]
+
+
+def by_length(rows, zero):
+    return [usable(rows, d, zero) for d in sorted({len(v) for _, v, _ in rows})]
+
+
+def test_threshold_top_k_of_each_length(spark, monkeypatch):
+    monkeypatch.setattr(top_k, "BLOCK_ROWS", 100)
+    monkeypatch.setattr(top_k, "BLOCK_QUERIES", 10)
+    df = spark.createDataFrame(lengths_rows(), "vec_id long, embedding array<double>, label int")
+    want = {}
+    for some in by_length(lengths_rows(), True):
+        want |= brute({i: np.floor(64 * v) for i, v in some.items()}, 20, int)
+    got = found(threshold_top_k(df.repartition(4), asked()))
+    assert got == {q: best for q, best in want.items() if best}
+
+
 def test_threshold_stops_early_and_is_exact():
     rng = np.random.default_rng(2)
     rows = np.floor(64 * rng.standard_normal((3000, 3)))
@@ -153,5 +176,7 @@ def test_few_or_no_vectors(spark, search):
     assert search(none, asked()).collect() == []
     bad = spark.createDataFrame([(0, None, 1), (20, [float("nan")], 1)], SCHEMA)
     assert search(bad, asked()).collect() == []
+    own = spark.createDataFrame([(0, [1.0, 0.0], 1), (1, [1.0], 1)], SCHEMA)
+    assert search(own, asked()).collect() == []
     few = spark.createDataFrame([(0, [1.0, 0.0], 1), (1, [2.0, 1.0], 1), (2, [2.0, 1.0], 1)], SCHEMA)
     assert [r["vec_id"] for r in search(few, asked()).orderBy("rank").collect()] == [1, 2]
