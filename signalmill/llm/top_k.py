@@ -2,7 +2,8 @@
 
 The rows are dealt in blocks. Within a block there is a sorted list for each dimension. A query
 walks all lists from its favourable end at once, scores each row it meets in full, and stops when
-the bound, the score of a row made of the values reached, cannot beat its k-th result.
+the bound, the score of a row made of the values reached, cannot beat its k-th result. Some queries
+walk together: they score all rows that any of them meets.
 """
 
 from __future__ import annotations
@@ -19,6 +20,8 @@ from signalmill.llm.vectors import best_first, finite, merged, no_parts
 
 BLOCK_ROWS = 8192
 BLOCK_QUERIES = 2048
+# Queries of a block that walk its lists together; bounds the scores held at a time.
+QUERIES_TOGETHER = 256
 # Rows of each list that a query reads at first; the step doubles.
 FIRST_STEP = 16
 LONG = 2**63 - 1
@@ -34,48 +37,69 @@ class SortedLists:
 
     def top(self, query: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         """Rows and scores of the k best, and of all that tie with the last."""
+        _, found, scores = self.tops(query[None, :], k)
+        return found, scores
+
+    def tops(self, queries: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """For each query (m x d) its k best and all that tie with the last: query, row, score.
+
+        The queries walk the lists together. A row that one of them meets is scored for all that
+        still walk, by one product of matrices; each leaves when its own bound is below its k-th.
+        """
         n = len(self.rows)
-        down = query > 0
-        used = np.flatnonzero(query != 0)
+        walking = np.arange(len(queries))
         seen = np.zeros(n, bool)
-        scores = np.zeros(n, self.rows.dtype)
-        read, step, bar = 0, FIRST_STEP, None
-        while read < n:
+        bar = np.full(len(queries), -np.inf, queries.dtype)
+        best = np.zeros((len(queries), 0), queries.dtype)
+        found = [(walking[:0], walking[:0], bar[:0])]
+        read, step = 0, FIRST_STEP
+        while read < n and len(walking):
+            q = queries[walking]
             stop = min(n, read + step)
-            up = self.order[used[~down[used]], read:stop]
-            reverse = self.order[used[down[used]], n - stop : n - read]
+            up, down = (q < 0).any(axis=0), (q > 0).any(axis=0)
             met = np.zeros(n, bool)
-            met[up.ravel()] = True
-            met[reverse.ravel()] = True
+            met[self.order[up, read:stop]] = True
+            met[self.order[down, n - stop : n - read]] = True
+            if not (up | down).any():
+                met[:] = True
             new = np.flatnonzero(met & ~seen)
-            if not len(used):
-                new = np.flatnonzero(~seen)
             seen[new] = True
-            scores[new] = self.rows[new] @ query
             read, step = stop, 2 * step
-            so_far = np.flatnonzero(seen)
-            if len(so_far) == n:
+            scores = q @ self.rows[new].T
+            best = np.concatenate([best, scores], axis=1)
+            if best.shape[1] >= k:
+                best = np.partition(best, -k, axis=1)[:, -k:]
+                bar[walking] = best[:, 0]
+            at, row = np.nonzero(scores >= bar[walking, None])
+            found.append((walking[at], new[row], scores[at, row]))
+            if seen.all():
                 break
-            if len(so_far) >= k:
-                bar = np.sort(scores[so_far])[-k]
-                next_up = self.value[used, min(read, n - 1)]
-                next_down = self.value[used, max(n - 1 - read, 0)]
-                bound = (query[used] * np.where(down[used], next_down, next_up)).sum()
-                if bound < bar:
-                    break
-        found = np.flatnonzero(seen)
-        if len(found) > k:
-            bar = np.sort(scores[found])[-k]
-            found = found[scores[found] >= bar]
-        return found, scores[found]
+            next_up, next_down = self.value[:, min(read, n - 1)], self.value[:, max(n - 1 - read, 0)]
+            bound = np.where(q > 0, q * next_down, q * next_up).sum(axis=1)
+            on = bound >= bar[walking]
+            walking, best = walking[on], best[on]
+        query, row, score = map(np.concatenate, zip(*found, strict=True))
+        keep = score >= bar[query]
+        return query[keep], row[keep], score[keep]
 
 
 def whole_numbers(vectors) -> np.ndarray:
-    """Vectors of whole doubles; as Python's own integers where a score may not be exact."""
+    """Vectors of whole doubles, in the smallest type in which a score of any two is exact.
+
+    That is floats, doubles or Python's own integers.
+    """
     x = np.stack([np.frombuffer(v) for v in vectors])
-    if x.size and np.abs(x).max() ** 2 * x.shape[1] >= 2.0**53:
+    most = np.abs(x).max() ** 2 * x.shape[1] if x.size else 0
+    if most >= 2.0**53:
         return np.array([[int(c) for c in row] for row in x], object)
-    return x
+    return x.astype(np.float32) if most < 2.0**24 else x
+
+
+def as_longs(scores: np.ndarray) -> np.ndarray:
+    """Whole scores as longs; one beyond a long as the nearest."""
+    if scores.dtype != object:
+        return scores.astype(np.int64)
+    return np.array([max(-LONG - 1, min(LONG, int(s))) for s in scores], np.int64)
 
 
 def threshold_top_k(
@@ -136,16 +160,22 @@ def threshold_top_k(
             return no_parts()
         x = whole_numbers([*here["v"], *asking["v"]])
         lists, ids = SortedLists(x[: len(here)]), here["id"].to_numpy()
-        out = []
-        for q, query in zip(asking["id"].to_numpy(), x[len(here) :], strict=True):
-            # One more than k, as the query's own row is no result; repeats of it may be more.
-            own = int((ids == q).sum())
-            found, score = lists.top(query, k + own)
-            keep = ids[found] != q
-            score = np.array([max(-LONG - 1, min(LONG, int(s))) for s in score[keep]], np.int64)
-            at = best_first(np.zeros(len(score), np.int64), score, ids[found][keep], k)
-            out.append((q, ids[found][keep][at], score[at]))
-        return pd.DataFrame(out, columns=["q", "ids", "scores"])
+        names, out = asking["id"].to_numpy(), []
+        # One more than k, as the query's own row is no result; repeats of it may be more.
+        own = int(here["id"].isin(names).groupby(ids).sum().max())
+        for a in range(0, len(names), QUERIES_TOGETHER):
+            asked_now = names[a : a + QUERIES_TOGETHER]
+            query, row, score = lists.tops(x[len(here) + a :][: len(asked_now)], k + own)
+            other = ids[row] != asked_now[query]
+            query, found, score = query[other], ids[row[other]], as_longs(score[other])
+            at = best_first(query, score, found, k)
+            edge = np.searchsorted(query[at], np.arange(1, len(asked_now)))
+            out.append(
+                pd.DataFrame(
+                    {"q": asked_now, "ids": np.split(found[at], edge), "scores": np.split(score[at], edge)}
+                )
+            )
+        return pd.concat(out)
 
     parts = stored(
         grid.groupBy(F.length("v").alias("length"), "r", "q").applyInPandas(searched, "q long, ids array<long>, scores array<long>"),

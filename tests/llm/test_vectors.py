@@ -110,6 +110,45 @@ def test_threshold_stops_early_and_is_exact():
     assert sum(read) < len(rows) / 2
 
 
+def test_queries_of_a_block_walk_together():
+    rng = np.random.default_rng(6)
+    for kind, wide in ((np.float32, 40), (np.float64, 2**20), (object, 2**40)):
+        rows = rng.integers(-wide, wide + 1, (400, 6)).astype(kind)
+        queries = np.concatenate([rows[:30], np.zeros((1, 6), kind)])
+        calls = []
+        lists = SortedLists(rows)
+        lists.rows = type("Rows", (), {"__getitem__": lambda _, i: calls.append(len(i)) or rows[i],  # noqa: B023
+                                       "__len__": lambda _: 400, "dtype": rows.dtype})()
+        query, row, score = lists.tops(queries, 10)
+        full = queries @ rows.T
+        bar = np.sort(full, axis=1)[:, -10]
+        want = {(q, r): full[q, r] for q in range(31) for r in range(400) if full[q, r] >= bar[q]}
+        assert dict(zip(zip(query.tolist(), row.tolist(), strict=True), score, strict=True)) == want
+        # No row is taken up once a query.
+        assert sum(calls) <= 400
+
+
+def test_queries_that_read_no_further_leave():
+    rows = np.random.default_rng(7).integers(0, 1000, (2000, 2)).astype(float)
+    rows[:50] += 5000
+    calls = []
+    lists = SortedLists(rows)
+    lists.rows = type("Rows", (), {"__getitem__": lambda _, i: calls.append(len(i)) or rows[i],
+                                   "__len__": lambda _: 2000, "dtype": rows.dtype})()
+    query, row, _ = lists.tops(np.array([[50.0, 1.0], [1.0, 50.0], [9.0, 9.0]]), 5)
+    assert set(query.tolist()) == {0, 1, 2} and max(row) < 50
+    assert sum(calls) < len(rows) / 2
+
+
+def test_scores_are_exact_in_the_type_chosen():
+    for most, kind in ((2**11 - 1, np.float32), (2**12, np.float64), (2**26, object)):
+        x = top_k.whole_numbers([np.full(4, float(c)).tobytes() for c in (most, -most, most - 1)])
+        assert x.dtype == kind
+        got = top_k.as_longs((x @ x.T).ravel()).reshape(3, 3)
+        whole = [most, -most, most - 1]
+        assert got.tolist() == [[4 * a * b for b in whole] for a in whole]
+
+
 def test_huge_components_stay_exact(spark):
     rows = [(i, [float(2**40 + i), 3.0], 0) for i in range(30)]
     got = found(threshold_top_k(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int"), asked(), 3))
