@@ -21,7 +21,8 @@ from signalmill.llm.common import batches_of, id_hash, separated, spans, sums
 GRAM_BITS = 17
 ROUNDS = 30
 UNDETERMINED = "und"
-BATCH_BYTES = 1 << 21
+# Bytes of text for which a task holds trigrams and likelihoods at a time.
+BATCH_BYTES = 1 << 19
 # Least sum of a word's likelihoods, relative to its best language, that is taken in floats.
 LEAST_TOTAL = 1e-25
 
