@@ -69,7 +69,7 @@ def learn_languages(labelled: DataFrame) -> LanguageModel:
 
     def counted(batches):
         counts: dict[str, np.ndarray] = {}
-        for batch in batches_of(batches, BATCH_BYTES):
+        for batch in batches_of(batches, BATCH_BYTES, tidy=True):
             langs = batch.column("lang").to_pylist()
             grams, words, texts = word_grams(batch.column("text"))
             edge = words[texts]
@@ -173,7 +173,7 @@ def language_mixtures(docs: DataFrame, model: LanguageModel) -> DataFrame:
 
     def answered(batches):
         kind = pa.list_(pa.struct([("lang", pa.string()), ("share", pa.float64())]))
-        for batch in batches_of(batches, BATCH_BYTES):
+        for batch in batches_of(batches, BATCH_BYTES, tidy=True):
             langs = language_sets(batch.column("text"), shared.value)
             yield pa.RecordBatch.from_arrays(
                 [
@@ -200,7 +200,7 @@ def documents_with_language(docs: DataFrame) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def kept(batches):
-        for batch in batches_of(batches, BATCH_BYTES):
+        for batch in batches_of(batches, BATCH_BYTES, tidy=True):
             langs = language_sets(batch.column("text"), shared.value)
             yield batch.filter(pa.array([bool(x) for x in langs], pa.bool_()))
 

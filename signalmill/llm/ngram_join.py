@@ -82,7 +82,7 @@ def shingle_statistics(docs: DataFrame, width: int) -> DataFrame:
         schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("k", pa.int64()),
                             ("parity", pa.binary()), ("part", pa.int32()), ("task", pa.int32()),
                             ("counts", pa.binary())])
-        for batch in batches_of(batches, BATCH_BYTES):
+        for batch in batches_of(batches, BATCH_BYTES, tidy=True):
             sets = shingle_sets(batch.column("text"), width)
             every = np.concatenate([np.zeros(0, np.uint64), *sets])
             total += np.bincount((every & np.uint64(SKETCH - 1)).astype(np.int64), minlength=SKETCH)
@@ -118,7 +118,7 @@ def rare_postings(docs: DataFrame, level: np.ndarray, width: int, percent: int)
     shared = docs.sparkSession.sparkContext.broadcast(level)
 
     def rare(batches):
-        for batch in batches_of(batches, BATCH_BYTES):
+        for batch in batches_of(batches, BATCH_BYTES, tidy=True):
             sets = {class_key(s): s for s in shingle_sets(batch.column("text"), width) if len(s)}
             chosen = []
             for s in sets.values():
@@ -140,7 +140,7 @@ def sets_of(docs: DataFrame, width: int) -> DataFrame:
     """k and the set itself, as little-endian 64-bit hashes."""
 
     def made(batches):
-        for batch in batches_of(batches, BATCH_BYTES):
+        for batch in batches_of(batches, BATCH_BYTES, tidy=True):
             sets = {class_key(s): s for s in shingle_sets(batch.column("text"), width) if len(s)}
             yield pa.RecordBatch.from_arrays(
                 [pa.array(list(sets), pa.int64()),
@@ -222,7 +222,7 @@ def _overlap_links(pairs: DataFrame, percent: int) -> DataFrame:
     """Those of the pairs (a, b, shingles, others) that link."""
 
     def probed(batches):
-        for batch in batches_of(batches, text="shingles"):
+        for batch in batches_of(batches, text="shingles", tidy=True):
             keep = []
             for x, y in zip(batch.column("shingles"), batch.column("others"), strict=True):
                 a = np.frombuffer(x.as_py(), np.uint64)
@@ -287,7 +287,7 @@ def near_members(blocks: DataFrame, rows: DataFrame, percent: int) -> DataFrame:
     )
 
     def against_hub(batches):
-        for batch in batches_of(batches, text="parity"):
+        for batch in batches_of(batches, text="parity", tidy=True):
             near = []
             for n, m, x, y in zip(
                 batch.column("n").to_pylist(), batch.column("hub_n").to_pylist(),
@@ -466,7 +466,7 @@ def one_of_each_group(docs: DataFrame, width: int = 5, percent: int = PERCENT) -
     schema = T.StructType([*docs.schema.fields, T.StructField(class_, T.LongType())])
 
     def classed(batches):
-        for batch in batches_of(batches, BATCH_BYTES):
+        for batch in batches_of(batches, BATCH_BYTES, tidy=True):
             keys = [class_key(s) for s in shingle_sets(batch.column("text"), width)]
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(keys, pa.int64())], [*batch.schema.names, class_]

@@ -37,7 +37,7 @@ def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY) -> Da
 
     def cut(batches):
         model = byte_tokens(tokenizer_path)
-        for batch in batches_of(batches):
+        for batch in batches_of(batches, tidy=True):
             doc, number, start, length, crc = [], [], [], [], []
             ids_of = model.encode(batch.column("text").to_pylist())
             for doc_id, ids in zip(batch.column("doc_id").to_pylist(), ids_of, strict=True):

@@ -22,7 +22,7 @@ def test_batches_that_are_through_give_memory_back():
     last = [blocks.pop() for _ in range(10)]
     before = held_mb()
     del blocks
-    assert sum(b.num_rows for b in batches_of([few, few])) == 4
+    assert sum(b.num_rows for b in batches_of([few, few], tidy=True)) == 4
     assert len(last) == 10 and held_mb() < before - 150
 
 
