@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from signalmill.llm.common import batches_of, id_hash, stored
+from signalmill.llm.common import batches_of, id_hash, spans, stored
 from signalmill.llm.counters import counter_columns, summed
 from signalmill.llm.words import mixed, words_of
 
@@ -35,11 +35,14 @@ HEAD_WORDS = 1 << 20
 SEGMENT = 256
 RECENT = 4
 BATCH_BYTES = 1 << 22
+# Texts taken apart at once, so that their bytes' hashes stay in the cache.
+TEXTS = 256
 # Counting takes more memory a token than scoring.
 COUNTED_BYTES = 1 << 21
 RATE = np.float32(0.02)
 MAP_RATE = np.float32(0.02)
 MAP_CELLS = 24
+LIMIT = np.float32(11.9)
 FIRST_WEIGHTS = (0.30, 0.35, 0.45, 0.35)
 END = np.uint64(0x5851F42D4C957F2D)
 START = np.uint64(0x14057B7EF767814F)
@@ -48,7 +51,11 @@ _MIX = tuple(np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x16
 
 def tokens_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Hash and length of each token of all texts, an end behind each, and the texts' offsets."""
-    words, length, texts = words_of(column)
+    some = range(0, max(1, len(column)), TEXTS)
+    parts = [words_of(column.slice(a, TEXTS)) for a in some]
+    words, length, texts = zip(*parts, strict=True)
+    words, length = np.concatenate(words), np.concatenate(length)
+    texts = spans(np.concatenate([np.diff(x) for x in texts]))
     return (
         np.insert(words, texts[1:], END),
         np.insert(length, texts[1:], 0),
@@ -79,8 +86,19 @@ def codes_of(tokens: np.ndarray) -> np.ndarray:
 
 
 def slots(context: np.ndarray, node: np.ndarray) -> np.ndarray:
-    mix = (context ^ node * np.uint32(0x9E3779B1)) * np.uint32(0x85EBCA6B)
-    return (mix ^ mix >> np.uint32(15)) >> np.uint32(32 - SLOT_BITS)
+    mix = node * np.uint32(0x9E3779B1)
+    mix ^= context
+    mix *= np.uint32(0x85EBCA6B)
+    mix ^= mix >> np.uint32(15)
+    mix >>= np.uint32(32 - SLOT_BITS)
+    return mix
+
+
+def nodes_of(code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Bit prefixes (CODE_BITS x tokens) of each code, a one before them, and the bit behind each."""
+    level = np.arange(CODE_BITS, dtype=np.uint32)[:, None]
+    node = np.uint32(1) << level | code >> np.uint32(CODE_BITS) - level
+    return node, code >> np.uint32(CODE_BITS - 1) - level & np.uint32(1)
 
 
 def add_bit_counts(
@@ -88,12 +106,10 @@ def add_bit_counts(
 ) -> None:
     """Add how often each bit was 0 and 1 at each node without context, and in each hashed slot."""
     code, context = codes_of(tokens), contexts_of(tokens, length, texts)
-    level = np.arange(CODE_BITS, dtype=np.uint32)[:, None]
-    node = np.uint32(1) << level | code >> np.uint32(CODE_BITS) - level
-    bit = code >> np.uint32(CODE_BITS - 1) - level & np.uint32(1)
+    node, bit = nodes_of(code)
     total[: 2 * NODES] += np.bincount((node * 2 + bit).ravel(), minlength=2 * NODES)
     for k, one in enumerate(context):
-        at = slots(one, node).astype(np.int64) * 2 + bit
+        at = slots(one, node) * np.uint32(2) + bit
         first = 2 * (NODES + k * SLOTS)
         total[first : first + 2 * SLOTS] += np.bincount(at.ravel(), minlength=2 * SLOTS)
 
@@ -133,38 +149,62 @@ class MixingModel:
         active = np.searchsorted(-size, -np.arange(int(size.max(initial=0))), side="left")
         weights = np.empty((lanes * 16, HASHED + 1), np.float32)
         weights[:] = FIRST_WEIGHTS
+        # The same as items of 16 bytes: numpy sets these several times as fast as rows.
+        items = weights.view(np.complex128).reshape(-1)
         cells = np.linspace(-12, 12, MAP_CELLS, dtype=np.float32)
-        refined = np.tile(1 / (1 + np.exp(-cells)), (lanes * CODE_BITS, 1)).astype(np.float32)
-        refined = refined.reshape(-1)
+        refined = np.tile(1 / (1 + np.exp(-cells)), lanes * CODE_BITS).astype(np.float32)
+        gate_base = np.arange(lanes) * 16
+        cell_base = np.arange(lanes * CODE_BITS).reshape(CODE_BITS, lanes) * MAP_CELLS
         total = np.zeros(lanes)
         for step, m in enumerate(active):
+            # A token's code is known, so all its predictors are looked up before any is mixed.
             at = first[:m] + step
-            here, now = context[:, at], code[at]
-            gate_base, cell_base = np.arange(m) * 16, np.arange(m) * (CODE_BITS * MAP_CELLS)
-            node = np.ones(m, np.uint32)
-            likely = np.ones(m, np.float32)
+            node, bit = nodes_of(code.take(at))
+            value = np.empty((CODE_BITS, m, HASHED + 1), np.int16)
+            value[..., 0] = self.tables[0].take(node, mode="clip")
+            for k in range(HASHED):
+                found = slots(context[k].take(at), node)
+                value[..., k + 1] = self.tables[k + 1].take(found, mode="clip")
+            gate = (value[..., 2] & 3) * 4 + (value[..., 1] & 3) + gate_base[:m]
+            # With a minus, as it is the sum's negative whose exponential is taken.
+            x = (value >> 2).astype(np.float32)
+            x *= np.float32(-1 / 16)
+            was_one = bit == 1
+            bit = bit.astype(np.float32)
+            dot, p = np.empty((2, CODE_BITS, m), np.float32)
             for level in range(CODE_BITS):
-                bit = now >> np.uint32(CODE_BITS - 1 - level) & np.uint32(1)
-                value = np.empty((HASHED + 1, m), np.int16)
-                value[0] = self.tables[0][node]
-                for k in range(HASHED):
-                    value[k + 1] = self.tables[k + 1][slots(here[k], node)]
-                gate = gate_base + ((value[2] & 3) * 4 + (value[1] & 3))
-                x = (value >> 2).astype(np.float32) * np.float32(1 / 16)
-                w = weights[gate]
-                dot = np.clip(np.einsum("mk,km->m", w, x), -11.9, 11.9)
-                p = 1 / (1 + np.exp(-dot))
-                error = (bit - p).astype(np.float32)
-                w += (RATE * error * x).T
-                weights[gate] = w
-                cell = cell_base + level * MAP_CELLS
-                cell += np.rint((dot + 12) * ((MAP_CELLS - 1) / 24)).astype(np.int64)
-                map_p = refined[cell]
-                refined[cell] = map_p + MAP_RATE * (bit - map_p)
-                # The map's cells are coarse, so it moves the mixer's answer by a quarter.
-                p = np.clip(0.75 * p + 0.25 * map_p, 1e-5, 1 - 1e-5)
-                likely *= np.where(bit == 1, p, 1 - p)
-                node = node * 2 + bit
+                w = weights.take(gate[level], axis=0, mode="clip")
+                part = w * x[level]
+                here = np.add(part[:, 0], part[:, 1], out=dot[level])
+                here += part[:, 2]
+                here += part[:, 3]
+                here.clip(-LIMIT, LIMIT, out=here)
+                error = np.exp(here, out=p[level])
+                error += 1
+                np.divide(1, error, out=error)
+                error = bit[level] - error
+                error *= RATE
+                part = error.repeat(HASHED + 1).reshape(m, HASHED + 1)
+                part *= x[level]
+                w -= part
+                items[gate[level]] = w.view(np.complex128)[:, 0]
+            # Each level has a map of its own, so all are read and learn at once.
+            np.subtract(12, dot, out=dot)
+            dot *= (MAP_CELLS - 1) / 24
+            cell = np.rint(dot, out=dot).astype(np.int64)
+            cell += cell_base[:, :m]
+            map_p = refined.take(cell, mode="clip")
+            change = bit.astype(np.float64)
+            change -= map_p
+            change *= MAP_RATE
+            change += map_p
+            refined[cell] = change.astype(np.float32)
+            # The map's cells are coarse, so it moves the mixer's answer by a quarter.
+            p *= np.float32(0.75)
+            map_p *= np.float32(0.25)
+            p += map_p
+            p.clip(1e-5, 1 - 1e-5, out=p)
+            likely = np.multiply.reduce(np.where(was_one, p, 1 - p), axis=0)
             total[:m] += np.log2(likely.astype(np.float64))
         return np.bincount(text, total, len(n))
 

@@ -4,6 +4,7 @@ import collections
 import math
 import random
 import re
+import time
 import zlib
 from fractions import Fraction
 
@@ -340,6 +341,89 @@ def test_bits_are_probabilities():
     assert (2.0 ** (both - first)).sum() == pytest.approx(1, abs=1e-3)
 
 
+def plain_code_logs(model, tokens, length, texts):
+    """As MixingModel.code_logs, each predictor looked up where its bit is mixed."""
+    cm = context_mixing
+    code, context = cm.codes_of(tokens), cm.contexts_of(tokens, length, texts)
+    lanes = [
+        (t, a, min(cm.SEGMENT, texts[t + 1] - a))
+        for t in range(len(texts) - 1)
+        for a in range(texts[t], texts[t + 1], cm.SEGMENT)
+    ]
+    lanes.sort(key=lambda x: -x[2])
+    text, first, size = np.array(lanes).T
+    weights = np.empty((len(lanes) * 16, cm.HASHED + 1), np.float32)
+    weights[:] = cm.FIRST_WEIGHTS
+    cells = np.linspace(-12, 12, cm.MAP_CELLS, dtype=np.float32)
+    refined = np.tile(1 / (1 + np.exp(-cells)), len(lanes) * cm.CODE_BITS).astype(np.float32)
+    total = np.zeros(len(lanes))
+    for step in range(size[0]):
+        m = np.searchsorted(-size, -step, side="left")
+        at, lane = first[:m] + step, np.arange(m)
+        node, likely = np.ones(m, np.uint32), np.ones(m, np.float32)
+        for level in range(cm.CODE_BITS):
+            bit = code[at] >> np.uint32(cm.CODE_BITS - 1 - level) & np.uint32(1)
+            places = [node, *(cm.slots(one, node) for one in context[:, at])]
+            value = np.stack([t[x] for t, x in zip(model.tables, places, strict=True)])
+            gate = lane * 16 + (value[2] & 3) * 4 + (value[1] & 3)
+            x = (value >> 2).astype(np.float32) * np.float32(1 / 16)
+            w = weights[gate]
+            dot = np.clip(np.einsum("mk,km->m", w, x), -11.9, 11.9)
+            p = 1 / (1 + np.exp(-dot))
+            weights[gate] = w + (cm.RATE * (bit - p).astype(np.float32) * x).T
+            cell = (lane * cm.CODE_BITS + level) * cm.MAP_CELLS
+            cell += np.rint((dot + 12) * ((cm.MAP_CELLS - 1) / 24)).astype(np.int64)
+            map_p = refined[cell]
+            refined[cell] = map_p + cm.MAP_RATE * (bit - map_p)
+            p = np.clip(0.75 * p + 0.25 * map_p, 1e-5, 1 - 1e-5)
+            likely *= np.where(bit == 1, p, 1 - p)
+            node = node * 2 + bit
+        total[:m] += np.log2(likely.astype(np.float64))
+    return np.bincount(text, total, len(texts) - 1)
+
+
+def some_tokens(rng, sizes, words=3000):
+    """Tokens of texts with these sizes, and a model learned from them."""
+    known = rng.integers(0, 2**63, words).astype(np.uint64) * np.uint64(2)
+    which = np.minimum(rng.zipf(1.3, sum(sizes)), words) - 1
+    tokens, length, texts = known[which], which % 11 + 1, np.cumsum([0, *sizes])
+    counts = np.zeros(context_mixing.COUNTERS, np.int64)
+    context_mixing.add_bit_counts(counts, tokens, length, texts)
+    ones = np.ones(context_mixing.NODES)
+    return context_mixing.MixingModel.of(counts, ones, ones), (tokens, length, texts)
+
+
+def test_code_logs_against_bit_by_bit():
+    rng = np.random.default_rng(2)
+    model, tokens = some_tokens(rng, [1, 1, 255, 256, 257, 700, *rng.integers(1, 400, 60)])
+    np.testing.assert_allclose(
+        model.code_logs(*tokens), plain_code_logs(model, *tokens), rtol=1e-6
+    )
+
+
+def test_code_logs_cost():
+    """Scoring takes well under the time of the plain walk; most of the operator's time goes there."""
+    model, tokens = some_tokens(np.random.default_rng(3), [128] * 2000)
+
+    def seconds(call):
+        start = time.process_time()
+        call()
+        return time.process_time() - start
+
+    plain = min(seconds(lambda: plain_code_logs(model, *tokens)) for _ in range(3))
+    assert min(seconds(lambda: model.code_logs(*tokens)) for _ in range(3)) < 0.75 * plain
+
+
+def test_tokens_of_many_texts():
+    texts = [None, "", " One two\tTWO ", "x" * 300] * (context_mixing.TEXTS // 2) + ["end"]
+    whole = context_mixing.tokens_of(pa.array(texts))
+    one = {t: context_mixing.tokens_of(pa.array([t])) for t in set(texts)}
+    for k in range(2):
+        assert np.array_equal(whole[k], np.concatenate([one[t][k] for t in texts]))
+    assert np.diff(whole[2]).tolist() == [len(one[t][0]) for t in texts]
+    assert [x.tolist() for x in context_mixing.tokens_of(pa.array([], pa.string()))] == [[], [], [0]]
+
+
 def test_scores_of_nothing(spark, no_docs, docs):
     assert context_mixing.context_mixing_scores(no_docs, context_mixing.training()).collect() == []
     from pyspark.sql import functions as F
